@@ -608,10 +608,10 @@ def order_changes(spark, sf_dir):
 
 
 @register("progress", with_views(["orders_log"], """
-with at as (
+with points as (
   select server_id, cast(floor(ts_sec / 3) * 3 + 3 as bigint) saved_at, log_name, log_pos from orders_log
   union all select server_id, ts_sec, log_name, log_pos from orders_log where event_type in ('rotate', 'ddl')),
-n as (select *, row_number() over (partition by server_id, saved_at order by cast(right(log_name, 6) as bigint) desc, log_pos desc) r from at),
+n as (select *, row_number() over (partition by server_id, saved_at order by cast(right(log_name, 6) as bigint) desc, log_pos desc) r from points),
 p as (select *, lag(log_name) over w l_name, lag(log_pos) over w l_pos from n where r = 1 window w as (partition by server_id order by saved_at))
 select server_id, saved_at, log_name, log_pos from p where l_name is distinct from log_name or l_pos is distinct from log_pos"""))
 def progress(spark, sf_dir):

@@ -18,18 +18,25 @@ def _addressed(requests: DataFrame) -> DataFrame:
     return requests.where(F.length("id") > 0)
 
 
-def latest_requests(requests: DataFrame) -> DataFrame:
-    """``index, id, action, data, version``: the last request of each document, deletes included.
+def latest_requests(requests: DataFrame, addressed_only: bool = True) -> DataFrame:
+    """The last request of each document, deletes included: ``index, id, action, parent, pipeline, data,
+    version`` and ``whole``, whether it rests on a create, index or delete (else all were updates).
 
     An aggregate with map-side partials: a hot document is one row per task before the shuffle. The last
-    request decides because row images are full. Folding the result of earlier folds is fine, which is
-    what the streaming table relies on.
+    request decides because row images are full. Requests without an id belong to no document; they are left
+    out, or each kept by itself.
     """
-    version = F.col("version") if "version" in requests.columns else event_order()
-    return (_addressed(requests).withColumn("_at", version)
-            .groupBy(*KEY)
-            .agg(F.max_by(F.struct("action", "data", F.col("_at").alias("version")), "_at").alias("r"))
-            .select(*KEY, "r.*"))
+    at = event_order()
+    key = list(KEY)
+    if addressed_only:
+        requests = _addressed(requests)
+    else:
+        requests = requests.withColumn("_alone", F.when(F.length("id") == 0, at))
+        key.append("_alone")
+    kept = F.struct("action", "parent", "pipeline", "data", F.col("_at").alias("version"))
+    return (requests.withColumn("_at", at).groupBy(*key)
+            .agg(F.max_by(kept, "_at").alias("r"), F.max(F.col("action") != S.UPDATE).alias("whole"))
+            .select(*KEY, "r.*", "whole"))
 
 
 def current_docs(requests: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from changeflow import schema as S
@@ -31,11 +32,24 @@ class Rule:
 
 
 def rules_frame(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
-    """Rules as a DataFrame: one per table, the last one given wins."""
-    rows = {(r.db, r.table): (
-        r.db, r.table, r.table if r.index is None else r.index, r.parent, r.id_field, dict(r.field_mapping),
-        None if r.filter is None else list(r.filter), r.pipeline, dict(r.actions)) for r in rules}
-    return spark.createDataFrame(list(rows.values()), S.RULE_SCHEMA)
+    """Rules as a DataFrame: one per table, the last one given wins.
+
+    Made from an Arrow table, which Spark keeps as a local relation of known size, so joins can broadcast it.
+    """
+    last = {(r.db, r.table): r for r in rules}.values()
+    text, text_map = pa.string(), pa.map_(pa.string(), pa.string())
+    columns = {
+        "db": pa.array([r.db for r in last], text),
+        "table": pa.array([r.table for r in last], text),
+        "index": pa.array([r.table if r.index is None else r.index for r in last], text),
+        "parent": pa.array([r.parent for r in last], text),
+        "id_field": pa.array([r.id_field for r in last], text),
+        "field_mapping": pa.array([list(r.field_mapping.items()) for r in last], text_map),
+        "filter": pa.array([None if r.filter is None else list(r.filter) for r in last], pa.list_(text)),
+        "pipeline": pa.array([r.pipeline for r in last], text),
+        "action_mapping": pa.array([list(r.actions.items()) for r in last], text_map),
+    }
+    return spark.createDataFrame(pa.table(columns))
 
 
 def default_rules(changes: DataFrame) -> DataFrame:
