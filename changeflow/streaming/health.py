@@ -14,6 +14,8 @@ _SAMPLE = "ts timestamp, file_seq bigint, file_pos bigint, db_seq bigint, db_pos
 _FLAT_LAST = "last_file_seq bigint, last_file_pos bigint, last_db_seq bigint, last_db_pos bigint"
 _CHECKED = f"server_id bigint, {_SAMPLE}, {_FLAT_LAST}, grew boolean"
 _FIELDS = ("file_seq", "file_pos", "db_seq", "db_pos")
+_CheckedRow = Row("server_id", "ts", *_FIELDS, "db_error", *(f"last_{f}" for f in _FIELDS), "grew")
+_AlertRow = Row("server_id", "ts", *_FIELDS, "db_error", "level", "reasons", "status", "last_status")
 
 
 def _ms(ts) -> int:
@@ -61,7 +63,7 @@ class Recheck(StatefulProcessor):
             moved = (first[1], first[2]) != (first[6], first[7])
             if not (moved or first[-1] or _ms(first[0]) + self.grace_ms < now_ms):
                 break
-            yield Row(key[0], *first)
+            yield _CheckedRow(key[0], *first)
             held.pop(0)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
@@ -85,7 +87,7 @@ class Changed(StatefulProcessor):
         last = self.status.get()[0] if self.status.exists() else ""
         for row in sorted(rows, key=lambda r: (r.ts, *(r[f] for f in _FIELDS))):
             if row.status != last and row.level > 0:
-                yield Row(*row, last)
+                yield _AlertRow(*row, last)
             last = row.status
         self.status.update((last,))
 
@@ -122,7 +124,12 @@ def run_alerts(samples: DataFrame, on_alert: OnBatch, checkpoint: str, threshold
                **how) -> StreamingQuery:
     """Calls ``on_alert`` with the new alerts of each micro-batch that has any."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            on_alert(batch, batch_id)
+        # Kept, so that the stateful plan below runs once and to its end, whatever the handler reads of it.
+        raised = batch.persist()
+        try:
+            if raised.count():
+                on_alert(raised, batch_id)
+        finally:
+            raised.unpersist()
 
     return run(alerts_stream(health_stream(samples, threshold)), handle, checkpoint, **how)
