@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changeflow import schema as S
+from changeflow.functions.numbers import floor_div
 from changeflow.functions.positions import log_seq
 from changeflow.operators.mapping import bulk_line
 
@@ -35,7 +36,7 @@ def shard_of(shards: int = DEFAULT_SHARDS) -> Column:
 def log_block(block_bytes: int = BLOCK_BYTES) -> list[Column]:
     """The part of the log a request comes from: server, file and block of the file."""
     return [F.col("server_id"), log_seq(F.col("log_name")).alias("log_seq"),
-            F.floor(F.col("log_pos") / block_bytes).alias("log_block")]
+            floor_div(F.col("log_pos"), block_bytes).alias("log_block")]
 
 
 def batch_requests(requests: DataFrame, bulk_size: int = DEFAULT_BULK_SIZE, shard: Column | None = None,
@@ -56,7 +57,7 @@ def batch_requests(requests: DataFrame, bulk_size: int = DEFAULT_BULK_SIZE, shar
         "server_id", log_seq(F.col("log_name")), "log_pos", "row_ordinal")
     number = (F.row_number().over(place) - 1).cast("bigint")
     key = F.struct(F.col("_shard").alias("shard"), *(F.col(p).alias(n) for p, n in zip(parts, names)),
-                   F.floor(F.col("_number") / size).alias("no"))
+                   floor_div(F.col("_number"), size).alias("no"))
     return (marked.withColumn("_number", number)
             .withColumns({"batch": key, "seq": F.col("_number") % size})
             .drop("_shard", "_number", *parts))

@@ -12,10 +12,14 @@ from changeflow import schema as S
 from changeflow.functions.positions import event_order
 
 KEY = ["index", "id"]
+#: For grouping: the id first, because sorts compare the first column's prefix and an index has many ids.
+BY_ID = ["id", "index"]
 
 
-def _addressed(requests: DataFrame) -> DataFrame:
-    return requests.where(F.length("id") > 0)
+def _addressed() -> Column:
+    """Whether a group's requests have an id. As an aggregate, because a filter on ``id`` would be pushed below
+    the mapping and compute every id twice."""
+    return F.max(F.length("id") > 0).alias("_addressed")
 
 
 def latest_requests(requests: DataFrame, addressed_only: bool = True) -> DataFrame:
@@ -27,16 +31,14 @@ def latest_requests(requests: DataFrame, addressed_only: bool = True) -> DataFra
     out, or each kept by itself.
     """
     at = event_order()
-    key = list(KEY)
-    if addressed_only:
-        requests = _addressed(requests)
-    else:
+    key = list(BY_ID)
+    if not addressed_only:
         requests = requests.withColumn("_alone", F.when(F.length("id") == 0, at))
         key.append("_alone")
     kept = F.struct("action", "parent", "pipeline", "data", F.col("_at").alias("version"))
-    return (requests.withColumn("_at", at).groupBy(*key)
-            .agg(F.max_by(kept, "_at").alias("r"), F.max(F.col("action") != S.UPDATE).alias("whole"))
-            .select(*KEY, "r.*", "whole"))
+    last = requests.withColumn("_at", at).groupBy(*key).agg(
+        F.max_by(kept, "_at").alias("r"), F.max(F.col("action") != S.UPDATE).alias("whole"), _addressed())
+    return (last.where("_addressed") if addressed_only else last).select(*KEY, "r.*", "whole")
 
 
 def current_docs(requests: DataFrame) -> DataFrame:
@@ -55,34 +57,36 @@ def merge_docs(requests: DataFrame) -> DataFrame:
     # Sorts before every field name; its value is the action, so creates and deletes get a row of their own.
     marker = F.struct(F.lit(None).cast("string").alias("field"), F.col("action").alias("value"))
     fields = F.transform(F.map_entries("data"), lambda e: F.struct(e["key"].alias("field"), e["value"].alias("value")))
-    rows = (_addressed(requests)
+    rows = (requests
             .select(*KEY, "action", at.alias("at"), F.inline(F.concat(
                 F.array(marker), F.when(F.col("action") == S.DELETE, F.array()).otherwise(fields)))))
     is_marker = F.col("field").isNull()
-    last = rows.groupBy(*KEY, "field").agg(
-        F.max_by(F.struct("value", "at"), "at").alias("last"),
+    last = rows.groupBy(*BY_ID, "field").agg(
+        F.max(F.struct("at", "value")).alias("last"),
         F.max(F.when(is_marker & (F.col("action") != S.UPDATE), F.col("at"))).alias("reset"))
     entries = F.collect_list(F.when(~F.col("field").isNull(), F.struct("field", "last")))
-    docs = last.groupBy(*KEY).agg(
+    docs = last.groupBy(*BY_ID).agg(
         entries.alias("entries"), F.max("reset").alias("reset"),
-        F.max(F.when(is_marker, F.col("last"))).alias("end"))
+        F.max(F.when(is_marker, F.col("last"))).alias("end"), _addressed())
     alive = F.filter("entries", lambda e: F.col("reset").isNull() | (e["last"]["at"] >= F.col("reset")))
     data = F.map_from_entries(F.transform(F.sort_array(alive), lambda e: F.struct(e["field"], e["last"]["value"])))
-    return (docs.where(F.col("end.value") != S.DELETE)
+    return (docs.where(F.col("_addressed") & (F.col("end.value") != S.DELETE))
             .select(*KEY, data.alias("data"), F.col("end.at").alias("version")))
 
 
 def get_docs(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Each asked ``index, id`` with the document's columns and ``found``."""
+    """Each row of ``ids`` (``index, id``) with the document's columns and ``found``. Documents are unique by
+    id, so an id asked for very often is split by Spark's skew join like any hot key of its larger side."""
     stored = docs.withColumn("_found", F.lit(True))
     return (ids.join(stored, KEY, "left")
             .withColumn("found", F.coalesce("_found", F.lit(False))).drop("_found"))
 
 
 def docs_exist(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Each asked ``index, id`` with ``found``."""
+    """``index, id, found``: one row per asked id, however often it is asked for."""
     keys = docs.select(*KEY, F.lit(True).alias("_found"))
-    return ids.join(keys, KEY, "left").select(*ids.columns, F.coalesce("_found", F.lit(False)).alias("found"))
+    return (ids.select(*KEY).distinct().join(keys, KEY, "left")
+            .select(*KEY, F.coalesce("_found", F.lit(False)).alias("found")))
 
 
 def put_docs(docs: DataFrame, new_docs: DataFrame) -> DataFrame:
@@ -93,7 +97,7 @@ def put_docs(docs: DataFrame, new_docs: DataFrame) -> DataFrame:
 
 def delete_docs(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Drop documents by id; ids that are not there are fine."""
-    return docs.join(ids.select(*KEY), KEY, "left_anti")
+    return docs.join(ids.select(*KEY).distinct(), KEY, "left_anti")
 
 
 # Kinds of cells. The codes order the kinds, so min and max run on integers in a hash aggregate.

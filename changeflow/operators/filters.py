@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from changeflow import schema as S
+from changeflow.functions.cells import once
 from changeflow.functions.positions import position_key
 
 
@@ -44,18 +45,21 @@ def keep_fields(cells: Column, names: Column) -> Column:
 
 def rename_fields(cells: Column, mapping: Column) -> Column:
     """Renamed where ``mapping`` has the name. Of two fields with one new name, the last in name order wins."""
-    renamed = F.transform(F.sort_array(F.map_entries(cells)), lambda e: F.struct(
-        F.coalesce(F.element_at(mapping, e["key"]), e["key"]).alias("key"), e["value"].alias("value")))
+    def new_name(name: Column) -> Column:
+        return F.coalesce(F.element_at(mapping, name), name)
 
-    def unique(entries: Column) -> Column:
-        keys = F.transform(entries, lambda e: e["key"])
-        last = F.filter(entries, lambda e, i: ~F.array_contains(
-            F.slice(keys, i + 2, F.greatest(F.size(keys) - i - 1, F.lit(0))), e["key"]))
-        return F.map_from_entries(
-            F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last))
+    def settled() -> Column:
+        entries = F.transform(F.sort_array(F.map_entries(cells)), lambda e: F.struct(
+            new_name(e["key"]).alias("key"), e["value"].alias("value")))
+        return once(entries, lambda all_: F.map_from_entries(F.filter(all_, lambda e, i: ~F.exists(
+            F.slice(all_, i + 2, F.size(all_)), lambda later: later["key"] == e["key"]))))
+
+    def renamed(names: Column) -> Column:
+        clash = F.size(F.array_distinct(names)) < F.size(names)
+        return F.when(clash, settled()).otherwise(F.map_from_arrays(names, F.map_values(cells)))
 
     none = mapping.isNull() | (F.size(mapping) == 0)
-    return F.when(none, cells).otherwise(F.transform(F.array(renamed), unique)[0])
+    return F.when(none, cells).otherwise(once(F.transform(F.map_keys(cells), new_name), renamed))
 
 
 def drop_empty(encoded: DataFrame, value: str = "value") -> DataFrame:

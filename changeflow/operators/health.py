@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changeflow import schema as S
+from changeflow.functions.numbers import floor_div, span_of
 from changeflow.operators.ordered import span_ends, with_previous
 
 DEFAULT_CHECK_SECONDS = 10
@@ -57,9 +58,9 @@ def recheck(samples: DataFrame, grace_seconds: float = GRACE_SECONDS, span_secon
     grace_ms, span_ms = int(grace_seconds * 1000), span_seconds * 1000
     pair = F.struct(_file().alias("file"), _db().alias("db"))
     timed = samples.withColumn("_ms", F.unix_millis(F.col("ts").cast("timestamp")))
-    span = F.floor(F.col("_ms") / span_ms)
+    span = span_of(F.col("_ms"), span_ms)
     # Every span a grace period after which the sample can lie in, its own first.
-    reach = F.sequence(span, F.floor((F.col("_ms") - grace_ms) / span_ms), F.lit(-1).cast("bigint"))
+    reach = F.sequence(span, floor_div(F.col("_ms") - grace_ms, span_ms), F.lit(-1).cast("bigint"))
     spanned = timed.withColumn("_own", span).withColumn("_span", F.explode(reach))
     order = [F.col("_ms"), F.col("file_seq"), F.col("file_pos"), F.col("db_seq"), F.col("db_pos")]
 
@@ -118,7 +119,7 @@ def alerts(judged: DataFrame, span_seconds: int = SPAN_SECONDS) -> DataFrame:
     """Samples whose status changed to one that is not green; adds ``last_status``, "" before the first."""
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     order = [F.col("ts"), F.col("file_seq"), F.col("file_pos"), F.col("db_seq"), F.col("db_pos")]
-    span = F.floor(ms / (span_seconds * 1000))
+    span = span_of(ms, span_seconds * 1000)
     steps = with_previous(judged, ["server_id"], span, order, F.struct("status"), "_prev")
     last = F.coalesce(F.col("_prev.status"), F.lit(""))
     return (steps.withColumn("last_status", last).drop("_prev")

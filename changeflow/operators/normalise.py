@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changeflow import schema as S
+from changeflow.functions.numbers import span_of
 
 #: Events of one file that share a window partition. ``event_seq`` is unique within a file, so this bounds
 #: the rows of a task however large a file or a server is.
@@ -56,7 +57,7 @@ def carry_position(raw: DataFrame, start: DataFrame | None = None, span_events:
     kind, seq, pos = F.col("event_kind"), F.col("event_seq"), F.col("log_pos")
     named = kind.isin(S.ROTATE, S.DDL, S.XID) & (F.length("next_log") > 0) & (pos != 0)
     marks = raw.withColumns({
-        "_span": F.floor(seq / span_events),
+        "_span": span_of(seq, span_events),
         "_name": F.when(named, F.col("next_log")),
         "_pos": F.when(pos != 0, pos),
         "_gtid": F.when(kind.isin(S.GTID, S.DDL) & (F.length("gtid") > 0), F.col("gtid")),

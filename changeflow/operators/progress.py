@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from changeflow import schema as S
+from changeflow.functions.numbers import floor_div, span_of
 from changeflow.functions.positions import log_seq
 from changeflow.operators.ordered import with_previous
 
@@ -26,7 +27,7 @@ def save_points(changes: DataFrame, seconds: float = DEFAULT_SAVE_SECONDS) -> Da
     per interval is a row per file.
     """
     width = int(save_seconds_or_default(seconds))
-    tick = (F.floor(F.col("timestamp") / width) + 1) * width
+    tick = (floor_div(F.col("timestamp"), width) + 1) * width
     forced = F.col("event_type").isin(S.ROTATE, S.DDL)
     at = F.explode(F.when(forced, F.array(tick, F.col("timestamp"))).otherwise(F.array(tick))).alias("saved_at")
     by_file = (changes.select("server_id", "log_name", "log_pos", at)
@@ -39,7 +40,7 @@ def save_points(changes: DataFrame, seconds: float = DEFAULT_SAVE_SECONDS) -> Da
 def drop_unchanged(points: DataFrame, span_seconds: int = SPAN_SECONDS) -> DataFrame:
     """Save points whose position differs from that of the one before."""
     position = F.struct("log_name", "log_pos")
-    span = F.floor(F.col("saved_at") / span_seconds)
+    span = span_of(F.col("saved_at"), span_seconds)
     steps = with_previous(points, ["server_id"], span, [F.col("saved_at")], position, "_prev")
     return steps.where(~F.col("_prev").eqNullSafe(position)).drop("_prev")
 

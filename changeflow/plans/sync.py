@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow import schema as S
+from changeflow.functions.numbers import floor_div
 from changeflow.operators.bulk import (
     BLOCK_BYTES, DEFAULT_BULK_SIZE, DEFAULT_FLUSH_SECONDS, batch_requests, bulk_bodies, bulk_errors)
 from changeflow.operators.docs import latest_requests
@@ -49,7 +50,7 @@ def send_requests(requests: DataFrame, transport: Callable[[str], tuple[int, str
 
     A document is in one body only, so bodies go out side by side.
     """
-    block = [F.col("server_id"), F.col("log_seq"), F.floor(F.col("log_pos") / BLOCK_BYTES).alias("log_block")]
+    block = [F.col("server_id"), F.col("log_seq"), floor_div(F.col("log_pos"), BLOCK_BYTES).alias("log_block")]
     settled = settled_requests(requests).withColumn("log_name", F.col("log_seq").cast("string"))
     bodies = bulk_bodies(batch_requests(settled, bulk_size, span=block))
     refused = bulk_errors(send_bulk(bodies, transport), body="response").agg(
@@ -58,9 +59,20 @@ def send_requests(requests: DataFrame, transport: Callable[[str], tuple[int, str
         raise BulkFailed(f"{refused['n']} requests refused, such as: {refused['first']}")
 
 
-def search_files(changes: DataFrame, rules: Iterable[Rule], path: str, bulk_size: int = DEFAULT_BULK_SIZE, **how) -> None:
-    """A batch of changes as bulk files; ``how`` goes to :func:`search_requests`."""
-    write_bulk(search_requests(changes, rules, **how), path, bulk_size)
+def search_files(changes: DataFrame, rules: Iterable[Rule], path: str, bulk_size: int = DEFAULT_BULK_SIZE,
+                 checkpoint: str | None = None, seconds: float = DEFAULT_FLUSH_SECONDS, **how) -> StreamingQuery | None:
+    """Changes as bulk files, on a stream one folder per flush; ``how`` goes to :func:`search_requests`."""
+    requests = search_requests(changes, rules, **how)
+    if not requests.isStreaming:
+        write_bulk(requests, path, bulk_size)
+        return None
+    if checkpoint is None:
+        raise ValueError("a stream to files needs a checkpoint")
+
+    def flush(batch: DataFrame, batch_id: int) -> None:
+        write_bulk(batch, f"{path}/batch_id={batch_id}", bulk_size, mode="overwrite")
+
+    return run(requests, flush, checkpoint, seconds)
 
 
 def search_sync(changes: DataFrame, rules: Iterable[Rule], transport: Callable[[str], tuple[int, str]], checkpoint: str,

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 from changeflow.operators.bulk import DEFAULT_BULK_SIZE, batch_requests, bulk_bodies
 
 
-def write_bulk(requests: DataFrame, path: str, bulk_size: int = DEFAULT_BULK_SIZE, bodies_per_file: int = 1) -> None:
+def write_bulk(requests: DataFrame, path: str, bulk_size: int = DEFAULT_BULK_SIZE, bodies_per_file: int = 1,
+               mode: str = "error") -> None:
     """Newline-delimited JSON files, one body each, through Spark's committer to any file system it knows.
 
     Bodies can follow each other in a file (``bodies_per_file``; the file is a valid body again), which a
@@ -19,7 +20,7 @@ def write_bulk(requests: DataFrame, path: str, bulk_size: int = DEFAULT_BULK_SIZ
     bodies = bulk_bodies(batch_requests(requests, bulk_size))
     # A body ends with a newline, and the text writer adds one.
     lines = bodies.select(F.rtrim("body", F.lit("\n")).alias("value"))
-    lines.write.option("maxRecordsPerFile", bodies_per_file).text(path)
+    lines.write.mode(mode).option("maxRecordsPerFile", bodies_per_file).text(path)
 
 
 def send_bulk(bodies: DataFrame, transport: Callable[[str], tuple[int, str]]) -> DataFrame:

@@ -300,3 +300,13 @@ def test_alerts_of_a_stream(spark, samples, tmp_path):
     got = rows(spark.read.parquet(out), columns)
     want = rows(H.alerts(H.health(batch_samples(spark, samples))), columns)
     assert got == [w for w in want if w in got] and len(want) - len(got) <= 4 and len(got) > 20
+
+
+def test_bulk_files_of_a_stream(spark, log, tmp_path):
+    query = sync.search_files(stream(spark, log), V.RULES, str(tmp_path / "bulk"), checkpoint=str(tmp_path / "cp"), seconds=1)
+    query.processAllAvailable()
+    query.stop()
+    lines = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / "bulk"))
+    requests = M.to_requests(read_changes_files(spark, log), M.rules_frame(spark, V.RULES))
+    want = M.bulk_lines(requests).select(F.explode(F.split("line", "\n")).alias("line"))
+    assert sorted(r.value for r in lines.collect()) == sorted(r.line for r in want.collect())
