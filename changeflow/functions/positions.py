@@ -10,6 +10,12 @@ def log_seq(log_name: Column) -> Column:
     return F.coalesce(F.substring_index(log_name, ".", -1).try_cast("bigint"), F.lit(-1).cast("bigint"))
 
 
+def log_number(log_name: str) -> int:
+    """As :func:`log_seq`, of a name at hand."""
+    number = log_name.rpartition(".")[2]
+    return int(number) if number.isdigit() else -1
+
+
 def position_key(log_name: Column, log_pos: Column) -> Column:
     """Comparable position. File numbers are compared as numbers, so .1000000 follows .999999."""
     return F.struct(log_seq(log_name).alias("log_seq"), log_pos.cast("bigint").alias("log_pos"))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from changeflow import schema as S
 from changeflow.functions.cells import once
-from changeflow.functions.positions import position_key
+from changeflow.functions.positions import log_number, log_seq, position_key
+
+#: Server, log file, offset.
+Position = tuple[int, str, int]
 
 
 def only_dbs(changes: DataFrame, dbs: Iterable[str]) -> DataFrame:
@@ -67,14 +72,27 @@ def drop_empty(encoded: DataFrame, value: str = "value") -> DataFrame:
     return encoded.where(F.length(value) > 0)
 
 
-def changes_since(changes: DataFrame, positions: DataFrame, latest: bool = False) -> DataFrame:
+def changes_since(changes: DataFrame, positions: DataFrame | Sequence[Position], latest: bool = False) -> DataFrame:
     """Events after the saved position of their server (``server_id, log_name, log_pos``).
 
-    ``latest``, no saved position, an empty name or offset 0 mean "from now on": no rows of a batch. The join
-    is on ``server_id``, so a log partitioned by it is pruned to the saved servers.
+    ``latest``, no saved position, an empty name or offset 0 mean "from now on": no rows of a batch.
+
+    Positions given as a list become a plain filter, so that a log laid out by server and file is read from the
+    saved files on; fit for some hundred servers. A DataFrame is joined on ``server_id``, which prunes by server.
     """
     if latest:
         return changes.where(F.lit(False))
+    seq = log_seq(F.col("log_name"))
+    if not isinstance(positions, DataFrame):
+        known = [(server, name, pos) for server, name, pos in positions if name and pos]
+        if not known:
+            return changes.where(F.lit(False))
+        files, events = [], []
+        for server, name, pos in known:
+            at = log_number(name)
+            files.append((F.col("server_id") == server) & (seq >= at))
+            events.append((F.col("server_id") == server) & ((seq > at) | ((seq == at) & (F.col("log_pos") > pos))))
+        return changes.where(reduce(or_, files)).where(reduce(or_, events))
     saved = (positions.where((F.length("log_name") > 0) & (F.col("log_pos") != 0))
              .select("server_id", position_key(F.col("log_name"), F.col("log_pos")).alias("_saved")))
     return (changes.join(saved, "server_id")

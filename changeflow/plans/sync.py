@@ -76,9 +76,9 @@ def search_files(changes: DataFrame, rules: Iterable[Rule], path: str, bulk_size
 
 
 def search_sync(changes: DataFrame, rules: Iterable[Rule], transport: Callable[[str], tuple[int, str]], checkpoint: str,
-                bulk_size: int = DEFAULT_BULK_SIZE, seconds: float = DEFAULT_FLUSH_SECONDS, **how) -> StreamingQuery:
+                bulk_size: int = DEFAULT_BULK_SIZE, seconds: float = DEFAULT_FLUSH_SECONDS, skip_no_pk: bool = True, **how) -> StreamingQuery:
     """A stream of changes kept in step with an index; a refused request stops it before the batch is committed."""
-    requests = search_requests(changes, rules)
+    requests = search_requests(changes, rules, skip_no_pk)
     return run(requests, lambda batch, _: send_requests(batch, transport, bulk_size), checkpoint, seconds, **how)
 
 

@@ -61,6 +61,19 @@ def test_since_without_saved_position_is_latest(spark):
     got = sorted((r.server_id, r.log_name, r.log_pos) for r in filters.changes_since(changes, saved).collect())
     assert got == [(1, "b.10", 5), (1, "b.10", 9), (1, "b.9", 9)]
     assert filters.changes_since(changes, saved, latest=True).count() == 0
+    listed = filters.changes_since(changes, [tuple(r) for r in saved.collect()])
+    assert sorted((r.server_id, r.log_name, r.log_pos) for r in listed.collect()) == got
+    assert filters.changes_since(changes, [(2, "", 7)]).count() == 0
+
+
+def test_resume_reads_from_the_saved_files_on(spark, tmp_path):
+    from changeflow.sources.files import read_changes_files, write_changes_files
+    rows = [{"server_id": s, "log_name": f"b.00000{n}", "log_pos": p} for s in (1, 2) for n in range(6) for p in (5, 9)]
+    write_changes_files(changes_of(spark, rows), str(tmp_path / "log"))
+    since = filters.changes_since(read_changes_files(spark, str(tmp_path / "log")), [(1, "b.000004", 5)])
+    assert sorted((r.log_name, r.log_pos) for r in since.collect()) == [("b.000004", 9), ("b.000005", 5), ("b.000005", 9)]
+    scan = since._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "substring_index(log_name" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
 
 
 def test_malformed_messages_are_kept_aside(spark):
