@@ -45,7 +45,7 @@ def cell_text(cell: Column) -> Column:
 
 def cells_of_variants(values: Column) -> Column:
     """``map<string,variant>`` -> cell map. A JSON null becomes NULL, the string "null" does not."""
-    return F.transform_values(values, lambda _, v: F.nullif(F.to_json(v), F.lit("null")))
+    return F.transform_values(values, lambda _, v: F.when(~F.is_variant_null(v), F.to_json(v)))
 
 
 def parse_cells(text: Column) -> Column:

@@ -102,11 +102,18 @@ def verdict(threshold: int = DEFAULT_THRESHOLD) -> dict[str, Column]:
     return {"level": level, "reasons": reasons}
 
 
+def message(threshold: int, check_seconds: float) -> dict[str, Column]:
+    """What a verdict is reported with."""
+    return {"status": level_name(F.col("level")),
+            "threshold": F.lit(threshold_or_default(threshold)).cast("bigint"),
+            "check_seconds": F.lit(check_seconds_or_default(check_seconds)).cast("double")}
+
+
 def health(samples: DataFrame, threshold: int = DEFAULT_THRESHOLD, grace_seconds: float = GRACE_SECONDS,
-           span_seconds: int = SPAN_SECONDS) -> DataFrame:
-    """Adds ``level``, ``status`` and ``reasons`` to each sample."""
+           span_seconds: int = SPAN_SECONDS, check_seconds: float = DEFAULT_CHECK_SECONDS) -> DataFrame:
+    """Adds ``level``, ``status`` and ``reasons`` to each sample, and the settings it was judged by."""
     judged = recheck(samples, grace_seconds, span_seconds).withColumns(verdict(threshold)).drop("last", "grew")
-    return judged.withColumn("status", level_name(F.col("level")))
+    return judged.withColumns(message(threshold, check_seconds))
 
 
 def worst_status(statuses: DataFrame, keys: list[str]) -> DataFrame:

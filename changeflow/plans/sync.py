@@ -17,7 +17,7 @@ from changeflow.operators.sqllog import sql_log
 from changeflow.sources.bulk import send_bulk, write_bulk
 from changeflow.sources.files import write_sql_log
 from changeflow.sources.kafka import read_changes_kafka, write_changes_kafka
-from changeflow.streaming.runner import OnBatch, run
+from changeflow.streaming.runner import OnBatch, handle_messages, run
 
 
 class BulkFailed(RuntimeError):
@@ -88,6 +88,10 @@ def pipe(changes: DataFrame, brokers: list[str], topic: str, checkpoint: str | N
 
 
 def consume(spark: SparkSession, brokers: list[str], topic: str, on_batch: OnBatch, checkpoint: str,
-            start: str = "latest", **how) -> StreamingQuery:
-    """A handler on the events of a topic; offsets are stored once it succeeded. ``how`` goes to ``run``."""
-    return run(read_changes_kafka(spark, brokers, topic, start), on_batch, checkpoint, **how)
+            start: str = "latest", offsets: str | None = None, **how) -> StreamingQuery:
+    """A handler on the events of a topic. The checkpoint moves on once it succeeded; with ``offsets``, a table at
+    that path does too. ``how`` goes to ``run``."""
+    events = read_changes_kafka(spark, brokers, topic, start)
+    if offsets is None:
+        return run(events, on_batch, checkpoint, **how)
+    return handle_messages(events, on_batch, offsets, checkpoint, **how)

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from changeflow.operators.health import DEFAULT_THRESHOLD, GRACE_SECONDS, level_name, verdict
+from changeflow.operators.health import DEFAULT_CHECK_SECONDS, DEFAULT_THRESHOLD, GRACE_SECONDS, message, verdict
 from changeflow.streaming.runner import OnBatch, run
 
 _SAMPLE = "ts timestamp, file_seq bigint, file_pos bigint, db_seq bigint, db_pos bigint, db_error string"
@@ -15,7 +15,8 @@ _FLAT_LAST = "last_file_seq bigint, last_file_pos bigint, last_db_seq bigint, la
 _CHECKED = f"server_id bigint, {_SAMPLE}, {_FLAT_LAST}, grew boolean"
 _FIELDS = ("file_seq", "file_pos", "db_seq", "db_pos")
 _CheckedRow = Row("server_id", "ts", *_FIELDS, "db_error", *(f"last_{f}" for f in _FIELDS), "grew")
-_AlertRow = Row("server_id", "ts", *_FIELDS, "db_error", "level", "reasons", "status", "last_status")
+_AlertRow = Row("server_id", "ts", *_FIELDS, "db_error", "level", "reasons", "status", "threshold", "check_seconds",
+                "last_status")
 
 
 def _ms(ts) -> int:
@@ -96,7 +97,7 @@ class Changed(StatefulProcessor):
 
 
 def health_stream(samples: DataFrame, threshold: int = DEFAULT_THRESHOLD, grace_seconds: float = GRACE_SECONDS,
-                  delay: str = "10 minutes") -> DataFrame:
+                  delay: str = "10 minutes", check_seconds: float = DEFAULT_CHECK_SECONDS) -> DataFrame:
     """As ``health``, live: only the memory of a server is state, the verdict is the batch one.
 
     Samples of a server come in the order of their time. A stuck sample is judged when a sample of its server
@@ -110,13 +111,14 @@ def health_stream(samples: DataFrame, threshold: int = DEFAULT_THRESHOLD, grace_
         F.struct(F.col("last_file_seq").alias("file_seq"), F.col("last_file_pos").alias("file_pos")).alias("file"),
         F.struct(F.col("last_db_seq").alias("db_seq"), F.col("last_db_pos").alias("db_pos")).alias("db"))
     judged = checked.withColumn("last", last).withColumns(verdict(threshold))
-    return judged.withColumn("status", level_name(F.col("level"))).select(
-        "server_id", "ts", *_FIELDS, "db_error", "level", "reasons", "status")
+    return judged.withColumns(message(threshold, check_seconds)).select(
+        "server_id", "ts", *_FIELDS, "db_error", "level", "reasons", "status", "threshold", "check_seconds")
 
 
 def alerts_stream(judged: DataFrame) -> DataFrame:
     """As ``alerts``, on the result of :func:`health_stream`."""
-    schema = (f"server_id bigint, {_SAMPLE}, level int, reasons array<string>, status string, last_status string")
+    schema = (f"server_id bigint, {_SAMPLE}, level int, reasons array<string>, status string, threshold bigint, "
+              "check_seconds double, last_status string")
     return judged.groupBy("server_id").transformWithState(Changed(), schema, "append", "none")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from changeflow.operators.normalise import carried_ends, carry_position, changes_of_carried
+from changeflow.operators.offsets import latest_offsets
 from changeflow.operators.progress import drop_unchanged, save_points
 from changeflow.streaming.state import KeyedTable
 
@@ -70,6 +71,26 @@ def notify_close(spark: SparkSession, query: StreamingQuery, on_close: Callable[
     return listener
 
 
+OFFSET_SCHEMA = "topic string, partition int, offset bigint"
+
+
+def stored_offsets(spark: SparkSession, path: str) -> KeyedTable:
+    """Offsets of the last handled messages: ``read()`` is what ``starting_offsets`` and ``resume_messages`` take."""
+    return KeyedTable(spark, path, OFFSET_SCHEMA, ["topic", "partition"], order="offset")
+
+
+def handle_messages(messages: DataFrame, on_batch: OnBatch, offsets: str, checkpoint: str, **how) -> StreamingQuery:
+    """A handler on messages (with ``topic, partition, offset``) that keeps their offsets in a table, for readers
+    other than the checkpoint. An offset is stored once the handler succeeded. ``how`` goes to :func:`run`."""
+    table = stored_offsets(messages.sparkSession, offsets)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        on_batch(batch, batch_id)
+        table.put(latest_offsets(batch), batch_id)
+
+    return run(messages, handle, checkpoint, **how)
+
+
 CARRY_SCHEMA = "server_id bigint, log_name string, log_pos bigint, gtid_set string"
 
 

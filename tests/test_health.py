@@ -127,6 +127,12 @@ def test_health_and_alerts_equal_a_fold(spark, seed, span):
     assert sorted((r.server_id, at(r)) for r in raised.collect()) == [w[:2] for w in want if w[3]]
 
 
+def test_settings_travel_with_the_verdict(spark):
+    judged = H.health(samples_of(spark, [(1, 0, A, (1, 5000), "")]), threshold=3000, check_seconds=0)
+    assert [(r.status, r.threshold, r.check_seconds) for r in judged.collect()] == [("red", 3000, 10.0)]
+    assert H.health(samples_of(spark, [(1, 0, A, A, "")]), threshold=5).first().threshold == 10_000
+
+
 def test_worst(spark):
     df = spark.createDataFrame([("a", 0), ("a", 2), ("b", 1), ("b", 0), ("c", 0)], "k string, level int")
     assert sorted((r.k, r.status) for r in H.worst_status(df, ["k"]).collect()) == [("a", "red"), ("b", "yellow"), ("c", "green")]

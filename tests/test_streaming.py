@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from catalog import views as V
 from changeflow import schema as S
 from changeflow.operators import docs as D, health as H, mapping as M, normalise as N, offsets as O, progress as G
+from changeflow.operators.filters import changes_since
 from changeflow.operators.sqllog import sql_log
 from changeflow.plans import sync
 from changeflow.sources.bulk import send_bulk, write_bulk
@@ -145,8 +146,7 @@ def test_progress_of_a_stream(spark, log, tmp_path):
         F.max_by(F.struct("log_name", "log_pos"), "saved_at").alias("p")).select("server_id", "p.*")
     columns = ["server_id", "log_name", "log_pos"]
     assert rows(saved.read(), columns) == rows(newest, columns)
-    since = O.latest_offsets  # noqa: F841 - positions saved here are what changes_since takes
-    from changeflow.operators.filters import changes_since
+    # The positions saved here are what a restart begins after.
     assert changes_since(read_changes_files(spark, log), saved.read()).where(S.is_row_event()).count() == 0
 
 
@@ -167,6 +167,33 @@ def test_raw_events_of_a_stream(spark, sf_dir, tmp_path):
     assert rows(spark.read.parquet(out), columns) == rows(N.normalise(raw), columns)
 
 
+def test_offsets_move_only_with_the_handler(spark, sf_dir, tmp_path):
+    path, offsets, cp = str(tmp_path / "topic"), str(tmp_path / "offsets"), str(tmp_path / "cp")
+    messages = V.messages(spark, sf_dir)
+    # One file per topic partition, the last one makes the handler fail.
+    for part in (0, 1, 2):
+        messages.where(F.col("partition") == part).coalesce(1).write.parquet(f"{path}/{part}")
+
+    def source():
+        return (spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1)
+                .option("recursiveFileLookup", "true").parquet(path))
+
+    def refuses(batch, batch_id):
+        if batch_id == 2:
+            raise RuntimeError("not now")
+
+    query = runner.handle_messages(source(), refuses, offsets, cp, available_now=True)
+    with pytest.raises(Exception, match="not now"):
+        query.awaitTermination(240)
+    stored = runner.stored_offsets(spark, offsets)
+    assert stored.read().count() == 2
+    left = O.resume_messages(messages, stored.read(), inclusive=False)
+    assert left.select("partition").distinct().count() == 1
+    finish(runner.handle_messages(source(), lambda b, i: None, offsets, cp, available_now=True))
+    columns = ["topic", "partition", "offset"]
+    assert rows(stored.read(), columns) == rows(O.latest_offsets(messages), columns)
+
+
 def test_keyed_table(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), "k long, v string", ["k"])
     assert table.read().count() == 0
