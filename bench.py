@@ -15,6 +15,7 @@ import os
 import statistics
 import tempfile
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -38,6 +39,12 @@ def session() -> SparkSession:
     return spark
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder for the logs: in the cluster's shared one where it names one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared}/changeflow-bench-{uuid.uuid4()}" if shared else tempfile.mkdtemp(prefix="changeflow-bench-")
+
+
 def stored(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
     path = f"{root}/{name}"
     df.repartition(FILES).write.parquet(path)
@@ -87,7 +94,7 @@ def run(df: DataFrame) -> float:
 
 def main() -> None:
     spark = session()
-    queries, rows = bench_queries(spark, tempfile.mkdtemp(prefix="changeflow-bench-"))
+    queries, rows = bench_queries(spark, scratch(spark))
     only = os.environ.get("BENCH_ONLY")
     seconds = {}
     for name, query in queries.items():

@@ -105,7 +105,6 @@ def bulk_errors(responses: DataFrame, code: str = "code", body: str = "body") ->
     """
     kept = [c for c in responses.columns if c != body]
     parsed = responses.select(*kept, F.from_json(body, RESPONSE_SCHEMA).alias("_r"))
-    text = "string"
     items = F.flatten(F.transform(F.coalesce(F.col("_r.items"), F.array()), lambda item: F.transform(
         F.map_entries(item), lambda e: F.struct(
             e["key"].alias("action"), e["value"]["_index"].alias("index"), e["value"]["_type"].alias("type"),
@@ -114,11 +113,11 @@ def bulk_errors(responses: DataFrame, code: str = "code", body: str = "body") ->
     whole = F.array(F.struct(
         F.lit("").alias("action"), F.lit("").alias("index"), F.lit("").alias("type"), F.lit("").alias("id"),
         F.col(code).cast("bigint").alias("status"),
-        F.concat(F.lit("bulk request failed with status "), F.col(code).cast(text)).alias("error")))
+        F.concat(F.lit("bulk request failed with status "), F.col(code).cast("string")).alias("error")))
     not_ok = (F.col(code) < 200) | (F.col(code) >= 300)
     rows = F.transform(F.array(failed), lambda f: F.when((F.size(f) == 0) & not_ok, whole).otherwise(f))[0]
-    blank = lambda c: F.coalesce(F.col(c).cast(text), F.lit(""))
-    message = F.concat(
-        blank("action"), F.lit(" index: "), blank("index"), F.lit(", type: "), blank("type"), F.lit(", id: "),
-        blank("id"), F.lit(", status: "), blank("status"), F.lit(", error: "), blank("error"))
+    action, index, kind, id_, status, error = (
+        F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("action", "index", "type", "id", "status", "error"))
+    message = F.concat(action, F.lit(" index: "), index, F.lit(", type: "), kind, F.lit(", id: "), id_,
+                       F.lit(", status: "), status, F.lit(", error: "), error)
     return parsed.select(*kept, F.inline(rows)).withColumn("message", message)

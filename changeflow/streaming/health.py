@@ -10,17 +10,18 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from changeflow.operators.health import DEFAULT_CHECK_SECONDS, DEFAULT_THRESHOLD, GRACE_SECONDS, message, verdict
 from changeflow.streaming.runner import OnBatch, run
 
-_SAMPLE = "ts timestamp, file_seq bigint, file_pos bigint, db_seq bigint, db_pos bigint, db_error string"
+# Times travel as microseconds, so that no time zone of a Python worker can touch them.
+_SAMPLE = "us bigint, file_seq bigint, file_pos bigint, db_seq bigint, db_pos bigint, db_error string"
 _FLAT_LAST = "last_file_seq bigint, last_file_pos bigint, last_db_seq bigint, last_db_pos bigint"
 _CHECKED = f"server_id bigint, {_SAMPLE}, {_FLAT_LAST}, grew boolean"
 _FIELDS = ("file_seq", "file_pos", "db_seq", "db_pos")
-_CheckedRow = Row("server_id", "ts", *_FIELDS, "db_error", *(f"last_{f}" for f in _FIELDS), "grew")
-_AlertRow = Row("server_id", "ts", *_FIELDS, "db_error", "level", "reasons", "status", "threshold", "check_seconds",
+_CheckedRow = Row("server_id", "us", *_FIELDS, "db_error", *(f"last_{f}" for f in _FIELDS), "grew")
+_AlertRow = Row("server_id", "us", *_FIELDS, "db_error", "level", "reasons", "status", "threshold", "check_seconds",
                 "last_status")
 
 
-def _ms(ts) -> int:
-    return int(ts.replace(microsecond=0).timestamp()) * 1000 + ts.microsecond // 1000
+def _in_order(rows: Iterator[Row]) -> list[Row]:
+    return sorted(rows, key=lambda r: (r.us, *(r[f] for f in _FIELDS)))
 
 
 class Recheck(StatefulProcessor):
@@ -42,14 +43,14 @@ class Recheck(StatefulProcessor):
         held = [list(r) for r in self.held.get()] if self.held.exists() else []
         last = tuple(self.last.get()) if self.last.exists() else None
         latest = 0
-        for row in sorted(rows, key=lambda r: (r.ts, *(r[f] for f in _FIELDS))):
-            latest = _ms(row.ts)
+        for row in _in_order(rows):
+            latest = row.us // 1000
             file = (row.file_seq, row.file_pos)
             for h in held:
-                if 1 <= latest - _ms(h[0]) <= self.grace_ms and file > (h[1], h[2]):
+                if 1 <= latest - h[0] // 1000 <= self.grace_ms and file > (h[1], h[2]):
                     h[-1] = True
             place = tuple(row[f] for f in _FIELDS)
-            held.append([row.ts, *place, row.db_error, *(last or place), False])
+            held.append([row.us, *place, row.db_error, *(last or place), False])
             last = place
         self.last.update(last)
         yield from self._release(key, held, latest)
@@ -62,7 +63,7 @@ class Recheck(StatefulProcessor):
         while held:
             first = held[0]
             moved = (first[1], first[2]) != (first[6], first[7])
-            if not (moved or first[-1] or _ms(first[0]) + self.grace_ms < now_ms):
+            if not (moved or first[-1] or first[0] // 1000 + self.grace_ms < now_ms):
                 break
             yield _CheckedRow(key[0], *first)
             held.pop(0)
@@ -70,7 +71,7 @@ class Recheck(StatefulProcessor):
             self.handle.deleteTimer(timer)
         if held:
             self.held.put([tuple(h) for h in held])
-            self.handle.registerTimer(_ms(held[0][0]) + self.grace_ms + 1)
+            self.handle.registerTimer(held[0][0] // 1000 + self.grace_ms + 1)
         else:
             self.held.clear()
 
@@ -86,7 +87,7 @@ class Changed(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         last = self.status.get()[0] if self.status.exists() else ""
-        for row in sorted(rows, key=lambda r: (r.ts, *(r[f] for f in _FIELDS))):
+        for row in _in_order(rows):
             if row.status != last and row.level > 0:
                 yield _AlertRow(*row, last)
             last = row.status
@@ -104,7 +105,8 @@ def health_stream(samples: DataFrame, threshold: int = DEFAULT_THRESHOLD, grace_
     shows that the grace period is over, or at the latest when the watermark passes it. ``delay`` is how far
     servers may be apart: a sample that is later than that is dropped by Spark.
     """
-    checked = (samples.select("server_id", F.col("ts").cast("timestamp").alias("ts"), *_FIELDS, "db_error")
+    ts = F.col("ts").cast("timestamp")
+    checked = (samples.select("server_id", ts.alias("ts"), F.unix_micros(ts).alias("us"), *_FIELDS, "db_error")
                .withWatermark("ts", delay).groupBy("server_id")
                .transformWithState(Recheck(grace_seconds), _CHECKED, "append", "eventTime"))
     last = F.struct(
@@ -112,14 +114,18 @@ def health_stream(samples: DataFrame, threshold: int = DEFAULT_THRESHOLD, grace_
         F.struct(F.col("last_db_seq").alias("db_seq"), F.col("last_db_pos").alias("db_pos")).alias("db"))
     judged = checked.withColumn("last", last).withColumns(verdict(threshold))
     return judged.withColumns(message(threshold, check_seconds)).select(
-        "server_id", "ts", *_FIELDS, "db_error", "level", "reasons", "status", "threshold", "check_seconds")
+        "server_id", F.timestamp_micros("us").alias("ts"), *_FIELDS, "db_error", "level", "reasons", "status",
+        "threshold", "check_seconds")
 
 
 def alerts_stream(judged: DataFrame) -> DataFrame:
     """As ``alerts``, on the result of :func:`health_stream`."""
     schema = (f"server_id bigint, {_SAMPLE}, level int, reasons array<string>, status string, threshold bigint, "
               "check_seconds double, last_status string")
-    return judged.groupBy("server_id").transformWithState(Changed(), schema, "append", "none")
+    timed = judged.withColumn("us", F.unix_micros("ts")).drop("ts")
+    raised = (timed.select("server_id", "us", *(c for c in timed.columns if c not in ("server_id", "us")))
+              .groupBy("server_id").transformWithState(Changed(), schema, "append", "none"))
+    return raised.withColumn("us", F.timestamp_micros("us")).withColumnRenamed("us", "ts")
 
 
 def run_alerts(samples: DataFrame, on_alert: OnBatch, checkpoint: str, threshold: int = DEFAULT_THRESHOLD,

@@ -17,7 +17,8 @@ class KeyedTable:
     ``path`` must be shared storage that all executors reach.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str | StructType, keys: Sequence[str], order: str = "batch_id"):
+    def __init__(self, spark: SparkSession, path: str, schema: str | StructType, keys: Sequence[str],
+                 order: str = "batch_id"):
         self.spark, self.path, self.keys, self.order = spark, path, list(keys), order
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
 

@@ -17,7 +17,3 @@ def one(df):
     assert len(rows) == 1, rows
     return rows[0]
 
-
-def exchanges(df):
-    """Physical plan text."""
-    return df._jdf.queryExecution().executedPlan().toString()

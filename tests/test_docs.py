@@ -4,7 +4,6 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from changeflow.operators import docs as D
-from tests.helpers import one
 
 SCHEMA = ("server_id long, log_name string, log_pos long, row_ordinal long, action string, index string, id string, "
           "parent string, pipeline string, data map<string,string>")

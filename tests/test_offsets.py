@@ -64,3 +64,9 @@ def test_messages(spark):
         kafka.messages_of(changes, key="other")
     empty = kafka.messages_of(changes, encoder=lambda df: df.withColumn("value", F.when(F.col("log_pos") == 2, "two")))
     assert [r.value for r in empty.collect()] == ["two"]
+
+
+def test_a_stream_to_kafka_needs_a_checkpoint(spark):
+    stream = spark.readStream.format("rate").load().selectExpr("cast(value as string) value")
+    with pytest.raises(ValueError, match="checkpoint"):
+        kafka.write_changes_kafka(stream, ["a:1"], "t", encoder=lambda df: df)

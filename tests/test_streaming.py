@@ -15,7 +15,7 @@ from changeflow.sources.codec import encode_changes
 from changeflow.operators.bulk import batch_requests, bulk_bodies, bulk_errors
 from changeflow.streaming import runner
 from changeflow.streaming.docs import doc_table, follow_requests, read_docs
-from changeflow.streaming.health import alerts_stream, health_stream, run_alerts
+from changeflow.streaming.health import health_stream, run_alerts
 from changeflow.streaming.state import KeyedTable
 from tests.helpers import changes_of
 
