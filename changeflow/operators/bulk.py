@@ -46,7 +46,8 @@ def batch_requests(requests: DataFrame, bulk_size: int = DEFAULT_BULK_SIZE, shar
 
     A batch is flushed when it is full or when its span ends. Spans (default: blocks of the log) follow each
     other, so the order of a document's requests is (span, no, seq); and as a span bounds the rows of a window
-    partition, neither a hot document nor a hot server ends up in one task.
+    partition, neither a hot document nor a hot server ends up in one task. Copies of an event share its place
+    in the log: drop them before (``dedup_changes``).
     """
     size = bulk_size_or_default(bulk_size)
     span = log_block() if span is None else list(span)

@@ -80,6 +80,7 @@ def order_changes(changes: DataFrame, partitions: int | None = None) -> DataFram
 
     Ranges of (server, table, row, position), sorted inside: the changes of a row are in order within a
     partition and from one partition to the next, and a hot row is cut by position, not kept in one task.
+    Copies of an event share its place: drop them before (:func:`dedup_changes`).
     """
     order = [F.col("server_id"), F.col("db"), F.col("table"), F.col("_key"), F.col("_seq"), F.col("log_pos"),
              F.col("row_ordinal")]

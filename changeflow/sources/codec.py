@@ -18,7 +18,7 @@ WIRE_SCHEMA = (
 
 def decode_changes(messages: DataFrame, value: str = "value", binary_fields: Iterable[str] = ()) -> DataFrame:
     """Adds the columns of a change event, parsed once, in place of ``value``. Text that is no event gives an
-    event of nulls with the text in ``malformed``; filter on it, nothing is dropped here."""
+    event of nulls with the text in ``malformed`` ("" for a null message); filter on it, nothing is dropped here."""
     text = F.col(value).cast("string")
     event = F.from_json(text, WIRE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"})
     kept = [c for c in messages.columns if c != value]
@@ -36,7 +36,7 @@ def decode_changes(messages: DataFrame, value: str = "value", binary_fields: Ite
         F.coalesce("_e.primary", S.empty_names()).alias("primary"), image("before"), image("after"),
         F.col("_e.timestamp").alias("timestamp"),
         F.coalesce("_e.row_ordinal", F.lit(0).cast("bigint")).alias("row_ordinal"),
-        F.when(bad, F.col("_text")).alias("malformed"))
+        F.when(bad, F.coalesce("_text", F.lit(""))).alias("malformed"))
 
 
 def encode_value(with_ordinal: bool = False, binary_fields: Iterable[str] = ()) -> Column:

@@ -77,10 +77,10 @@ def test_resume_reads_from_the_saved_files_on(spark, tmp_path):
 
 
 def test_malformed_messages_are_kept_aside(spark):
-    rows = spark.createDataFrame([('{"event_type":"xid","server_id":1,"log_pos":4}',), ("{broken",), ("[]",)], "value string")
+    rows = spark.createDataFrame([('{"event_type":"xid","server_id":1,"log_pos":4}',), ("{broken",), ("[]",), (None,)], "value string")
     got = codec.decode_changes(rows).select("event_type", "primary", "before", "row_ordinal", "malformed").collect()
     assert tuple(got[0]) == ("xid", [], {}, 0, None)
-    assert [r.malformed for r in got[1:]] == ["{broken", "[]"]
+    assert [r.malformed for r in got[1:]] == ["{broken", "[]", ""]
 
 
 def test_wire_form(spark):
