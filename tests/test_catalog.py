@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from catalog.queries import QUERIES
 from verify_queries import compare, connect
 
 
@@ -11,7 +12,7 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, sf_dir, con, name):
     assert name in oracle_sql()
     verdict = compare(spark, con, sf_dir, name)
