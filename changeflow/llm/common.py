@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 #: White space between words, and a word, as patterns of Java, Python and DuckDB alike.
 SPACE = r"[\x20\x09-\x0D]"
@@ -127,10 +127,10 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
 
 
 class Texts:
-    """Texts of a block: ids, the bytes of all texts end to end, and where each text starts."""
+    """Texts of a block: ids, the bytes of all texts end to end, where each text starts, and the rows' other columns."""
 
-    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray):
-        self.ids, self.data, self.offsets = ids, data, offsets
+    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, rest: pa.Table | None = None):
+        self.ids, self.data, self.offsets, self.rest = ids, data, offsets, rest
 
     def __len__(self) -> int:
         return len(self.ids)
@@ -158,7 +158,7 @@ def texts_of(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Ite
                 yield _joined(held)
                 held, size = [], 0
                 continue
-            held.append((ids[at:to], data[offsets[at]:offsets[to]], np.diff(offsets[at:to + 1])))
+            held.append((ids[at:to], data[offsets[at]:offsets[to]], np.diff(offsets[at:to + 1]), batch.slice(at, to - at)))
             size += more
             at = to
     if held:
@@ -167,48 +167,63 @@ def texts_of(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Ite
 
 def _joined(held: list) -> Texts:
     lengths = np.concatenate([x[2] for x in held])
+    rest = pa.Table.from_batches([x[3] for x in held]).drop_columns(held[0][3].schema.names[:2]) if held[0][3].num_columns > 2 else None
     return Texts(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]),
-                 np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64))
+                 np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), rest)
 
 
-BLOCK_SCHEMA = "block long, ids binary, offsets binary, data binary"
-_ZSTD = pa.Codec("zstd", compression_level=3)
+PACKED = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("offsets", pa.binary()), ("data", pa.binary()), ("rest", pa.binary())])
+PACKED_COLUMNS = "block long, ids binary, offsets binary, data binary, rest binary"
 
 
-def pack(texts: Texts) -> dict:
-    return {"ids": texts.ids.astype("<i8").tobytes(), "offsets": texts.offsets.astype("<i8").tobytes(),
-            "data": _ZSTD.compress(texts.data, asbytes=True)}
+def pack(block: int, texts: Texts) -> dict:
+    """A block as one row: compressed text, and the other columns as an Arrow stream."""
+    rest = None
+    if texts.rest is not None:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, texts.rest.schema) as out:
+            out.write_table(texts.rest)
+        rest = sink.getvalue().to_pybytes()
+    return {"block": block, "ids": texts.ids.astype("<i8").tobytes(), "offsets": texts.offsets.astype("<i8").tobytes(),
+            "data": pa.Codec("zstd", compression_level=3).compress(texts.data, asbytes=True), "rest": rest}
 
 
 def unpack(row: dict) -> Texts:
     offsets = np.frombuffer(row["offsets"], "<i8")
-    data = _ZSTD.decompress(row["data"], decompressed_size=int(offsets[-1]), asbytes=True) if offsets[-1] else b""
-    return Texts(np.frombuffer(row["ids"], "<i8"), np.frombuffer(data, np.uint8), offsets)
+    data = pa.Codec("zstd").decompress(row["data"], decompressed_size=int(offsets[-1]), asbytes=True) if offsets[-1] else b""
+    rest = pa.ipc.open_stream(row["rest"]).read_all() if row["rest"] is not None else None
+    return Texts(np.frombuffer(row["ids"], "<i8"), np.frombuffer(data, np.uint8), offsets, rest)
 
 
-def text_column(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id long with null as ``NULL_ID``, text string with null as empty)."""
+def text_column(docs: DataFrame, id_col: str, text_col: str, keep: bool = False) -> DataFrame:
+    """(id long with null as ``NULL_ID``, text string with null as empty); ``keep`` adds whether the text is null, and all
+    columns but the text by their place, so that names cannot clash."""
+    rest = [F.col(text_col).isNull().alias("rest"), *(F.col(f"`{c}`").alias(f"rest_{i}") for i, c in enumerate(docs.columns) if c != text_col)]
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *(rest if keep else []))
+
+
+def rest_fields(docs: DataFrame, text_col: str) -> list[tuple[str, T.DataType, str]]:
+    """(name within the operator, type, name in ``docs``) of the columns that ``text_column(keep=True)`` adds after the flag."""
+    return [(f"rest_{i}", f.dataType, f.name) for i, f in enumerate(docs.schema.fields) if f.name != text_col]
 
 
 def id_or_null(column: str = "id") -> Column:
     return F.nullif(F.col(column), F.lit(NULL_ID))
 
 
-def blocks(docs: DataFrame, folder: str, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents packed in blocks of about ``block_bytes``, written to ``folder`` and read back. A block's number
-    holds the input partition and the place in it, so blocks of sorted partitions come in order."""
+def blocks(docs: DataFrame, folder: str, extra: pa.Schema, columns: str, digest: Callable[[Texts], dict],
+           block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The texts of ``text_column`` packed in blocks, with the columns that ``digest`` makes of each block, written to ``folder``
+    and read back. A block's number holds the input partition and the place in it, so blocks of sorted partitions come in order."""
+    schema = pa.schema([*PACKED, *extra])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
         for k, texts in enumerate(texts_of(batches, block_bytes)):
-            yield rows_batch([{"block": part + k, **pack(texts)}], _BLOCK_ARROW)
-
-    return saved(text_column(docs, id_col, text_col).mapInArrow(packed, BLOCK_SCHEMA), folder, "blocks")
+            yield rows_batch([pack(part + k, texts) | digest(texts)], schema)
 
-
-_BLOCK_ARROW = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("offsets", pa.binary()), ("data", pa.binary())])
+    return saved(docs.mapInArrow(packed, f"{PACKED_COLUMNS}, {columns}" if columns else PACKED_COLUMNS), folder, "blocks")
 
 
 def rows_batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
@@ -218,7 +233,7 @@ def rows_batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
 # Words
@@ -272,6 +287,26 @@ def key_bits(count: int) -> int:
     return int(np.clip(max(1, count - 1).bit_length(), 6, MAX_BUCKETS.bit_length() - 1))
 
 
+def replies(asked: DataFrame, answer: Callable[[list[dict]], list[bytes]], folder: str, name: str) -> DataFrame:
+    """Brings the rows (bucket, block, ...) of a bucket together, lets ``answer`` give bytes for each row, and returns them by
+    block: (block, replies: array of (bucket, reply)).
+
+    A block sends a key once, so a key that is everywhere costs a bucket one entry per block, and buckets are even."""
+    schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("reply", pa.binary())])
+
+    def answered(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        return pa.Table.from_pylist([{"bucket": r["bucket"], "block": r["block"], "reply": a} for r, a in zip(rows, answer(rows))], schema=schema)
+
+    told = asked.groupBy("bucket").applyInArrow(answered, "bucket int, block long, reply binary")
+    return saved(told.groupBy("block").agg(F.collect_list(F.struct("bucket", "reply")).alias("replies")), folder, name)
+
+
+def with_replies(packed: DataFrame, told: DataFrame) -> DataFrame:
+    """The blocks with their replies; blocks that asked nothing have null."""
+    return packed.join(told, "block", "left")
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
     """Sorted distinct 64-bit keys as differences, in as many bytes each as the largest needs."""
     if not len(keys):

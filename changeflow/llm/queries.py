@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import minhash
+from changeflow.llm import minhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the windows of 35 words that also start anywhere else."""
+    kept = substrings.dedup_substrings(table(spark, sf_dir, "documents"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 2-word shingles are similar by 80 %."""
