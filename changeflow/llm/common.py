@@ -33,6 +33,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+# Columns
+
+
+def word_array(text: Column) -> Column:
+    """The words of a text column that is not null."""
+    trimmed = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE + "+"))
+
+
 # Tables between steps
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import minhash, substrings
+from changeflow.llm import minhash, mixing, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document."""
+    mixed = mixing.mix_sizes(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
+
+
 @query
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the windows of 35 words that also start anywhere else."""
@@ -29,6 +36,13 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of all documents."""
+    return quality.quality(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 2-word shingles are similar by 80 %."""
