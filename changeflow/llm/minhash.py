@@ -24,6 +24,8 @@ from changeflow.llm.components import components
 BANDS, BAND_ROWS = 32, 4
 _M1, _M2 = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 _CHUNK = 1 << 14
+#: Members in a block of the grid in which a key's members are compared.
+GRID = 2000
 
 
 def _scatter(x: np.ndarray) -> np.ndarray:
@@ -88,28 +90,29 @@ def set_marks(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return counts.astype(np.int64), out[0].view(np.int64), out[1].view(np.int64)
 
 
-_SIG_SCHEMA = "id long, n_shingles long, set_a long, set_b long, keys binary"
-_SIG_ARROW = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("keys", pa.binary())])
+_SIG_SCHEMA = "id long, n_shingles long, set_a long, set_b long, keys binary, sketch binary"
+_SIG_ARROW = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("keys", pa.binary()), ("sketch", pa.binary())])
 
 
 def band_signatures(docs: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows: int) -> DataFrame:
-    """(id, n_shingles, a 128-bit hash of the set, one 64-bit key per band) of each document."""
+    """(id, n_shingles, a 128-bit hash of the set, one 64-bit key per band, the last byte of each coordinate) of each document."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in C.texts_of(batches, C.CHUNK_BYTES):
             hashes, counts = shingle_sets(texts, k)
             some = np.flatnonzero(counts)
             keys: list = [None] * len(texts)
+            sketch: list = [None] * len(texts)
             n, set_a, set_b = set_marks(hashes, counts)
             if len(some):
                 sig = signatures(hashes, counts, bands * rows)
                 mixed = np.zeros((len(some), bands), np.uint64) + C.mix(np.arange(1, bands + 1, dtype=np.uint64))
                 for r in range(rows):
                     mixed = C.mix(mixed ^ sig[:, r::rows])
-                for i, row in zip(some, mixed):
-                    keys[i] = row.tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(texts.ids), pa.array(n), pa.array(set_a), pa.array(set_b), pa.array(keys, pa.binary())],
-                                             schema=_SIG_ARROW)
+                for i, row, low in zip(some, mixed, sig.astype(np.uint8)):
+                    keys[i], sketch[i] = row.tobytes(), low.tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(texts.ids), pa.array(n), pa.array(set_a), pa.array(set_b), pa.array(keys, pa.binary()),
+                                              pa.array(sketch, pa.binary())], schema=_SIG_ARROW)
 
     return C.text_column(docs, id_col, text_col).mapInArrow(signed, _SIG_SCHEMA)
 
@@ -127,15 +130,42 @@ def band_rows(classes: DataFrame, bands: int) -> DataFrame:
     return classes.select("rep", "n_shingles", "keys").mapInArrow(spread, "rep long, n_shingles long, key long")
 
 
-def _could_reach(a: str, b: str, percent: int):
-    """Sets of these sizes can be as similar as ``percent``."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-
-def verified(pairs: DataFrame, docs: DataFrame, folder: str, name: str, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+def across_parts(open_rows: DataFrame, folder: str, percent: int, size: int) -> DataFrame:
+    """Distinct pairs (a, b) of members of one key that lie in different parts and whose sizes and signatures do not rule out
+    the threshold. Members outside the key's main part meet all members in blocks of a grid, so a task holds two blocks at most."""
+    # A pair at the threshold agrees in so few coordinates once in 3e7.
+    share = percent / 100
+    least = int(share * size - 5.4 * (share * (1 - share) * size) ** 0.5)
+    sizes = open_rows.groupBy("key").agg(F.ceil(F.count("*") / GRID).cast("int").alias("all_blocks"),
+                                         F.ceil(F.count(F.when(F.col("part") != F.col("main"), 1)) / GRID).cast("int").alias("other_blocks"))
+    met = open_rows.join(sizes, "key")
+    salt = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    left = met.where("part != main").select("key", "rep", "part", "n_shingles", "sketch", F.lit(True).alias("outer"), salt(F.col("other_blocks")).alias("i"),
+                                            F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("j"))
+    right = met.select("key", "rep", "part", "n_shingles", "sketch", F.lit(False).alias("outer"), F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)).alias("i"),
+                       salt(F.col("all_blocks")).alias("j"))
+
+    def compared(group: pa.Table) -> pa.Table:
+        rep, part, n = (group.column(c).to_numpy() for c in ("rep", "part", "n_shingles"))
+        outer = group.column("outer").to_numpy(zero_copy_only=False).astype(bool)
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, size)
+        inner = np.flatnonzero(~outer)
+        found = []
+        for x in np.flatnonzero(outer):
+            could = inner[(part[inner] != part[x]) & (100 * np.minimum(n[inner], n[x]) >= percent * np.maximum(n[inner], n[x]))]
+            could = could[(sketch[could] == sketch[x]).sum(1) >= least]
+            found.append(np.stack([np.minimum(rep[could], rep[x]), np.maximum(rep[could], rep[x])], 1))
+        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return left.union(right).groupBy("key", "i", "j").applyInArrow(compared, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, docs: DataFrame, folder: str, name: str, id_col: str, text_col: str, k: int, percent: int, join: str = "merge") -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough. Texts travel compressed; the pair's first
     side, which may be one class with very many partners, is joined while rows are small."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = wanted.hint(join) if join else wanted
 
     def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=3)
@@ -183,8 +213,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     folder = C.workdir(docs.sparkSession, "minhash")
     signed = C.saved(band_signatures(docs, id_col, text_col, k, bands, rows), folder, "signatures")
     some = signed.where((F.col("n_shingles") > 0) & (F.col("id") != C.NULL_ID))
-    one = some.groupBy("id").agg(F.min(F.struct("n_shingles", "set_a", "set_b", "keys")).alias("s")).select("id", "s.*")
-    classes = C.saved(one.groupBy("n_shingles", "set_a", "set_b").agg(F.min("id").alias("rep"), F.min("keys").alias("keys"),
+    one = some.groupBy("id").agg(F.min(F.struct("n_shingles", "set_a", "set_b", "keys", "sketch")).alias("s")).select("id", "s.*")
+    classes = C.saved(one.groupBy("n_shingles", "set_a", "set_b").agg(F.min("id").alias("rep"), F.min("keys").alias("keys"), F.min("sketch").alias("sketch"),
                                                                       F.count("*").alias("copies")), folder, "classes")
     shared = C.saved(_shared_keys(classes, bands), folder, "shared")
 
@@ -199,19 +229,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = shared.join(found, shared.rep == found.node, "left").select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("part"))
     parts = placed.groupBy("key", "part").agg(F.count("*").alias("members"))
     mixed = parts.groupBy("key").agg(F.max_by("part", F.struct("members", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    open_rows = C.saved(placed.join(mixed, "key"), folder, "open")
-    x, y = open_rows.where("part != main").alias("x"), open_rows.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") != F.col("y.part")) & _could_reach("x.n_shingles", "y.n_shingles", percent))
-    second = _ordered(across.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))).distinct().join(first, ["a", "b"], "left_anti")
-    second = C.saved(second, folder, "second")
+    open_rows = C.saved(placed.join(mixed, "key").join(classes.select("rep", "sketch"), "rep"), folder, "open")
+    second = C.saved(across_parts(open_rows, folder, percent, bands * rows).join(first, ["a", "b"], "left_anti"), folder, "second")
     if not second.isEmpty():
-        links = links.union(verified(second, docs, folder, "second", id_col, text_col, k, percent))
+        links = links.union(verified(second, docs, folder, "second", id_col, text_col, k, percent, ""))
         found = components(links, folder, "second-components")
 
     # Only documents with copies or links need a name; the others are their own component.
     named = classes.join(found, classes.rep == found.node, "left").where("copies > 1 or component is not null").select(
         "n_shingles", "set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
-    placed = one.drop("keys").join(named, ["n_shingles", "set_a", "set_b"]).select("id", "component_id")
+    placed = one.drop("keys", "sketch").join(named, ["n_shingles", "set_a", "set_b"]).select("id", "component_id")
     return signed.select("id", "n_shingles").join(placed, "id", "left").select(
         C.id_or_null().alias("id"), "n_shingles",
         F.when(F.col("id") != C.NULL_ID, F.coalesce("component_id", "id")).alias("component_id"),
@@ -226,4 +253,4 @@ def _shared_keys(classes: DataFrame, bands: int) -> DataFrame:
     """(key, rep, n_shingles) for keys of more than one class."""
     spread = band_rows(classes, bands)
     several = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return spread.join(several, "key").select("key", "rep", "n_shingles")
+    return spread.join(several.hint("merge"), "key").select("key", "rep", "n_shingles")
