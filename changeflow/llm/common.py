@@ -16,7 +16,7 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text in a packed block. A longer document has a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Bytes of text handled at once where nothing is kept: the arrays stay in the processor's caches.
 CHUNK_BYTES = 1 << 20
 MAX_BUCKETS = 8192
