@@ -245,6 +245,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(F.coalesce("component_id", "id") == F.col("id"), F.lit(True)).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps: one document of each component.
+
+    Of rows that share an id, which are one document, one stays (the first by length and text). Rows without id all stay."""
+    folder = C.workdir(docs.sparkSession, "minhash-kept")
+    found = C.saved(near_duplicates(docs, id_col, text_col, k, percent), folder, "kept")
+    kept = found.where("kept and id is not null").groupBy("id").agg(F.count("*").alias("rows"))
+    kept = kept.select(F.col("id").alias("kept_id"), "rows").hint("merge")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    held = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    met = held.join(kept, F.col("id") == F.col("kept_id"))
+    once = met.where("rows = 1").select("row.*")
+    several = met.where("rows > 1").groupBy("id").agg(F.min_by("row", F.struct(F.length("text"), "text")).alias("row")).select("row.*")
+    return once.union(several).union(docs.where(F.col(id_col).isNull()))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 

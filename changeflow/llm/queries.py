@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import minhash, mixing, quality, substrings
+from changeflow.llm import bpe, minhash, mixing, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -36,6 +36,16 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, and the texts decoded from them."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded_name="decoded")
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of all documents."""
