@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import bpe, minhash, mixing, quality, substrings
+from changeflow.llm import bpe, lm, minhash, mixing, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,3 +57,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 2-word shingles are similar by 80 %."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all documents under the n-gram automaton and the model of single words."""
+    return lm.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
