@@ -115,13 +115,16 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
 def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, source, fences per metric): a row for each group, from the first sketch of source, language and all that holds
     ``min_docs`` documents, or from all."""
-    own, lang, every = _quartiles(sketch, ["lang", "source"]), _quartiles(sketch, ["lang"]), _quartiles(sketch, [])
+    own, lang = _quartiles(sketch, ["lang", "source"]), _quartiles(sketch, ["lang"])
+    # One row of a dozen numbers.
+    every = _quartiles(sketch, []).select(*METRICS).first()
+    fences = lambda level: F.struct(*(F.col(f"{level}.{m}") for m in METRICS))
+    of_all = F.struct(*(F.struct(F.lit(every[m]["low"] if every[m] else None).cast("double").alias("low"),
+                                 F.lit(every[m]["high"] if every[m] else None).cast("double").alias("high")).alias(m) for m in METRICS))
     wide = lambda df, level: df.select(*(c for c in df.columns if c in ("lang", "source")), F.struct("docs", *METRICS).alias(level))
     lang = wide(lang, "by_lang").withColumnRenamed("lang", "of_lang")
-    got = wide(own, "own").join(lang, F.col("lang").eqNullSafe(F.col("of_lang"))).join(F.broadcast(wide(every, "by_all")))
-    pick = F.when(F.col("own.docs") >= min_docs, F.struct(*(F.col(f"own.{m}") for m in METRICS))).when(
-        F.col("by_lang.docs") >= min_docs, F.struct(*(F.col(f"by_lang.{m}") for m in METRICS))).otherwise(
-        F.struct(*(F.col(f"by_all.{m}") for m in METRICS)))
+    got = wide(own, "own").join(lang, F.col("lang").eqNullSafe(F.col("of_lang")))
+    pick = F.when(F.col("own.docs") >= min_docs, fences("own")).when(F.col("by_lang.docs") >= min_docs, fences("by_lang")).otherwise(of_all)
     return got.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), pick.alias("t"))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import bpe, lm, minhash, mixing, quality, substrings
+from changeflow.llm import bpe, chat, lm, minhash, mixing, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,3 +63,17 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probabilities of all documents under the n-gram automaton and the model of single words."""
     return lm.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formatted conversations, read back from the output."""
+    odd = r"\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema)
+    done = chat.format_chats(rows.union(extra))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learnt = F.array_join(F.transform("spans", lambda s: chat.unescape(F.substr(F.col("formatted"), s["start"] + 1, s["length"]))), "")
+    return done.select(F.col("id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+                       F.char_length(learnt).cast("long").alias("loss_chars"), F.sha2(learnt, 256).alias("loss_sha256"),
+                       F.char_length("formatted").cast("long").alias("formatted_chars"), "exact")
