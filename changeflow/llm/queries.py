@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import bpe, chat, lm, minhash, mixing, quality, substrings
+from changeflow.llm import bpe, chat, forest, lm, minhash, mixing, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,3 +77,9 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(F.col("id").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
                        F.char_length(learnt).cast("long").alias("loss_chars"), F.sha2(learnt, 256).alias("loss_sha256"),
                        F.char_length("formatted").cast("long").alias("formatted_chars"), "exact")
+
+
+@query
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings with a cosine of at least 0.9."""
+    return forest.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
