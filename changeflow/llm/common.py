@@ -119,6 +119,11 @@ def window_hashes(values: np.ndarray, k: int) -> np.ndarray:
     return span_hashes(values, starts, starts + k)
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z in lower case."""
+    return _LOWER[data]
+
+
 def byte_values(data: np.ndarray) -> np.ndarray:
     return _BYTE_VALUE[data]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import bpe, chat, forest, lm, minhash, mixing, quality, substrings
+from changeflow.llm import bpe, chat, forest, licenses, lm, minhash, mixing, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,3 +83,9 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings with a cosine of at least 0.9."""
     return forest.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents, with coverage and span."""
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
