@@ -28,38 +28,7 @@ class Anchored:
     def __init__(self, words: C.Words, window: int):
         self.words, self.window = words, window
         k = min(ANCHOR_WORDS, window)
-        self.starts = words.windows(window)
-        runs = C.window_hashes(words.hashes, k)
-        width = window - k + 1
-        if not len(self.starts):
-            self.keys = np.zeros(0, np.uint64)
-            self.first = self.last = np.zeros(0, np.int64)
-            return
-        low = C.sliding_min(runs, width)[self.starts]
-        # The leftmost run with the smallest hash: places where the hash is that of the window's anchor, met in order.
-        self._group(runs, low, width)
-
-    def _group(self, runs: np.ndarray, low: np.ndarray, width: int) -> None:
-        starts = self.starts
-        n = len(starts)
-        # Windows with one anchor place follow each other: the place is the first one from the start on with that hash.
-        anchor = np.empty(n, np.int64)
-        hit = runs[starts] == low
-        anchor[hit] = starts[hit]
-        rest = np.flatnonzero(~hit)
-        # The anchor of a window that does not begin with it is the anchor of the next window, unless that one ended later.
-        step = 1
-        while len(rest):
-            found = runs[starts[rest] + step] == low[rest]
-            anchor[rest[found]] = starts[rest[found]] + step
-            rest = rest[~found]
-            step += 1
-        new = np.ones(n, bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
-        at = np.flatnonzero(new)
-        self.first = starts[at]
-        self.last = starts[np.append(at[1:], n) - 1]
-        self.keys = runs[anchor[at]]
+        self.first, self.last, self.keys = C.stretches(C.window_hashes(words.hashes, k), words.windows(window), window - k + 1)
 
     def stretch_hashes(self) -> np.ndarray:
         return C.span_hashes(self.words.hashes, self.first, self.last + self.window)
