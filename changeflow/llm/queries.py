@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from changeflow.llm import bpe, chat, forest, licenses, lm, minhash, mixing, quality, substrings
+from changeflow.llm import bpe, chat, forest, licenses, lm, minhash, mixing, quality, substrings, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes in runs of 50 that also start in a smaller document."""
+    kept = suffixes.dedup_bytes(table(spark, sf_dir, "documents"), length=50)
+    return kept.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
