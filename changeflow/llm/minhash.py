@@ -24,7 +24,7 @@ from changeflow.llm.components import components
 BANDS, BAND_ROWS = 32, 4
 _M1, _M2 = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
 _CHUNK = 1 << 14
-#: Members in a block of the grid in which a key's members are compared.
+#: Documents in a block of the grid in which members are compared across components.
 GRID = 2000
 
 
@@ -130,42 +130,65 @@ def band_rows(classes: DataFrame, bands: int) -> DataFrame:
     return classes.select("rep", "n_shingles", "keys").mapInArrow(spread, "rep long, n_shingles long, key long")
 
 
-def across_parts(open_rows: DataFrame, folder: str, percent: int, size: int) -> DataFrame:
-    """Distinct pairs (a, b) of members of one key that lie in different parts and whose sizes and signatures do not rule out
-    the threshold. Members outside the key's main part meet all members in blocks of a grid, so a task holds two blocks at most."""
+def across_parts(open_rows: DataFrame, texts: DataFrame, sketches: DataFrame, folder: str, k: int, percent: int, size: int) -> DataFrame:
+    """Links (a, b) between members of keys whose members lie in different parts: enough to join all parts that any pair joins.
+
+    Members that meet under any key are one pool. Those outside the pool's main part are compared with all of
+    it, in blocks of a grid: a task holds two blocks of documents at most, and returns links, not pairs. Sizes and signatures rule
+    most pairs out; the others are compared by their full sets, until their parts are joined."""
     # A pair at the threshold agrees in so few coordinates once in 3e7.
     share = percent / 100
     least = int(share * size - 5.4 * (share * (1 - share) * size) ** 0.5)
-    sizes = open_rows.groupBy("key").agg(F.ceil(F.count("*") / GRID).cast("int").alias("all_blocks"),
-                                         F.ceil(F.count(F.when(F.col("part") != F.col("main"), 1)) / GRID).cast("int").alias("other_blocks"))
-    met = open_rows.join(sizes, "key")
+    low = open_rows.groupBy("key").agg(F.min("rep").alias("low"))
+    pools = components(open_rows.join(low, "key").select(F.col("low").alias("a"), F.col("rep").alias("b")), folder, "pools")
+    members = C.saved(open_rows.select("rep", "part").distinct().join(pools.select(F.col("node").alias("rep"), F.col("component").alias("pool")), "rep"), folder, "members")
+    sizes = members.groupBy("pool", "part").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("pool").agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("of_main")).select(
+        "pool", "main", F.ceil(F.col("n") / GRID).cast("int").alias("all_blocks"), F.ceil((F.col("n") - F.col("of_main")) / GRID).cast("int").alias("other_blocks"))
+    met = members.join(sizes, "pool").join(sketches, "rep").join(texts.select(F.col("id").alias("rep"), "t.size", "t.text"), "rep")
+    met = C.saved(met, folder, "pooled")
     salt = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
-    left = met.where("part != main").select("key", "rep", "part", "n_shingles", "sketch", F.lit(True).alias("outer"), salt(F.col("other_blocks")).alias("i"),
-                                            F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("j"))
-    right = met.select("key", "rep", "part", "n_shingles", "sketch", F.lit(False).alias("outer"), F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)).alias("i"),
-                       salt(F.col("all_blocks")).alias("j"))
+    kept = ["pool", "rep", "part", "sketch", "size", "text"]
+    left = met.where("part != main").select(*kept, F.lit(True).alias("outer"), salt(F.col("other_blocks")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("j"))
+    right = met.select(*kept, F.lit(False).alias("outer"), F.explode(F.sequence(F.lit(0), F.col("other_blocks") - 1)).alias("i"), salt(F.col("all_blocks")).alias("j"))
 
     def compared(group: pa.Table) -> pa.Table:
-        rep, part, n = (group.column(c).to_numpy() for c in ("rep", "part", "n_shingles"))
+        rep, part = (group.column(c).to_numpy() for c in ("rep", "part"))
         outer = group.column("outer").to_numpy(zero_copy_only=False).astype(bool)
         sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, size)
-        inner = np.flatnonzero(~outer)
-        found = []
+        hashes, counts = shingle_sets(_unpacked(group.column("size").to_pylist(), group.column("text").to_pylist()), k)
+        ends = np.cumsum(counts)
+        joined: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while joined.get(x, x) != x:
+                x = joined[x]
+            return x
+
+        inner, found = np.flatnonzero(~outer), []
         for x in np.flatnonzero(outer):
-            could = inner[(part[inner] != part[x]) & (100 * np.minimum(n[inner], n[x]) >= percent * np.maximum(n[inner], n[x]))]
-            could = could[(sketch[could] == sketch[x]).sum(1) >= least]
-            found.append(np.stack([np.minimum(rep[could], rep[x]), np.maximum(rep[could], rep[x])], 1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+            could = inner[(part[inner] != part[x]) & (100 * np.minimum(counts[inner], counts[x]) >= percent * np.maximum(counts[inner], counts[x]))]
+            for y in could[(sketch[could] == sketch[x]).sum(1) >= least]:
+                p, q = root(int(part[x])), root(int(part[y]))
+                if p == q:
+                    continue
+                same = len(np.intersect1d(hashes[ends[x] - counts[x]:ends[x]], hashes[ends[y] - counts[y]:ends[y]], assume_unique=True))
+                if 100 * same >= percent * (counts[x] + counts[y] - same):
+                    joined[max(p, q)] = min(p, q)
+                    found.append((int(rep[x]), int(rep[y])))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return C.saved(left.union(right).groupBy("pool", "i", "j").applyInArrow(compared, "a long, b long"), folder, "across")
 
-    return left.union(right).groupBy("key", "i", "j").applyInArrow(compared, "a long, b long").distinct()
 
+def _unpacked(sizes: list[int], texts: list[bytes]) -> C.Texts:
+    codec = pa.Codec("zstd")
+    blobs = [codec.decompress(t, decompressed_size=n, asbytes=True) if n else b"" for n, t in zip(sizes, texts)]
+    return C.Texts(np.arange(len(blobs)), np.frombuffer(b"".join(blobs), np.uint8), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
 
-def verified(pairs: DataFrame, docs: DataFrame, folder: str, name: str, id_col: str, text_col: str, k: int, percent: int, join: str = "merge") -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough. Texts travel compressed; the pair's first
-    side, which may be one class with very many partners, is joined while rows are small."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = wanted.hint(join) if join else wanted
+
+def packed_texts(ids: DataFrame, docs: DataFrame, folder: str, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(id, t: n_shingles, set_a, set_b, size, compressed text) of the documents with these ids, of each the one with the smallest set."""
 
     def squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=3)
@@ -176,30 +199,32 @@ def verified(pairs: DataFrame, docs: DataFrame, folder: str, name: str, id_col:
                  pa.array([codec.compress(texts.text(i), asbytes=True) for i in range(len(texts))], pa.binary())],
                 names=["id", "n_shingles", "set_a", "set_b", "size", "text"])
 
-    texts = C.text_column(docs, id_col, text_col).join(wanted, "id", "left_semi").mapInArrow(
+    # Joined by shuffle at every size, so that what a larger input takes can be told from a smaller one.
+    texts = C.text_column(docs, id_col, text_col).join(ids.hint("merge"), "id", "left_semi").mapInArrow(
         squeezed, "id long, n_shingles long, set_a long, set_b long, size long, text binary").where("n_shingles > 0")
-    texts = C.saved(texts.groupBy("id").agg(F.min(F.struct("n_shingles", "set_a", "set_b", "size", "text")).alias("t")), folder, f"{name}-texts")
-    one = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a")
-    two = one.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select(
+    return C.saved(texts.groupBy("id").agg(F.min(F.struct("n_shingles", "set_a", "set_b", "size", "text")).alias("t")), folder, "texts")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, folder: str, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough. The pair's first side, which may be one class with very many
+    partners, is joined while rows are small."""
+    one = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")).hint("merge"), "a")
+    two = one.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")).hint("merge"), "b").select(
         "a", "b", "ta.size", "ta.text", F.col("tb.size").alias("size_b"), F.col("tb.text").alias("text_b"))
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd")
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                blobs = [codec.decompress(t, decompressed_size=n, asbytes=True) if n else b"" for i in (2, 4)
-                         for n, t in zip(part.column(i).to_pylist(), part.column(i + 1).to_pylist())]
-                data = np.frombuffer(b"".join(blobs), np.uint8)
-                offsets = np.concatenate([[0], np.cumsum([len(b) for b in blobs])]).astype(np.int64)
-                hashes, counts = shingle_sets(C.Texts(np.arange(len(blobs)), data, offsets), k)
-                ends, n = np.cumsum(counts), part.num_rows
+                n = part.num_rows
+                hashes, counts = shingle_sets(_unpacked([x for i in (2, 4) for x in part.column(i).to_pylist()], [x for i in (3, 5) for x in part.column(i).to_pylist()]), k)
+                ends = np.cumsum(counts)
                 sets = [hashes[e - c:e] for e, c in zip(ends, counts)]
                 same = np.array([len(np.intersect1d(sets[i], sets[n + i], assume_unique=True)) for i in range(n)], np.int64)
                 union = counts[:n] + counts[n:] - same
                 yield part.select([0, 1]).filter(pa.array((100 * same >= percent * union) & (union > 0)))
 
-    return C.saved(two.mapInArrow(similar, "a long, b long"), folder, f"{name}-links")
+    return C.saved(two.mapInArrow(similar, "a long, b long"), folder, "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
@@ -222,18 +247,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = shared.join(ends, "key")
     first = met.select(F.col("low").alias("a"), F.col("rep").alias("b")).union(met.select("high", "rep"))
     first = C.saved(_ordered(first).distinct(), folder, "first")
-    links = verified(first, docs, folder, "first", id_col, text_col, k, percent)
+    texts = packed_texts(shared.select(F.col("rep").alias("id")).distinct(), docs, folder, id_col, text_col, k)
+    links = verified(first, texts, folder, k, percent)
     found = components(links, folder, "first-components")
 
-    # Keys whose members are not all in one component: those outside the key's largest part meet all others across parts.
-    placed = shared.join(found, shared.rep == found.node, "left").select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("part"))
-    parts = placed.groupBy("key", "part").agg(F.count("*").alias("members"))
-    mixed = parts.groupBy("key").agg(F.max_by("part", F.struct("members", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    open_rows = C.saved(placed.join(mixed, "key").join(classes.select("rep", "sketch"), "rep"), folder, "open")
-    second = C.saved(across_parts(open_rows, folder, percent, bands * rows).join(first, ["a", "b"], "left_anti"), folder, "second")
-    if not second.isEmpty():
-        links = links.union(verified(second, docs, folder, "second", id_col, text_col, k, percent, ""))
-        found = components(links, folder, "second-components")
+    # Keys whose members are not all in one component: those members are compared across components.
+    placed = shared.join(found, shared.rep == found.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("part"))
+    mixed = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low != high").select("key")
+    open_rows = C.saved(placed.join(mixed, "key"), folder, "open")
+    more = across_parts(open_rows, texts, classes.select("rep", "sketch"), folder, k, percent, bands * rows)
+    if not more.isEmpty():
+        found = components(links.union(more), folder, "second-components")
 
     # Only documents with copies or links need a name; the others are their own component.
     named = classes.join(found, classes.rep == found.node, "left").where("copies > 1 or component is not null").select(
