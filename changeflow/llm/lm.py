@@ -147,25 +147,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     folder = C.workdir(docs.sparkSession, "lm")
 
     def digest(texts: C.Texts) -> dict:
-        grams = Grams(texts, order)
         training = ~held_out(texts.ids)
-        keys, counts = _asked(grams, training, order)
-        single = np.unique(grams.keys[0])
-        return {"keys": C.packed_keys(keys), "counts": _small(counts), "n_keys": len(keys), "n_texts": int(training.sum()),
-                "n_tokens": int(grams.sizes[training].sum()), "single": np.packbits(np.isin(keys, single, assume_unique=True)).tobytes()}
-
-    packed = C.blocks(C.text_column(docs, id_col, text_col), folder,
-                      pa.schema([("keys", pa.binary()), ("counts", pa.binary()), ("n_keys", pa.int64()), ("n_texts", pa.int64()), ("n_tokens", pa.int64()), ("single", pa.binary())]),
-                      "keys binary, counts binary, n_keys long, n_texts long, n_tokens long, single binary", digest, block_bytes)
+        words = C.Words(texts).counts()
+        return {"n_texts": int(training.sum()), "n_tokens": int((words[training] + 1).sum())}
+
+    packed = C.blocks(C.text_column(docs, id_col, text_col), folder, pa.schema([("n_texts", pa.int64()), ("n_tokens", pa.int64())]),
+                      "n_texts long, n_tokens long", digest, block_bytes)
     totals = packed.agg(F.count("*").alias("blocks"), F.sum("n_texts").alias("texts"), F.sum("n_tokens").alias("tokens")).first()
     bits = C.key_bits(totals.blocks)
+    packed = packed.drop("n_texts", "n_tokens")
 
     def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Made again here and not kept with the blocks: the keys are larger than the texts.
         schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("single", pa.binary())])
         for row in C.rows_of(batches):
-            keys = C.unpacked_keys(row["keys"])
-            counts = _counts(row["counts"], len(keys))
-            single = np.unpackbits(np.frombuffer(row["single"], np.uint8), count=len(keys))
+            texts = C.unpack(row)
+            grams = Grams(texts, order)
+            keys, counts = _asked(grams, ~held_out(texts.ids), order)
+            single = np.isin(keys, np.unique(grams.keys[0]), assume_unique=True)
             yield C.rows_batch([{"bucket": b, "block": row["block"], "keys": C.packed_keys(keys[at:to]), "counts": _small(counts[at:to]),
                                  "single": np.packbits(single[at:to]).tobytes()} for b, at, to in C.bucket_slices(keys, bits)], schema)
 
@@ -177,7 +176,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         distinct = len(np.unique(np.concatenate(known)))
         return [(distinct if i == 0 else 0).to_bytes(8, "little") + t for i, t in enumerate(told)]
 
-    asked = packed.select("block", "keys", "counts", "single").mapInArrow(by_bucket, "bucket int, block long, keys binary, counts binary, single binary")
+    asked = packed.mapInArrow(by_bucket, "bucket int, block long, keys binary, counts binary, single binary")
     model = C.replies(asked, answer, folder, "model")
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +201,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
                  pa.array(np.full(len(texts), tokens)), pa.array(sums(part.root)), pa.array(sums(part.traverse()))],
                 names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    out = C.with_replies(packed.select("block", "ids", "offsets", "data", F.lit(None).cast("binary").alias("rest")), model).mapInArrow(
+    out = C.with_replies(packed, model).mapInArrow(
         scored, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumn("id", C.id_or_null())
