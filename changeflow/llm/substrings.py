@@ -20,6 +20,8 @@ from changeflow.llm.automaton import SuffixAutomaton
 
 #: Words in a run that can be an anchor; windows shorter than it use the whole window.
 ANCHOR_WORDS = 8
+#: Shards for each bucket of anchors. An automaton takes some hundred times the bytes of its words, so shards are small.
+SHARDS = 4
 
 
 class Anchored:
@@ -120,6 +122,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     packed = C.blocks(texts, folder, pa.schema([("keys", pa.binary()), ("n_keys", pa.int64()), ("twice", pa.binary())]),
                       "keys binary, n_keys long, twice binary", digest, block_bytes)
     bits = C.key_bits(packed.select("block").count())
+    shard_bits = bits + SHARDS.bit_length() - 1
 
     def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("twice", pa.binary())])
@@ -142,7 +145,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield C.rows_batch([
                 {"bucket": b, "block": row["block"], "words": anchored.words.hashes[C.ranges(anchored.first[chosen[at:to]], sizes[at:to])].astype("<u8").tobytes(),
                  "sizes": sizes[at:to].astype("<u4").tobytes(), "twice": np.packbits(twice[at:to]).tobytes()}
-                for b, at, to in C.bucket_slices(anchored.keys[chosen], bits)], schema)
+                for b, at, to in C.bucket_slices(anchored.keys[chosen], shard_bits)], schema)
 
     needed = packed.select("block", "ids", "offsets", "data", F.lit(None).cast("binary").alias("rest"))
     shards = C.with_replies(needed, repeated).where("replies is not null").mapInArrow(
@@ -166,7 +169,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             chosen, places = _candidates(anchored, row["replies"], bits)
             if len(chosen):
                 n = anchored.last - anchored.first + 1
-                counts = {b: int(n[chosen[at:to]].sum()) for b, at, to in C.bucket_slices(anchored.keys[chosen], bits)}
+                counts = {b: int(n[chosen[at:to]].sum()) for b, at, to in C.bucket_slices(anchored.keys[chosen], shard_bits)}
                 flags = _flags(row["matches"], counts)
                 begin = np.cumsum(n[chosen]) - n[chosen]
                 some = np.flatnonzero(places >= 0)
