@@ -76,7 +76,7 @@ def decode_changes(spark, sf_dir):
 VALUE_SQL = """concat('{"event_type":"', event_type, '","server_id":', server_id, ',"log_name":"', log_name,
     '","log_pos":', log_pos, ',"db":"', db, '","table":"', tbl, '","sql":"', sql_text, '","gtid_set":"', gtid_set,
     '","primary":[', case when pk = '' then '' else concat('"', pk, '"') end, '],"before":', before_json,
-    ',"after":', after_json, ',"timestamp":', ts_sec, '}')"""
+    ',"after":', after_json, ',"timestamp":', ts_sec, ',"row_ordinal":', row_ordinal, '}')"""
 
 
 @register("encode_changes", with_views(["orders_log"], f"select {ID_SQL}, {VALUE_SQL} as value from orders_log"))
@@ -118,11 +118,12 @@ EVENT = ["server_id", "file_no", "event_seq"]
 
 
 @register("zip_fields", with_views(["order_rows"], f"""
-select {EVENT_SQL}, case when action = 'insert' then after_json else before_json end fields
-from order_rows where row_ordinal = 0"""))
+select {EVENT_SQL}, row_ordinal * case when action = 'update' then 2 else 1 end place, before_json fields from order_rows where action <> 'insert'
+union all
+select {EVENT_SQL}, case when action = 'update' then row_ordinal * 2 + 1 else row_ordinal end, after_json from order_rows where action <> 'delete'"""))
 def zip_fields(spark, sf_dir):
-    raw = V.order_rows_raw(spark, sf_dir)
-    return raw.select(*EVENT, C.cells_json(N.zip_fields(F.col("columns"), F.get("rows", F.lit(0)))).alias("fields"))
+    raw = V.order_rows_raw(spark, sf_dir).select(*EVENT, "columns", F.posexplode("rows").alias("place", "row"))
+    return raw.select(*EVENT, F.col("place").cast("bigint"), C.cells_json(N.zip_fields(F.col("columns"), F.col("row"))).alias("fields"))
 
 
 @register("pk_names", with_views(["order_rows"], f"""
@@ -330,6 +331,37 @@ def sql_log(spark, sf_dir):
     return sqllog.sql_log(both, dbs=["Shop"], show_tx=True)
 
 
+TEXT_SQL = "concat(chr(39), replace(replace({}, chr(92), concat(chr(92), chr(92))), chr(39), concat(chr(92), chr(39))), chr(39))"
+TURN_WHERE_SQL = "concat('`conv_id`=', conv_id, ' AND `n_chars`=', n_chars, ' AND `role`=', {}, ' AND `text`=', {}, ' AND `turn`=', turn)".format(
+    TEXT_SQL.format("role"), TEXT_SQL.format("text"))
+
+
+@register("sql_log_text", with_views(["turns_log"], f"""
+select {ID_SQL}, case event_type when 'insert' then concat('INSERT INTO `Chat`.`turns`(`conv_id`, `n_chars`, `role`, `text`, `turn`) VALUES (',
+    conv_id, ', ', n_chars, ', ', {TEXT_SQL.format("role")}, ', ', {TEXT_SQL.format("text")}, ', ', turn, ');')
+  else concat('DELETE FROM `Chat`.`turns` WHERE ', {TURN_WHERE_SQL}, ' LIMIT 1;') end line from turns_log"""))
+def sql_log_text(spark, sf_dir):
+    return sqllog.sql_log(V.turns(spark, sf_dir))
+
+
+@register("resume_newest", with_views(["messages"], """
+select topic, "partition", "offset" from messages where ("partition" = 0 and "offset" >= 1000) or ("partition" = 1 and "offset" >= 20)"""))
+def resume_newest(spark, sf_dir):
+    messages = V.messages(spark, sf_dir)
+    return O.resume_messages(messages, V.stored_offsets(spark), S.NEWEST_OFFSET).select("topic", "partition", "offset")
+
+
+@register("dedup_statement_rows", with_views(["order_rows"], f"""
+select server_id, file_no, event_seq, action event_type, row_ordinal, before_json, after_json from order_rows"""))
+def dedup_statement_rows(spark, sf_dir):
+    """Rows of one statement, delivered twice, with insert, update and delete at one header position."""
+    raw = V.order_rows_raw(spark, sf_dir)
+    log_name = F.concat(F.lit("mysql-bin."), F.lpad(F.col("file_no").cast("string"), 6, "0"))
+    rows = N.row_images(raw).withColumns({"event_type": F.col("action"), "log_name": log_name})
+    once = O.dedup_changes(rows.unionByName(rows))
+    return once.select(*EVENT, "event_type", F.col("row_ordinal").cast("bigint"), C.cells_json(F.col("before")).alias("before_json"), C.cells_json(F.col("after")).alias("after_json"))
+
+
 COLOURED_SQL = f"""
 with plain as (select *, {ANY_SQL} t from orders_log where event_type in {SQL_TYPES}),
 esc as (select *, chr(27) || '[' e, chr(27) || '[0m' z from plain)
@@ -468,12 +500,14 @@ def batch_by_time(spark, sf_dir):
 
 
 @register("bulk_errors", """
-select o_orderkey req_id, cast(if(o_orderkey % 700 = 0, 503, 200) as int) code,
-  if(o_orderkey % 300 = 0, 'create', '') action, if(o_orderkey % 300 = 0, 'orders_idx', '') idx,
-  if(o_orderkey % 300 = 0, cast(o_orderkey as varchar), '') id, cast(if(o_orderkey % 300 = 0, 409, 503) as bigint) status,
-  case when o_orderkey % 300 = 0 then concat('create index: orders_idx, type: _doc, id: ', o_orderkey, ', status: 409, error: {"type":"version_conflict"}')
-    else ' index: , type: , id: , status: 503, error: bulk request failed with status 503' end message
-from orders where o_orderkey % 100 = 0 and (o_orderkey % 300 = 0 or o_orderkey % 700 = 0)""")
+with answers as (select o_orderkey, o_orderkey % 901 = 0 cut, if(o_orderkey % 700 = 0, 503, 200) code, o_orderkey % 300 = 0 and o_orderkey % 901 <> 0 item from orders)
+select o_orderkey req_id, cast(code as int) code,
+  if(item, 'create', '') action, if(item, 'orders_idx', '') idx,
+  if(item, cast(o_orderkey as varchar), '') id, cast(if(item, 409, code) as bigint) status,
+  case when item then concat('create index: orders_idx, type: _doc, id: ', o_orderkey, ', status: 409, error: {"type":"version_conflict"}')
+    when code = 503 then ' index: , type: , id: , status: 503, error: bulk request failed with status 503'
+    else ' index: , type: , id: , status: 200, error: unreadable bulk response with status 200' end message
+from answers where cut or item or code = 503""")
 def bulk_errors(spark, sf_dir):
     errors = bulk.bulk_errors(V.bulk_responses(spark, sf_dir))
     return errors.select("req_id", "code", "action", F.col("index").alias("idx"), "id", "status", "message")

@@ -79,9 +79,9 @@ def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turns_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "conversations").selectExpr(
-        "conv_id", "turn", "role", "length(text) n_chars",
+        "conv_id", "turn", "role", "length(text) n_chars", """substring(to_json(struct(text)), 9, length(to_json(struct(text))) - 9) quoted""",
         "explode(if(turn % 5 = 4, array(1, 3), array(1))) as s")
-    image = """concat('{"conv_id":', conv_id, ',"n_chars":', n_chars, ',"role":"', role, '","turn":', turn, '}')"""
+    image = """concat('{"conv_id":', conv_id, ',"n_chars":', n_chars, ',"role":"', role, '","text":', quoted, ',"turn":', turn, '}')"""
     return events.selectExpr(
         "if(s = 1, 'insert', 'delete') event_type", "9L server_id", "0L file_no", "'mysql-bin.000000' log_name",
         "154 + conv_id * 100000 + turn * 1000 + s * 100 log_pos", "0L row_ordinal", "'Chat' db", "'turns' tbl",
@@ -116,8 +116,8 @@ _ORDER_COLUMNS = ("o_custkey", "o_note", "o_orderkey", "o_orderstatus", "o_total
 
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders_log`` as a connector would deliver it: GTIDs only on gtid events, file names only on rotate
-    events, rows as value arrays. Each server's first file starts with a rotate event of its own."""
+    """``orders_log`` as a connector would deliver it: GTIDs only on gtid events, file names on rotate events, schema
+    changes and commits, rows as value arrays. Each server's first file starts with a rotate event of its own."""
     log = orders_log(spark, sf_dir)
     columns = F.array(*map(F.lit, _ORDER_COLUMNS))
     before, after = parse_cells(F.col("before_json")), parse_cells(F.col("after_json"))
@@ -136,7 +136,7 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(opening, "rotate").when(is_row, "row").otherwise(kind).alias("event_kind"),
         F.when(is_row & ~opening, kind).alias("action"),
         F.when(opening, F.lit(4).cast("bigint")).otherwise(F.col("log_pos")).alias("log_pos"),
-        F.when(opening | (kind == "rotate"), F.col("log_name")).alias("next_log"),
+        F.when(opening | kind.isin("rotate", "ddl", "xid"), F.col("log_name")).alias("next_log"),
         F.when((kind == "gtid") & ~opening, F.col("gtid_set")).alias("gtid"),
         F.when(opening, "").otherwise(F.col("db")).alias("db"),
         F.when(opening, "").otherwise(F.col("tbl")).alias("table"),
@@ -200,13 +200,15 @@ RULES = (
 
 
 def bulk_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").where("o_orderkey % 100 = 0").selectExpr(
+    """An answer per order; some name a failed item, some failed as a whole, some are cut off."""
+    return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey req_id", "if(o_orderkey % 700 = 0, 503, 200) code",
         """concat('{"took":3,"errors":', if(o_orderkey % 300 = 0, 'true', 'false'),
             ',"items":[{"create":{"_index":"orders_idx","_type":"_doc","_id":"', o_orderkey, '","_version":1,"status":',
             if(o_orderkey % 300 = 0, '409,"error":{"type":"version_conflict"}', '201'),
             '}},{"update":{"_index":"orders_idx","_type":"_doc","_id":"', o_orderkey + 1,
-            '","_version":2,"status":200}}]}') body""")
+            '","_version":2,"status":200}}]}') answer""").selectExpr(
+        "req_id", "code", "if(req_id % 901 = 0, substring(answer, 1, 30), answer) body")
 
 
 def position_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,15 +279,15 @@ from ev"""
 
 _DUCK["turns_log"] = """
 with ev as (
-  select conv_id, turn, role, length(text) n_chars, 1 s, 'insert' event_type from conversations
-  union all select conv_id, turn, role, length(text), 3, 'delete' from conversations where turn % 5 = 4),
-im as (select *, concat('{"conv_id":', conv_id, ',"n_chars":', n_chars, ',"role":"', role, '","turn":', turn, '}') j from ev)
+  select conv_id, turn, role, text, length(text) n_chars, 1 s, 'insert' event_type from conversations
+  union all select conv_id, turn, role, text, length(text), 3, 'delete' from conversations where turn % 5 = 4),
+im as (select *, concat('{"conv_id":', conv_id, ',"n_chars":', n_chars, ',"role":"', role, '","text":', cast(to_json(text) as varchar), ',"turn":', turn, '}') j from ev)
 select event_type, cast(9 as bigint) server_id, cast(0 as bigint) file_no, 'mysql-bin.000000' log_name,
   154 + conv_id * 100000 + turn * 1000 + s * 100 log_pos, cast(0 as bigint) row_ordinal,
   'Chat' db, 'turns' tbl, '' sql_text, '' gtid_set, 'conv_id,turn' pk,
   case when event_type = 'insert' then '{}' else j end before_json,
   case when event_type = 'insert' then j else '{}' end after_json,
-  1700000000 + conv_id * 10 + turn ts_sec, conv_id, turn, role, n_chars, s
+  1700000000 + conv_id * 10 + turn ts_sec, conv_id, turn, role, text, n_chars, s
 from im"""
 
 _DUCK["messages"] = """

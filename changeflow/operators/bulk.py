@@ -93,32 +93,41 @@ def bulk_bodies(batched: DataFrame) -> DataFrame:
     return bodies.select(F.struct(*fields).alias("batch"), "requests", "body")
 
 
+# --- fixed values: error texts of a bulk answer ---------------------------------
+WHOLE_ERROR = "bulk request failed with status "
+ITEM_ERROR = (" index: ", ", type: ", ", id: ", ", status: ", ", error: ")
+# ------------------------------------------------------------------------------
+UNREADABLE = "unreadable bulk response with status "
+
 RESPONSE_SCHEMA = (
-    "took bigint, errors boolean, items array<map<string, struct<_index: string, _type: string, _id: string, "
+    "_malformed string, took bigint, errors boolean, items array<map<string, struct<_index: string, _type: string, _id: string, "
     "_version: bigint, status: bigint, error: string, found: boolean>>>"
 )
 
 
 def bulk_errors(responses: DataFrame, code: str = "code", body: str = "body") -> DataFrame:
-    """One row per failed item, and one per response that failed as a whole (not 2xx, no item error).
+    """One row per failed item, and one per response that failed as a whole (not 2xx, no item error) or that cannot be
+    read (cut off, no JSON, or without items): what it says of its requests is not known.
 
     Keeps the other columns of ``responses``; adds ``action, index, type, id, status, error, message``.
     """
     kept = [c for c in responses.columns if c != body]
-    parsed = responses.select(*kept, F.from_json(body, RESPONSE_SCHEMA).alias("_r"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+    parsed = responses.select(*kept, F.from_json(body, RESPONSE_SCHEMA, options).alias("_r"))
+    unreadable = F.col("_r").isNull() | F.col("_r._malformed").isNotNull() | F.col("_r.items").isNull()
     items = F.flatten(F.transform(F.coalesce(F.col("_r.items"), F.array()), lambda item: F.transform(
         F.map_entries(item), lambda e: F.struct(
             e["key"].alias("action"), e["value"]["_index"].alias("index"), e["value"]["_type"].alias("type"),
             e["value"]["_id"].alias("id"), e["value"]["status"].alias("status"), e["value"]["error"].alias("error")))))
     failed = F.filter(items, lambda i: F.length(i["error"]) > 0)
+    not_ok = F.coalesce((F.col(code) < 200) | (F.col(code) >= 300), F.lit(True))
     whole = F.array(F.struct(
         F.lit("").alias("action"), F.lit("").alias("index"), F.lit("").alias("type"), F.lit("").alias("id"),
         F.col(code).cast("bigint").alias("status"),
-        F.concat(F.lit("bulk request failed with status "), F.col(code).cast("string")).alias("error")))
-    not_ok = (F.col(code) < 200) | (F.col(code) >= 300)
-    rows = F.transform(F.array(failed), lambda f: F.when((F.size(f) == 0) & not_ok, whole).otherwise(f))[0]
+        F.concat(F.when(not_ok, F.lit(WHOLE_ERROR)).otherwise(F.lit(UNREADABLE)), F.coalesce(F.col(code).cast("string"), F.lit("none"))).alias("error")))
+    rows = F.transform(F.array(failed), lambda f: F.when((F.size(f) == 0) & (not_ok | unreadable), whole).otherwise(f))[0]
     action, index, kind, id_, status, error = (
         F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("action", "index", "type", "id", "status", "error"))
-    message = F.concat(action, F.lit(" index: "), index, F.lit(", type: "), kind, F.lit(", id: "), id_,
-                       F.lit(", status: "), status, F.lit(", error: "), error)
+    parts = (index, kind, id_, status, error)
+    message = F.concat(action, *(x for text, part in zip(ITEM_ERROR, parts) for x in (F.lit(text), part)))
     return parsed.select(*kept, F.inline(rows)).withColumn("message", message)

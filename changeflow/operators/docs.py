@@ -28,13 +28,16 @@ def latest_requests(requests: DataFrame, addressed_only: bool = True) -> DataFra
 
     An aggregate with map-side partials: a hot document is one row per task before the shuffle. The last
     request decides because row images are full. Requests without an id belong to no document; they are left
-    out, or each kept by itself.
+    out, or each kept by itself: told apart by position, or, where their log file is not known, kept all.
     """
     at = event_order()
     key = list(BY_ID)
     if not addressed_only:
-        requests = requests.withColumn("_alone", F.when(F.length("id") == 0, at))
-        key.append("_alone")
+        alone = F.length("id") == 0
+        requests = requests.withColumns({
+            "_alone": F.when(alone, F.struct(at, "db", "table")) if {"db", "table"} <= set(requests.columns) else F.when(alone, at),
+            "_unplaced": F.when(alone & (F.length(F.coalesce("log_name", F.lit(""))) == 0), F.monotonically_increasing_id())})
+        key += ["_alone", "_unplaced"]
     kept = F.struct("action", "parent", "pipeline", "data", F.col("_at").alias("version"))
     last = requests.withColumn("_at", at).groupBy(*key).agg(
         F.max_by(kept, "_at").alias("r"), F.max(F.col("action") != S.UPDATE).alias("whole"), _addressed())

@@ -47,8 +47,8 @@ def row_images(raw: DataFrame) -> DataFrame:
 def carry_position(raw: DataFrame, start: DataFrame | None = None, span_events: int = SPAN_EVENTS) -> DataFrame:
     """Adds ``log_name, next_pos, gtid_set``: where the log stands after each event.
 
-    File name and position move together, only if both are known; an event that does not name a file is in
-    the one named last. The GTID is held until the next one. ``start`` (``server_id, log_name, log_pos,
+    File name and position move together: a rotate, schema change or commit moves both, and only if it names the
+    file; an event of another kind is in the file named last. The GTID is held until the next one. ``start`` (``server_id, log_name, log_pos,
     gtid_set``, one row per server) is where an earlier run ended.
 
     A forward fill within spans of one file, plus one summary row per span carried over the spans of a
@@ -59,7 +59,8 @@ def carry_position(raw: DataFrame, start: DataFrame | None = None, span_events:
     marks = raw.withColumns({
         "_span": span_of(seq, span_events),
         "_name": F.when(named, F.col("next_log")),
-        "_pos": F.when(pos != 0, pos),
+        # Row, table and GTID events come with a position in the file named last; the others move only with a name.
+        "_pos": F.when((pos != 0) & (named | ~kind.isin(S.ROTATE, S.DDL, S.XID)), pos),
         "_gtid": F.when(kind.isin(S.GTID, S.DDL) & (F.length("gtid") > 0), F.col("gtid")),
     })
     key = ["server_id", "file_no", "_span"]

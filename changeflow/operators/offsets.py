@@ -44,28 +44,38 @@ def latest_offsets(messages: DataFrame) -> DataFrame:
 
 
 def resume_messages(messages: DataFrame, stored: DataFrame, default: int = 0, inclusive: bool = True) -> DataFrame:
-    """Messages from the stored offset of their partition on, else from ``default``. The stored offset is that
-    of the last handled message, which ``inclusive`` delivers again."""
+    """Messages from the stored offset of their partition on, else from ``default``: an offset, ``OLDEST_OFFSET`` for all, or
+    ``NEWEST_OFFSET`` for those to come, which is none of ``messages``. The stored offset is that of the last handled
+    message, which ``inclusive`` delivers again."""
     known = stored.select(*PARTITION, F.col("offset").alias("_stored"))
     offset = F.col("offset")
     after = (offset >= F.col("_stored")) if inclusive else (offset > F.col("_stored"))
     return (messages.join(known, PARTITION, "left")
-            .where(F.coalesce(after, offset >= default))
+            .where(F.coalesce(after, F.lit(False) if default == S.NEWEST_OFFSET else offset >= default))
             .select(*messages.columns))
 
 
-EVENT_KEY = ["server_id", "log_name", "log_pos", "row_ordinal"]
+#: What tells events apart. Position alone does not: a header position is shared by the rows of a statement, by the tables
+#: it names, and by the schema change itself.
+EVENT_KEY = ["server_id", "log_name", "log_pos", "row_ordinal", "event_type", "db", "table"]
+
+
+def placed() -> Column:
+    """Whether the event says which log file it is from. Without, two events cannot be known to be one."""
+    return F.length(F.coalesce("log_name", F.lit(""))) > 0
 
 
 def dedup_changes(changes: DataFrame) -> DataFrame:
-    """One of each event delivered more than once. Copies meet in the task that reads them first."""
-    return changes.dropDuplicates(EVENT_KEY)
+    """One of each event delivered more than once. Copies meet in the task that reads them first. Events without a
+    known log file are all kept."""
+    return changes.where(placed()).dropDuplicates(EVENT_KEY).unionByName(changes.where(~placed()))
 
 
-def dedup_stream(changes: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """As :func:`dedup_changes`, on a stream: copies that arrive within ``delay`` of each other."""
-    timed = changes.withColumn("event_time", F.timestamp_seconds("timestamp"))
-    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(EVENT_KEY)
+def dedup_stream(changes: DataFrame, delay: str) -> DataFrame:
+    """As :func:`dedup_changes`, on a stream: copies that arrive within ``delay`` of each other. ``arrived_at`` is added, the time
+    of the micro-batch: state is dropped by it, so an event is never too late, however old it is."""
+    timed = changes.withColumns({"arrived_at": F.current_timestamp(), "_alone": F.when(~placed(), F.uuid())})
+    return timed.withWatermark("arrived_at", delay).dropDuplicatesWithinWatermark([*EVENT_KEY, "_alone"]).drop("_alone")
 
 
 def row_key() -> Column:
@@ -75,15 +85,18 @@ def row_key() -> Column:
     return F.array_join(F.transform(names, lambda n: cell_text(F.element_at(image, n))), ":", "")
 
 
-def order_changes(changes: DataFrame, partitions: int | None = None) -> DataFrame:
+def order_changes(changes: DataFrame, partitions: int | None = None, whole_rows: bool = False) -> DataFrame:
     """Changes of a row in log order, as partitions that follow each other.
 
     Ranges of (server, table, row, position), sorted inside: the changes of a row are in order within a
-    partition and from one partition to the next, and a hot row is cut by position, not kept in one task.
+    partition and from one partition to the next, and a hot row is cut by position, not kept in one task. That
+    suits files. Where tasks act side by side (handlers, senders), ``whole_rows`` keeps all changes of a row in one
+    task; use it within a micro-batch, whose size ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger`` bounds.
     Copies of an event share its place: drop them before (:func:`dedup_changes`).
     """
     order = [F.col("server_id"), F.col("db"), F.col("table"), F.col("_key"), F.col("_seq"), F.col("log_pos"),
              F.col("row_ordinal")]
     keyed = changes.withColumns({"_key": row_key(), "_seq": log_seq(F.col("log_name"))})
-    ranged = keyed.repartitionByRange(partitions, *order) if partitions else keyed.repartitionByRange(*order)
+    dealt = order[:4] if whole_rows else order
+    ranged = keyed.repartitionByRange(partitions, *dealt) if partitions else keyed.repartitionByRange(*dealt)
     return ranged.sortWithinPartitions(*order).drop("_key", "_seq")

@@ -8,13 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow import schema as S
-from changeflow.functions.numbers import floor_div
-from changeflow.operators.bulk import (
-    BLOCK_BYTES, DEFAULT_BULK_SIZE, DEFAULT_FLUSH_SECONDS, batch_requests, bulk_bodies, bulk_errors)
+from changeflow.operators.bulk import DEFAULT_BULK_SIZE, DEFAULT_FLUSH_SECONDS, bulk_errors
 from changeflow.operators.docs import latest_requests
 from changeflow.operators.mapping import Rule, check_rules, rules_frame, to_requests
 from changeflow.operators.sqllog import sql_log
-from changeflow.sources.bulk import send_bulk, write_bulk
+from changeflow.sources.bulk import send_settled, write_bulk
 from changeflow.sources.files import write_sql_log
 from changeflow.sources.kafka import read_changes_kafka, write_changes_kafka
 from changeflow.streaming.runner import OnBatch, handle_messages, run
@@ -24,7 +22,7 @@ class BulkFailed(RuntimeError):
     """The index refused requests."""
 
 
-def trace(changes: DataFrame, path: str | None = None, checkpoint: str | None = None, **how) -> StreamingQuery | None:
+def trace(changes: DataFrame, path: str, checkpoint: str | None = None, **how) -> StreamingQuery | None:
     """Change events as SQL lines; ``how`` goes to ``sql_log``."""
     return write_sql_log(sql_log(changes, **how), path, checkpoint)
 
@@ -48,12 +46,9 @@ def send_requests(requests: DataFrame, transport: Callable[[str], tuple[int, str
                   bulk_size: int = DEFAULT_BULK_SIZE) -> None:
     """Sends settled requests in bodies of at most ``bulk_size``; raises if any was refused.
 
-    A document is in one body only, so bodies go out side by side.
+    A document is in one body only, so bodies go out side by side, each packed in the task that has its requests.
     """
-    block = [F.col("server_id"), F.col("log_seq"), floor_div(F.col("log_pos"), BLOCK_BYTES).alias("log_block")]
-    settled = settled_requests(requests).withColumn("log_name", F.col("log_seq").cast("string"))
-    bodies = bulk_bodies(batch_requests(settled, bulk_size, span=block))
-    refused = bulk_errors(send_bulk(bodies, transport), body="response").agg(
+    refused = bulk_errors(send_settled(settled_requests(requests), transport, bulk_size), body="response").agg(
         F.count("*").alias("n"), F.min("message").alias("first")).first()
     if refused["n"]:
         raise BulkFailed(f"{refused['n']} requests refused, such as: {refused['first']}")

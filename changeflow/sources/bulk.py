@@ -7,22 +7,49 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from changeflow.operators.bulk import DEFAULT_BULK_SIZE, batch_requests, bulk_bodies
+from changeflow.operators.bulk import DEFAULT_BULK_SIZE, batch_requests, bulk_bodies, bulk_size_or_default
+from changeflow.operators.mapping import bulk_line
 
 
-def write_bulk(requests: DataFrame, path: str, bulk_size: int = DEFAULT_BULK_SIZE, bodies_per_file: int = 1,
+def write_bulk(requests: DataFrame, path: str, bulk_size: int = DEFAULT_BULK_SIZE, bodies_per_file: int = 0,
                mode: str = "error") -> None:
-    """Newline-delimited JSON files, one body each, through Spark's committer to any file system it knows.
+    """Newline-delimited JSON files through Spark's committer to any file system it knows.
 
-    Bodies can follow each other in a file (``bodies_per_file``; the file is a valid body again), which a
-    large log needs to stay clear of millions of small files.
+    Bodies stand in the order of their batches (shard, span, no), within files and from file to file by name: posted so, a
+    document gets its requests in log order. A file is a valid body again; it holds what a task writes, or
+    ``bodies_per_file`` bodies, which makes millions of small files of a large log if it is small.
     """
     bodies = bulk_bodies(batch_requests(requests, bulk_size))
+    order = [F.col(f"batch.{f.name}") for f in bodies.schema["batch"].dataType]
     # A body ends with a newline, and the text writer adds one.
-    lines = bodies.select(F.rtrim("body", F.lit("\n")).alias("value"))
+    lines = bodies.repartitionByRange(*order).sortWithinPartitions(*order).select(F.rtrim("body", F.lit("\n")).alias("value"))
     lines.write.mode(mode).option("maxRecordsPerFile", bodies_per_file).text(path)
 
 
+def send_settled(requests: DataFrame, transport: Callable[[str], tuple[int, str]], bulk_size: int = DEFAULT_BULK_SIZE) -> DataFrame:
+    """``requests, code, response`` for each body sent. For one request per document (``latest_requests``): as
+    their order does not matter, each task packs what it has into full bodies, without a window or a shuffle."""
+    size = bulk_size_or_default(bulk_size)
+    line = bulk_line(*(F.col(c) for c in ("action", "index", "id", "parent", "pipeline", "data")))
+
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[str] = []
+
+        def post(lines: list[str]) -> pd.DataFrame:
+            code, response = transport("\n".join(lines) + "\n")
+            return pd.DataFrame({"requests": [len(lines)], "code": [code], "response": [response]})
+
+        for frame in frames:
+            held += frame["line"].tolist()
+            while len(held) >= size:
+                yield post(held[:size])
+                held = held[size:]
+        if held:
+            yield post(held)
+
+    return requests.select(line.alias("line")).mapInPandas(send, "requests bigint, code int, response string")
+
+
 def send_bulk(bodies: DataFrame, transport: Callable[[str], tuple[int, str]]) -> DataFrame:
     """``batch, code, response``: what ``transport(body) -> (code, response text)`` gave for each body.
 

@@ -39,9 +39,10 @@ def decode_changes(messages: DataFrame, value: str = "value", binary_fields: Ite
         F.when(bad, F.coalesce("_text", F.lit(""))).alias("malformed"))
 
 
-def encode_value(with_ordinal: bool = False, binary_fields: Iterable[str] = ()) -> Column:
+def encode_value(with_ordinal: bool = True, binary_fields: Iterable[str] = ()) -> Column:
     """JSON text of a change event, fields in their fixed order, keys of the images sorted. ``with_ordinal``
-    adds the row's place in its event, which readers need to tell the rows of one event apart."""
+    adds the row's place in its event, which readers need to tell the rows of one event apart; leave it off only for
+    readers that know no such field."""
     names = list(binary_fields)
     scalars = F.to_json(F.struct(
         "event_type", "server_id", "log_name", "log_pos", "db", "table", "sql", "gtid_set",
@@ -59,7 +60,7 @@ def encode_value(with_ordinal: bool = False, binary_fields: Iterable[str] = ())
 
 
 def encode_changes(changes: DataFrame, encoder: Callable[[DataFrame], DataFrame] | None = None,
-                   with_ordinal: bool = False, binary_fields: Iterable[str] = ()) -> DataFrame:
+                   with_ordinal: bool = True, binary_fields: Iterable[str] = ()) -> DataFrame:
     """Adds ``value``, the message of each event. ``encoder`` (changes -> DataFrame with ``value``) replaces
     the JSON form; it may give null or "" to drop an event (see ``drop_empty``)."""
     if encoder is not None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow import schema as S
@@ -24,26 +24,20 @@ def read_changes_files(spark: SparkSession, path: str, stream: bool = False, fil
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if file_format == "parquet":
-        return reader.schema(S.CHANGE_SCHEMA).parquet(path).select(*S.CHANGE_COLUMNS)
+        # An empty file name is a null partition on disk.
+        return (reader.schema(S.CHANGE_SCHEMA).parquet(path)
+                .withColumn("log_name", F.coalesce("log_name", F.lit(""))).select(*S.CHANGE_COLUMNS))
     if file_format in ("json", "text"):
         return decode_changes(reader.text(path))
     raise ValueError(f"unknown file format {file_format!r}")
 
 
-def write_sql_log(lines: DataFrame, path: str | None = None, checkpoint: str | None = None) -> StreamingQuery | None:
-    """SQL lines as text files; without a path they are printed (for a look, not for a whole log).
-
-    On a stream ``checkpoint`` is needed with a path, and the query is returned.
-    """
+def write_sql_log(lines: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery | None:
+    """SQL lines as text files, every one of them. On a stream ``checkpoint`` is needed, and the query is returned."""
     text = lines.select("line")
     if text.isStreaming:
-        if path is None:
-            return text.writeStream.format("console").option("truncate", "false").start()
         if checkpoint is None:
             raise ValueError("a stream to files needs a checkpoint")
         return text.writeStream.format("text").option("checkpointLocation", checkpoint).start(path)
-    if path is None:
-        text.show(truncate=False)
-    else:
-        text.write.text(path)
+    text.write.text(path)
     return None

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.filters import drop_empty
-from changeflow.operators.offsets import row_key
+from changeflow.operators.offsets import order_changes, row_key
 from changeflow.sources.codec import decode_changes, encode_changes
 
 
@@ -22,11 +22,12 @@ def message_key() -> Column:
 
 
 def messages_of(changes: DataFrame, key: str | None = None,
-                encoder: Callable[[DataFrame], DataFrame] | None = None, with_ordinal: bool = False) -> DataFrame:
-    """What is sent: ``value``, and ``key`` if ``key="primary"``; keyless messages go to any partition."""
+                encoder: Callable[[DataFrame], DataFrame] | None = None, with_ordinal: bool = True) -> DataFrame:
+    """What is sent: ``value``, and ``key`` if ``key="primary"``; keyless messages go to any partition. Keyed messages
+    of a batch come in log order, with all changes of a row in one task, as tasks send side by side."""
     if key not in (None, "primary"):
         raise ValueError(f"key must be None or 'primary', not {key!r}")
-    keyed = changes.withColumn("key", message_key()) if key else changes
+    keyed = order_changes(changes, whole_rows=True).withColumn("key", message_key()) if key else changes
     encoded = drop_empty(encode_changes(keyed, encoder, with_ordinal))
     return encoded.select(*(["key"] if key else []), "value")
 
@@ -34,13 +35,20 @@ def messages_of(changes: DataFrame, key: str | None = None,
 def write_changes_kafka(changes: DataFrame, brokers: list[str], topic: str, checkpoint: str | None = None,
                         **how) -> StreamingQuery | None:
     """Sends with acks from all replicas. ``how`` goes to :func:`messages_of`."""
-    messages, options = messages_of(changes, **how), write_options(brokers, topic)
-    if not messages.isStreaming:
-        messages.write.format("kafka").options(**options).save()
+    options = write_options(brokers, topic)
+
+    def send(batch: DataFrame, batch_id: int = 0) -> None:
+        messages_of(batch, **how).write.format("kafka").options(**options).save()
+
+    if not changes.isStreaming:
+        send(changes)
         return None
     if checkpoint is None:
         raise ValueError("a stream to Kafka needs a checkpoint")
-    return messages.writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint).start()
+    if how.get("key"):  # a micro-batch is put in order before it is sent
+        return changes.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint).start()
+    return (messages_of(changes, **how).writeStream.format("kafka").options(**options)
+            .option("checkpointLocation", checkpoint).start())
 
 
 def read_options(brokers: list[str], topic: str, start: str = "latest",

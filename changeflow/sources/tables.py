@@ -7,17 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from changeflow import schema as S
-from changeflow.functions.cells import cells_of
+from changeflow.functions.cells import cells_json, cells_of
+from changeflow.operators.bulk import BLOCK_BYTES
+
+
+#: Rows of a snapshot that should share a block of the log.
+BLOCK_ROWS = 1_000_000
 
 
 def table_as_inserts(df: DataFrame, primary: Sequence[str], db: str, table: str, server_id: int = 0,
-                     timestamp: int = 0) -> DataFrame:
-    """One insert event per row, before any log position (empty name, offset 0)."""
+                     timestamp: int = 0, blocks: int | None = None) -> DataFrame:
+    """One insert event per row, before any position of a log (the file name is empty).
+
+    The offset is a hash of the row, so that rows are told apart and reruns agree; offsets spread over ``blocks`` blocks of
+    the log, by default one for every million rows, so that batches are cut in as many groups as the size asks for."""
     blank = F.lit("")
+    if blocks is None:
+        blocks = 1 + (0 if df.isStreaming else df.count() // BLOCK_ROWS)
+    image = cells_of(df)
+    place = F.pmod(F.xxhash64(cells_json(image)), F.lit(blocks * BLOCK_BYTES))
     return df.select(
         F.lit(S.INSERT).alias("event_type"), F.lit(server_id).cast("bigint").alias("server_id"),
-        blank.alias("log_name"), F.lit(0).cast("bigint").alias("log_pos"),
+        blank.alias("log_name"), place.alias("log_pos"),
         F.lit(db).alias("db"), F.lit(table).alias("table"), blank.alias("sql"), blank.alias("gtid_set"),
         F.array(*map(F.lit, primary)).cast("array<string>").alias("primary"),
-        S.empty_cells().alias("before"), cells_of(df).alias("after"),
+        S.empty_cells().alias("before"), image.alias("after"),
         F.lit(timestamp).cast("bigint").alias("timestamp"), F.lit(0).cast("bigint").alias("row_ordinal"))

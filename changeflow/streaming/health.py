@@ -42,31 +42,36 @@ class Recheck(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         held = [list(r) for r in self.held.get()] if self.held.exists() else []
         last = tuple(self.last.get()) if self.last.exists() else None
-        latest = 0
         for row in _in_order(rows):
-            latest = row.us // 1000
+            now = row.us // 1000
             file = (row.file_seq, row.file_pos)
             for h in held:
-                if 1 <= latest - h[0] // 1000 <= self.grace_ms and file > (h[1], h[2]):
+                if 1 <= now - h[0] // 1000 <= self.grace_ms and file > (h[1], h[2]):
                     h[-1] = True
             place = tuple(row[f] for f in _FIELDS)
             held.append([row.us, *place, row.db_error, *(last or place), False])
             last = place
+            # Released at once: what is held stays within the grace period, however long the batch is.
+            done = self._settled(held, now)
+            yield from (_CheckedRow(key[0], *h) for h in held[:done])
+            del held[:done]
         self.last.update(last)
-        yield from self._release(key, held, latest)
+        self._keep(held)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         held = [list(r) for r in self.held.get()] if self.held.exists() else []
-        yield from self._release(key, held, expiredTimerInfo.getExpiryTimeInMs())
-
-    def _release(self, key, held: list[list], now_ms: int) -> Iterator[Row]:
-        while held:
-            first = held[0]
-            moved = (first[1], first[2]) != (first[6], first[7])
-            if not (moved or first[-1] or first[0] // 1000 + self.grace_ms < now_ms):
-                break
-            yield _CheckedRow(key[0], *first)
-            held.pop(0)
+        done = self._settled(held, expiredTimerInfo.getExpiryTimeInMs())
+        yield from (_CheckedRow(key[0], *h) for h in held[:done])
+        self._keep(held[done:])
+
+    def _settled(self, held: list[list], now_ms: int) -> int:
+        """How many of the first held samples can be judged."""
+        for n, h in enumerate(held):
+            if (h[1], h[2]) == (h[6], h[7]) and not h[-1] and h[0] // 1000 + self.grace_ms >= now_ms:
+                return n
+        return len(held)
+
+    def _keep(self, held: list[list]) -> None:
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         if held:
@@ -98,12 +103,12 @@ class Changed(StatefulProcessor):
 
 
 def health_stream(samples: DataFrame, threshold: int = DEFAULT_THRESHOLD, grace_seconds: float = GRACE_SECONDS,
-                  delay: str = "10 minutes", check_seconds: float = DEFAULT_CHECK_SECONDS) -> DataFrame:
+                  *, delay: str, check_seconds: float = DEFAULT_CHECK_SECONDS) -> DataFrame:
     """As ``health``, live: only the memory of a server is state, the verdict is the batch one.
 
     Samples of a server come in the order of their time. A stuck sample is judged when a sample of its server
     shows that the grace period is over, or at the latest when the watermark passes it. ``delay`` is how far
-    servers may be apart: a sample that is later than that is dropped by Spark.
+    servers may be apart; a sample that is later than that is dropped by Spark, so it has no default.
     """
     ts = F.col("ts").cast("timestamp")
     checked = (samples.select("server_id", ts.alias("ts"), F.unix_micros(ts).alias("us"), *_FIELDS, "db_error")
@@ -128,7 +133,7 @@ def alerts_stream(judged: DataFrame) -> DataFrame:
     return raised.withColumn("us", F.timestamp_micros("us")).withColumnRenamed("us", "ts")
 
 
-def run_alerts(samples: DataFrame, on_alert: OnBatch, checkpoint: str, threshold: int = DEFAULT_THRESHOLD,
+def run_alerts(samples: DataFrame, on_alert: OnBatch, checkpoint: str, threshold: int = DEFAULT_THRESHOLD, *, delay: str,
                **how) -> StreamingQuery:
     """Calls ``on_alert`` with the new alerts of each micro-batch that has any."""
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -140,4 +145,4 @@ def run_alerts(samples: DataFrame, on_alert: OnBatch, checkpoint: str, threshold
         finally:
             raised.unpersist()
 
-    return run(alerts_stream(health_stream(samples, threshold)), handle, checkpoint, **how)
+    return run(alerts_stream(health_stream(samples, threshold, delay=delay)), handle, checkpoint, **how)

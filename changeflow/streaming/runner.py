@@ -6,6 +6,7 @@ restart from the checkpoint hands it over again: at least once, nothing skipped.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from changeflow.operators.normalise import carried_ends, carry_position, changes_of_carried
-from changeflow.operators.offsets import latest_offsets
+from changeflow.operators.offsets import latest_offsets, order_changes
 from changeflow.operators.progress import drop_unchanged, save_points
 from changeflow.streaming.state import KeyedTable
 
@@ -34,20 +35,25 @@ def run(changes: DataFrame, on_batch: OnBatch, checkpoint: str, seconds: float |
     return writer.start()
 
 
-def per_event(on_event: Callable[[Row], None]) -> OnBatch:
-    """A handler of single events as a handler of batches. It is called in the tasks, not on the driver, in
-    the order of the batch's partitions; put ``order_changes`` before it where the order of a row's changes
-    matters."""
+def per_event(on_event: Callable[[Row], None], ordered: bool = True) -> OnBatch:
+    """A handler of single events as a handler of batches. It is called in the tasks, not on the driver. The changes of a row
+    are in one task, in log order; tasks run side by side. ``ordered=False`` saves the shuffle and keeps no order."""
     def each(rows: Iterable[Row]) -> None:
         for row in rows:
             on_event(row)
 
-    return lambda batch, _: batch.foreachPartition(each)
+    return lambda batch, _: (order_changes(batch, whole_rows=True) if ordered else batch).foreachPartition(each)
 
 
 class _Closing(StreamingQueryListener):
-    def __init__(self, query_id: str, on_close: Callable[[str | None], None]):
-        self.query_id, self.on_close = query_id, on_close
+    """Waits for the ends of queries. It listens before they start, so an early end is not missed, and knows them by run,
+    so a restart from the same checkpoint is another matter."""
+
+    def __init__(self, spark: SparkSession, on_close: Callable[[str | None], None]):
+        self.spark, self.on_close = spark, on_close
+        self.lock = threading.Lock()
+        self.ended: dict[str, str | None] = {}
+        self.queries: dict[str, StreamingQuery] | None = None
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -59,16 +65,44 @@ class _Closing(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        if str(event.id) == self.query_id:
-            self.on_close(event.exception)
-
-
-def notify_close(spark: SparkSession, query: StreamingQuery, on_close: Callable[[str | None], None]) -> StreamingQueryListener:
-    """Calls ``on_close`` once when the query ends, with the error text or None. Returns the listener, for
-    ``spark.streams.removeListener``."""
-    listener = _Closing(str(query.id), on_close)
+        with self.lock:
+            self.ended[str(event.runId)] = event.exception
+        self._look()
+
+    def watch(self, queries: list[StreamingQuery]) -> None:
+        with self.lock:
+            self.queries = {str(q.runId): q for q in queries}
+        self._look()
+
+    def _look(self) -> None:
+        with self.lock:
+            if not self.queries or not (ended := self.queries.keys() & self.ended.keys()):
+                return
+            others = [q for run, q in self.queries.items() if run not in ended]
+            if not others:
+                error = next((self.ended[run] for run in self.queries if self.ended[run]), None)
+                self.queries = None
+        # Not from the thread that brings the events, which the calls below would wait for.
+        if others:
+            threading.Thread(target=lambda: [q.stop() for q in others], daemon=True).start()
+        else:
+            threading.Thread(target=lambda: (self.spark.streams.removeListener(self), self.on_close(error)), daemon=True).start()
+
+
+def notify_close(spark: SparkSession, start: Callable[[], StreamingQuery | list[StreamingQuery]],
+                 on_close: Callable[[str | None], None]) -> list[StreamingQuery]:
+    """Starts what ``start`` starts and calls ``on_close`` once when it has ended, with the error text or None. Of several
+    queries the end of one stops the others."""
+    listener = _Closing(spark, on_close)
     spark.streams.addListener(listener)
-    return listener
+    try:
+        queries = start()
+    except BaseException:
+        spark.streams.removeListener(listener)
+        raise
+    queries = queries if isinstance(queries, list) else [queries]
+    listener.watch(queries)
+    return queries
 
 
 OFFSET_SCHEMA = "topic string, partition int, offset bigint"
