@@ -73,7 +73,7 @@ def test_resume_reads_from_the_saved_files_on(spark, tmp_path):
     since = filters.changes_since(read_changes_files(spark, str(tmp_path / "log")), [(1, "b.000004", 5)])
     assert sorted((r.log_name, r.log_pos) for r in since.collect()) == [("b.000004", 9), ("b.000005", 5), ("b.000005", 9)]
     scan = since._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in scan and "substring_index(log_name" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "PartitionFilters: [" in scan and "substring_index(" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
 
 
 def test_malformed_messages_are_kept_aside(spark):
@@ -87,7 +87,7 @@ def test_wire_form(spark):
     changes = changes_of(spark, [{"before": {}, "after": {"b": None, "a": '"x"'}, "log_pos": 7, "gtid_set": "u:1", "timestamp": 9}])
     assert one(codec.encode_changes(changes)).value == (
         '{"event_type":"insert","server_id":1,"log_name":"mysql-bin.000001","log_pos":7,"db":"shop","table":"t","sql":"",'
-        '"gtid_set":"u:1","primary":["id"],"before":{},"after":{"a":"x","b":null},"timestamp":9}')
+        '"gtid_set":"u:1","primary":["id"],"before":{},"after":{"a":"x","b":null},"timestamp":9,"row_ordinal":0}')
 
 
 def test_row_ordinal_on_the_wire(spark):

@@ -21,7 +21,7 @@ def fold(rows, start=("", 0, "")):
     for r in sorted(rows, key=lambda r: (r["server_id"], r["file_no"], r["event_seq"])):
         name, pos, gtid = state.get(r["server_id"], start)
         kind = r["event_kind"]
-        new_name = (r["next_log"] if kind in ("rotate", "ddl", "xid") else None) or name
+        new_name = r["next_log"] if kind in ("rotate", "ddl", "xid") else name
         if new_name and r["log_pos"]:
             name, pos = new_name, r["log_pos"]
         if kind in ("gtid", "ddl") and r["gtid"]:

@@ -1,8 +1,9 @@
+import json
 import os
 import time
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from catalog import views as V
 from changeflow import schema as S
@@ -10,13 +11,15 @@ from changeflow.operators import docs as D, health as H, mapping as M, normalise
 from changeflow.operators.filters import changes_since
 from changeflow.operators.sqllog import sql_log
 from changeflow.plans import sync
-from changeflow.sources.bulk import send_bulk, write_bulk
+from changeflow.functions.cells import cells_json
+from changeflow.sources.bulk import send_bulk, send_settled, write_bulk
 from changeflow.sources.files import read_changes_files, write_changes_files, write_sql_log
-from changeflow.sources.codec import encode_changes
+from changeflow.sources.codec import decode_changes, encode_changes
+from changeflow.sources.tables import table_as_inserts
 from changeflow.operators.bulk import batch_requests, bulk_bodies, bulk_errors
 from changeflow.streaming import runner
 from changeflow.streaming.docs import doc_table, follow_requests, read_docs
-from changeflow.streaming.health import health_stream, run_alerts
+from changeflow.streaming.health import Recheck, health_stream, run_alerts
 from changeflow.streaming.state import KeyedTable
 from tests.helpers import changes_of
 
@@ -215,12 +218,107 @@ def accepts(body):
 
 def test_bulk_files(spark, log, tmp_path):
     requests = M.to_requests(read_changes_files(spark, log), M.rules_frame(spark, V.RULES))
-    write_bulk(requests, str(tmp_path / "bulk"), 100)
-    files = [f for f in os.listdir(tmp_path / "bulk") if f.endswith(".txt")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_bulk(requests, str(tmp_path / "bulk"), 100, bodies_per_file=20)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(f for f in os.listdir(tmp_path / "bulk") if f.endswith(".txt"))
+    assert len({f[:10] for f in files}) > 1
+    text = "".join(open(tmp_path / "bulk" / f).read() for f in files)
     bodies = bulk_bodies(batch_requests(requests, 100))
-    assert len(files) == bodies.count()
-    texts = sorted(open(tmp_path / "bulk" / f).read() for f in files)
-    assert texts == sorted(r.body for r in bodies.collect())
+    assert sorted(text.splitlines()) == sorted(line for r in bodies.collect() for line in r.body.splitlines())
+    # Posted file by file, the documents end as they should.
+    held, lines = {}, iter(text.splitlines())
+    for line in lines:
+        [(action, place)] = json.loads(line).items()
+        key = (place["_index"], place["_id"])
+        if action == "delete":
+            held.pop(key, None)
+        else:
+            held[key] = json.loads(next(lines))
+    want = {(r["index"], r.id): json.loads(r.data) for r in D.current_docs(requests).select("index", "id", cells_json(F.col("data")).alias("data")).collect()}
+    assert held == want
+
+
+def test_nothing_is_dropped(spark, sf_dir, tmp_path):
+    """Events that share a position, or have none, stay apart; sinks and senders get every row."""
+    customers = V.table(spark, sf_dir, "customer")
+    n = customers.count()
+    inserts = table_as_inserts(customers, ["c_custkey"], "shop", "customer")
+    assert O.dedup_changes(inserts).count() == n
+    assert inserts.select("log_pos").distinct().count() == n
+    assert table_as_inserts(customers, [], "shop", "customer", blocks=5).selectExpr(f"log_pos div {64 << 20} b").distinct().count() == 5
+
+    rows_ = [{"row_ordinal": i, "log_pos": 9} for i in range(3)] + [{"row_ordinal": i, "log_pos": 9, "table": "u"} for i in range(2)]
+    sent = encode_changes(changes_of(spark, rows_)).select("value")
+    assert O.dedup_changes(decode_changes(sent.union(sent))).count() == 5
+    dropped = [{"event_type": t, "table": x, "log_pos": 4} for t, x in (("table_change", "a"), ("table_change", "b"), ("ddl", ""), ("rotate", ""))]
+    assert O.dedup_changes(changes_of(spark, dropped + dropped)).count() == 4
+    assert O.dedup_changes(changes_of(spark, [{"log_name": "", "log_pos": 0}] * 5)).count() == 5
+
+    bare = M.to_requests(table_as_inserts(customers, [], "shop", "customer"), M.rules_frame(spark, [M.Rule("shop", "customer", id_field="none")]), skip_no_pk=False)
+    assert sync.settled_requests(bare).count() == n
+
+    lines = spark.range(100).selectExpr("cast(id as string) line")
+    write_sql_log(lines, str(tmp_path / "lines"))
+    assert spark.read.text(str(tmp_path / "lines")).count() == 100
+
+    answers = spark.createDataFrame([(200, '{"took":3,"items":[{"in'), (200, "<html>"), (200, accepts("")[1]), (503, "")], "code int, body string")
+    assert sorted(r.message for r in bulk_errors(answers).collect()) == [
+        " index: , type: , id: , status: 200, error: unreadable bulk response with status 200"] * 2 + [
+        " index: , type: , id: , status: 503, error: bulk request failed with status 503"]
+
+    nameless = changes_of(spark, [{"log_name": "", "log_pos": 1}])
+    write_changes_files(nameless, str(tmp_path / "log"))
+    assert read_changes_files(spark, str(tmp_path / "log")).first().log_name == ""
+
+
+def test_a_lagging_server_loses_nothing(spark, tmp_path):
+    late = [{"server_id": s, "log_pos": p, "timestamp": 1_700_000_000 + t} for s, p, t in ((1, 1, 90_000), (2, 1, 100), (1, 2, 200_000), (2, 2, 200), (2, 2, 200))]
+    for i, r in enumerate(late):
+        changes_of(spark, [r]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / str(i)))
+    source = (spark.readStream.schema(S.CHANGE_SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")))
+    finish(O.dedup_stream(source, "10 minutes").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+           .trigger(availableNow=True).start(str(tmp_path / "out")))
+    assert rows(spark.read.parquet(str(tmp_path / "out")), ["server_id", "log_pos"]) == [(1, 1), (1, 2), (2, 1), (2, 2)]
+
+
+def test_changes_of_a_row_are_in_one_task(spark, log):
+    dealt = O.order_changes(read_changes_files(spark, log).where(S.is_row_event()), 8, whole_rows=True).withColumn("task", F.spark_partition_id())
+    keyed = dealt.select("server_id", "table", O.row_key().alias("key"), "task")
+    assert keyed.groupBy("server_id", "table", "key").agg(F.countDistinct("task").alias("n")).where("n > 1").isEmpty()
+
+
+def test_settled_requests_fill_their_bodies(spark, log):
+    requests = M.to_requests(read_changes_files(spark, log), M.rules_frame(spark, V.RULES))
+    sent = send_settled(sync.settled_requests(requests), accepts, 100)
+    sizes = [r.requests for r in sent.collect()]
+    assert sum(sizes) == D.latest_requests(requests, addressed_only=False).count()
+    assert sum(s < 100 for s in sizes) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_live_health_is_linear(spark):
+    recheck = Recheck(5)
+
+    class Held:
+        def __init__(self):
+            self.value = None
+
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+        put = update = lambda self, value: setattr(self, "value", value)
+        clear = lambda self: setattr(self, "value", None)
+
+    class Handle:
+        listTimers = lambda self: []
+        registerTimer = lambda self, ms: None
+
+    recheck.handle, recheck.last, recheck.held = Handle(), Held(), Held()
+    sample = Row("us", "file_seq", "file_pos", "db_seq", "db_pos", "db_error")
+    start = time.time()
+    out = list(recheck.handleInputRows((1,), [sample(i * 1_000_000, 1, i // 50, 1, i, "") for i in range(100_000)], None))
+    assert time.time() - start < 30 and len(out) > 99_980
 
 
 def test_sending(spark, log, tmp_path):
