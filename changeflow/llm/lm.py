@@ -24,6 +24,8 @@ from changeflow.llm import common as C
 #: Words of an n-gram, and the weight of the shorter history.
 ORDER = 2
 PRIOR = 50.0
+#: Bytes of text in a block: larger blocks share more n-grams and ask for less.
+LM_BLOCK_BYTES = 6 << 20
 #: Every text ends with this token, and starts in this history.
 END, START = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)
 
@@ -137,7 +139,7 @@ class Automaton:
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, prior: float = PRIOR, held_out=held_out_by_crc,
-          block_bytes: int = C.BLOCK_BYTES) -> DataFrame:
+          block_bytes: int = LM_BLOCK_BYTES) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``.
 
     Scores are log10 probabilities of all lower-cased words of the text and one end; ``base_score`` is of the model of single words with one
