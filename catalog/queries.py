@@ -689,3 +689,43 @@ select server_id, event_id, status, last_status, reasons from s where status <>
 def alerts(spark, sf_dir):
     raised = H.alerts(_judged(spark, sf_dir))
     return raised.select("server_id", "event_id", "status", "last_status", F.array_join("reasons", "|").alias("reasons"))
+
+
+# ------------------------------------------------------- health from saved positions
+
+SAVED_SQL = """saved as (select user_id server_id, cast(floor(epoch(cast(ts as timestamp))) as bigint) saved_at,
+    max(struct_pack(q := cast(floor(event_id / 5000) as bigint), p := event_id * 16)) s from events where event_id % 3 = 0 group by 1, 2),
+db as (select user_id server_id, event_id, cast(ts as timestamp) ts, epoch_ms(cast(ts as timestamp)) ms,
+    cast(floor(event_id / 5000) as bigint) db_seq, event_id * 16 db_pos from events)"""
+
+
+def _saved_and_db(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Every third event is a save of its server's position; every event asks the server where it stands."""
+    events = V.table(spark, sf_dir, "events")
+    saved = events.where("event_id % 3 = 0").selectExpr(
+        "user_id server_id", "unix_seconds(cast(ts as timestamp)) saved_at",
+        "concat('mysql-bin.', lpad(cast(floor(event_id / 5000) as string), 6, '0')) log_name", "event_id * 16 log_pos")
+    db = events.selectExpr("user_id server_id", "event_id", "cast(ts as timestamp) ts", "cast(floor(event_id / 5000) as bigint) db_seq",
+                           "event_id * 16 db_pos", "'' db_error")
+    return saved, db
+
+
+@register("position_samples", f"""
+with {SAVED_SQL}
+select db.server_id, db.event_id, coalesce(s.s.q, -1) file_seq, coalesce(s.s.p, 0) file_pos, db_seq, db_pos
+from db asof left join saved s on db.server_id = s.server_id and db.ms >= s.saved_at * 1000""")
+def position_samples(spark, sf_dir):
+    samples = H.position_samples(*_saved_and_db(spark, sf_dir))
+    return samples.select("server_id", "event_id", "file_seq", "file_pos", "db_seq", "db_pos")
+
+
+@register("health_saved", f"""
+with {SAVED_SQL},
+now_ as (select db.*, coalesce(s.s.q, -1) fq, coalesce(s.s.p, 0) fp from db asof left join saved s on db.server_id = s.server_id and db.ms >= s.saved_at * 1000),
+late_ as (select n.*, coalesce(s.s.q, -1) lq, coalesce(s.s.p, 0) lp, n.ms + 86400000 later from now_ n asof left join saved s on n.server_id = s.server_id and n.ms + 86400000 >= s.saved_at * 1000)
+select server_id, event_id, (lq > fq or (lq = fq and lp > fp)) grew from late_""")
+def health_saved(spark, sf_dir):
+    """The grace period is a day, as the events of a server are far apart."""
+    saved, db = _saved_and_db(spark, sf_dir)
+    samples = H.position_samples(saved, db)
+    return H.recheck(samples, 86_400, saved=saved).select("server_id", "event_id", "grew")

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changeflow import schema as S
 from changeflow.functions.numbers import floor_div, span_of
-from changeflow.operators.ordered import span_ends, with_previous
+from changeflow.functions.positions import log_seq
+from changeflow.operators.ordered import as_of, span_ends, with_previous
 
 DEFAULT_CHECK_SECONDS = 10
 DEFAULT_THRESHOLD = 10_000
@@ -48,14 +49,37 @@ def _db() -> Column:
     return F.struct("db_seq", "db_pos")
 
 
-def recheck(samples: DataFrame, grace_seconds: float = GRACE_SECONDS, span_seconds: int = SPAN_SECONDS) -> DataFrame:
+def _saved(saved: DataFrame, rows: DataFrame, at_ms: Column, name: str, span_seconds: int) -> DataFrame:
+    """``rows`` with the saved position as of a time: the struct (file_seq, file_pos), -1 and 0 before the first save."""
+    place = F.struct(log_seq(F.col("log_name")).alias("file_seq"), F.col("log_pos").alias("file_pos"))
+    known = as_of(rows, saved, ["server_id"], at_ms, F.col("saved_at") * 1000, place, name, span_seconds * 1000)
+    none = F.struct(F.lit(-1).cast("bigint").alias("file_seq"), F.lit(0).cast("bigint").alias("file_pos"))
+    return known.withColumn(name, F.coalesce(name, none))
+
+
+def position_samples(saved: DataFrame, db_positions: DataFrame, span_seconds: int = SPAN_SECONDS) -> DataFrame:
+    """Samples from the engine's own state: each of ``db_positions`` (``server_id, ts, db_seq, db_pos, db_error``) with the
+    position saved last before it (``server_id, saved_at, log_name, log_pos``, as :mod:`progress` gives it)."""
+    at = F.unix_millis(F.col("ts").cast("timestamp"))
+    met = _saved(saved, db_positions, at, "_file", span_seconds)
+    return met.select("server_id", "ts", "_file.file_seq", "_file.file_pos", "db_seq", "db_pos", "db_error",
+                      *(c for c in db_positions.columns if c not in ("server_id", "ts", "db_seq", "db_pos", "db_error")))
+
+
+def recheck(samples: DataFrame, grace_seconds: float = GRACE_SECONDS, span_seconds: int = SPAN_SECONDS,
+            saved: DataFrame | None = None) -> DataFrame:
     """Adds ``last`` (file and db position of the server's previous sample, of itself for the first one) and
-    ``grew``: whether the file position grew within the grace period after the sample.
+    ``grew``: whether the file position grew within the grace period after the sample. Where the saved positions are
+    given, that is looked up in them, as samples may be further apart than the grace period.
 
     A server's samples are cut into spans of time; the samples that a span needs from the next one (those of
     its first seconds) are copied over to it.
     """
     grace_ms, span_ms = int(grace_seconds * 1000), span_seconds * 1000
+    if saved is not None:
+        later = _saved(saved, samples, F.unix_millis(F.col("ts").cast("timestamp")) + grace_ms, "_later", span_seconds)
+        now = recheck(later, 0, span_seconds)
+        return now.withColumn("grew", F.col("_later") > _file()).drop("_later")
     pair = F.struct(_file().alias("file"), _db().alias("db"))
     timed = samples.withColumn("_ms", F.unix_millis(F.col("ts").cast("timestamp")))
     span = span_of(F.col("_ms"), span_ms)
@@ -110,9 +134,10 @@ def message(threshold: int, check_seconds: float) -> dict[str, Column]:
 
 
 def health(samples: DataFrame, threshold: int = DEFAULT_THRESHOLD, grace_seconds: float = GRACE_SECONDS,
-           span_seconds: int = SPAN_SECONDS, check_seconds: float = DEFAULT_CHECK_SECONDS) -> DataFrame:
-    """Adds ``level``, ``status`` and ``reasons`` to each sample, and the settings it was judged by."""
-    judged = recheck(samples, grace_seconds, span_seconds).withColumns(verdict(threshold)).drop("last", "grew")
+           span_seconds: int = SPAN_SECONDS, check_seconds: float = DEFAULT_CHECK_SECONDS, saved: DataFrame | None = None) -> DataFrame:
+    """Adds ``level``, ``status`` and ``reasons`` to each sample, and the settings it was judged by. ``saved``: the saved
+    positions, in which growth after a stuck sample is looked up."""
+    judged = recheck(samples, grace_seconds, span_seconds, saved).withColumns(verdict(threshold)).drop("last", "grew")
     return judged.withColumns(message(threshold, check_seconds))
 
 
