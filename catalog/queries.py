@@ -111,6 +111,14 @@ def table_as_inserts(spark, sf_dir):
     return inserts.select("event_type", "db", "table", F.array_join("primary", ",").alias("primary"),
                           C.cells_json(F.col("after")).alias("after_json"))
 
+
+@register("typed_rows", "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
+def typed_rows(spark, sf_dir):
+    customers = V.table(spark, sf_dir, "customer")
+    inserts = tables.table_as_inserts(customers, ["c_custkey"], "shop", "customer")
+    return tables.typed_rows(inserts, customers.schema).select("after_row.*").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
 # ------------------------------------------------------------------ normalising
 
 EVENT_SQL = "server_id, file_no, event_seq"

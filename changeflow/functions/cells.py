@@ -98,6 +98,16 @@ def cells_of(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
     return F.create_map(*pairs).cast("map<string,string>")
 
 
+def typed_cell(cell: Column, dtype: T.DataType) -> Column:
+    """The value of a cell in a type; null where it does not fit."""
+    text = F.when(cell.startswith('"'), unquote(cell)).otherwise(cell)
+    if isinstance(dtype, T.BinaryType):
+        return F.encode(text, "UTF-8")
+    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
+        return F.from_json(cell, dtype)
+    return text.try_cast(dtype)
+
+
 def decode_base64(cells: Column, names: Iterable[str]) -> Column:
     """Binary cells arrive as base64 strings on the wire; turn the named ones into their text."""
     wanted = list(names)

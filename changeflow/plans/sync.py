@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow import schema as S
@@ -15,7 +15,8 @@ from changeflow.operators.sqllog import sql_log
 from changeflow.sources.bulk import send_settled, write_bulk
 from changeflow.sources.files import write_sql_log
 from changeflow.sources.kafka import read_changes_kafka, write_changes_kafka
-from changeflow.streaming.runner import OnBatch, handle_messages, run
+from changeflow.streaming.health import run_alerts
+from changeflow.streaming.runner import OnBatch, handle_messages, notify_close, per_event, run
 
 
 class BulkFailed(RuntimeError):
@@ -90,3 +91,21 @@ def consume(spark: SparkSession, brokers: list[str], topic: str, on_batch: OnBat
     if offsets is None:
         return run(events, on_batch, checkpoint, **how)
     return handle_messages(events, on_batch, offsets, checkpoint, **how)
+
+
+def start(changes: DataFrame, samples: DataFrame, on_event: Callable[[Row], None], on_alert: OnBatch, on_close: Callable[[str | None], None],
+          checkpoint: str, *, delay: str, seconds: float | None = None, available_now: bool = False) -> list[StreamingQuery]:
+    """One handler for events, alerts and the end. Events of a row come in log order; alerts as micro-batches. If either handler
+    raises, or one of the two queries ends, the other is stopped, and ``on_close`` is called once with the error
+    or None. ``delay`` is how far servers' samples may be apart."""
+    how = {"seconds": seconds, "available_now": available_now}
+
+    def both() -> list[StreamingQuery]:
+        queries = [run(changes, per_event(on_event), f"{checkpoint}/events", **how)]
+        try:
+            return [*queries, run_alerts(samples, on_alert, f"{checkpoint}/alerts", delay=delay, **how)]
+        except BaseException:
+            queries[0].stop()
+            raise
+
+    return notify_close(changes.sparkSession, both, on_close)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from changeflow import schema as S
-from changeflow.functions.cells import cells_json, cells_of
+from changeflow.functions.cells import cells_json, cells_of, typed_cell
 from changeflow.operators.bulk import BLOCK_BYTES
 
 
@@ -33,3 +33,15 @@ def table_as_inserts(df: DataFrame, primary: Sequence[str], db: str, table: str,
         F.array(*map(F.lit, primary)).cast("array<string>").alias("primary"),
         S.empty_cells().alias("before"), image.alias("after"),
         F.lit(timestamp).cast("bigint").alias("timestamp"), F.lit(0).cast("bigint").alias("row_ordinal"))
+
+
+def typed_rows(changes: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """The changes with ``before_row`` and ``after_row``: the images as structs of a schema, in place of cell maps. A field that an
+    image lacks is null; an empty image is a null struct."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def row(image: str):
+        fields = (typed_cell(F.element_at(image, F.lit(f.name)), f.dataType).alias(f.name) for f in schema.fields)
+        return F.when(F.size(image) > 0, F.struct(*fields))
+
+    return changes.withColumns({"before_row": row("before"), "after_row": row("after")}).drop("before", "after")

@@ -436,3 +436,31 @@ def test_bulk_files_of_a_stream(spark, log, tmp_path):
     requests = M.to_requests(read_changes_files(spark, log), M.rules_frame(spark, V.RULES))
     want = M.bulk_lines(requests).select(F.explode(F.split("line", "\n")).alias("line"))
     assert sorted(r.value for r in lines.collect()) == sorted(r.line for r in want.collect())
+
+
+def test_one_handler_for_events_alerts_and_the_end(spark, log, samples, tmp_path):
+    seen, closed = str(tmp_path / "seen"), []
+    os.mkdir(seen)
+
+    def touch(row):
+        open(f"{seen}/{row.server_id}-{row.log_name}-{row.log_pos}", "w").close()
+
+    def fails(batch, batch_id):
+        raise RuntimeError("no alerts wanted")
+
+    queries = sync.start(stream(spark, log), sample_stream(spark, samples), touch, fails, closed.append, str(tmp_path / "cp"), delay="10 days", seconds=0)
+    for _ in range(600):
+        if closed:
+            break
+        time.sleep(0.1)
+    assert not any(q.isActive for q in queries) and len(closed) == 1 and "no alerts wanted" in closed[0]
+
+
+def test_a_file_that_moves_in_the_grace_period_is_green(spark):
+    start = 1_700_000_000
+    db = spark.createDataFrame([(1, start + 10 * i, 1, 500, "") for i in range(4)], "server_id long, t long, db_seq long, db_pos long, db_error string")
+    db = db.withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    saves = [(1, start, "b.000001", 100), (1, start + 13, "b.000001", 200)]  # stuck at the check after 10 seconds, moved 3 seconds later
+    saved = spark.createDataFrame(saves, "server_id long, saved_at long, log_name string, log_pos long")
+    judged = H.health(H.position_samples(saved, db), saved=saved).orderBy("ts").collect()
+    assert [r.status for r in judged] == ["red", "green", "green", "red"]
