@@ -464,3 +464,16 @@ def test_a_file_that_moves_in_the_grace_period_is_green(spark):
     saved = spark.createDataFrame(saves, "server_id long, saved_at long, log_name string, log_pos long")
     judged = H.health(H.position_samples(saved, db), saved=saved).orderBy("ts").collect()
     assert [r.status for r in judged] == ["red", "green", "green", "red"]
+
+
+def test_a_state_table_reads_no_more_as_it_grows(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "state"), "k long, v long", ["k"], snapshot_every=8)
+    for batch_id in range(34):
+        rows_ = spark.createDataFrame([(batch_id % 5, batch_id)], "k long, v long")
+        table.put(rows_, batch_id)
+        if batch_id % 8 == 0:
+            table.put(rows_, batch_id)  # a repeat
+    before = table.read(before=34)
+    assert len(before.inputFiles()) <= 10
+    assert sorted(map(tuple, before.collect())) == sorted((k, max(b for b in range(34) if b % 5 == k)) for k in range(5))
+    assert rows(table.read(before=20), ["k", "v"]) == sorted((k, max(b for b in range(20) if b % 5 == k)) for k in range(5))
