@@ -363,8 +363,9 @@ def replies(asked: DataFrame, answer: Callable[[list[dict]], list[bytes]], folde
 
 
 def with_replies(packed: DataFrame, told: DataFrame) -> DataFrame:
-    """The blocks with their replies; blocks that asked nothing have null."""
-    return packed.join(told, "block", "left")
+    """The blocks with their replies; blocks that asked nothing have null. Joined by shuffle at every size, so that what a larger
+    input takes can be told from a smaller one."""
+    return packed.join(told.hint("merge"), "block", "left")
 
 
 def packed_keys(keys: np.ndarray) -> bytes:

@@ -158,7 +158,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     schema = T.StructType([T.StructField("kept", T.StringType()), T.StructField("total", T.LongType()), T.StructField("gone", T.LongType()),
                            T.StructField("rest", T.BooleanType()), *(T.StructField(name, kind) for name, kind, _ in fields)])
     told = C.with_replies(packed.drop("keys", "n_keys", "twice"), repeated).join(
-        matched.withColumnRenamed("replies", "matches"), "block", "left")
+        matched.withColumnRenamed("replies", "matches").hint("merge"), "block", "left")
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in C.rows_of(batches):
