@@ -22,6 +22,8 @@ from changeflow.llm import common as C
 
 #: Bytes of a run that can be an anchor.
 ANCHOR_BYTES = 16
+#: Bytes of text in a block; some two hundred times as many are in use while its windows are hashed.
+SUFFIX_BLOCK_BYTES = 1 << 20
 #: Anchors travel without these low bits: a false match only keeps a few suffixes more.
 _DROPPED = np.uint64(16)
 
@@ -202,7 +204,7 @@ def _least_by_class(texts: list[bytes], docs: np.ndarray, length: int) -> np.nda
     return low[classes]
 
 
-def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, block_bytes: int = C.BLOCK_BYTES) -> DataFrame:
+def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, block_bytes: int = SUFFIX_BLOCK_BYTES) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept binary, spans array of (start, length)) for each row of ``docs``: the text's UTF-8 bytes without those
     covered by a run of ``length`` bytes that also starts in a document with a smaller id. Runs are judged on the texts as they come in
     and do not cross texts; ``spans`` are the maximal removed runs.
@@ -261,7 +263,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             kept = np.cumsum(gone[:-1]) == 0
             yield _rows(texts, kept)
 
-    told = C.with_replies(packed, repeated).join(smaller.withColumnRenamed("replies", "matches"), "block", "left")
+    told = C.with_replies(packed, repeated).join(smaller.withColumnRenamed("replies", "matches").hint("merge"), "block", "left")
     out = told.mapInArrow(removed, "id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,length:long>>")
     return out.withColumn("id", C.id_or_null())
 
