@@ -22,8 +22,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog import views as V
 from changeflow.functions.cells import cells_json, parse_cells
 from changeflow.operators import bulk, docs, filters, health, mapping, normalise, offsets, progress, sqllog
+from changeflow.plans import sync
 from changeflow.session import with_settings
 from changeflow.sources import codec
+from changeflow.sources.bulk import send_settled
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -81,6 +83,8 @@ def bench_queries(spark: SparkSession, root: str) -> tuple[dict[str, callable],
         "progress": lambda: progress.progress(V.as_changes(orders)),
         "health": lambda: health.health(samples),
         "alerts": lambda: health.alerts(health.health(samples)),
+        "bulk_bodies": lambda: bulk.bulk_bodies(bulk.batch_requests(requests())),
+        "send_settled": lambda: send_settled(sync.settled_requests(requests()), lambda body: (200, '{"took":1,"items":[]}')),
         "changes_since": lambda: filters.changes_since(V.as_changes(orders), V.saved_positions(spark)).select(
             cells_json(F.col("after"))),
     }, rows
