@@ -27,7 +27,8 @@ def _image(ordinal: Column, before: Column, after: Column) -> Column:
 
 
 def _images(action: Column, columns: Column, rows: Column) -> Column:
-    """Array of (row_ordinal, before, after): updates hold pairs of rows, the others single ones."""
+    """Array of (row_ordinal, before, after): updates hold pairs of rows, inserts and deletes single ones. An action of another
+    name gives one event without images."""
     none = S.empty_cells()
     inserted = F.transform(rows, lambda r, i: _image(i, none, zip_fields(columns, r)))
     deleted = F.transform(rows, lambda r, i: _image(i, zip_fields(columns, r), none))
@@ -35,7 +36,8 @@ def _images(action: Column, columns: Column, rows: Column) -> Column:
         i.alias("i"), r.alias("old"), F.get(rows, i + 1).alias("new"))), lambda p: p["i"] % 2 == 0)
     updated = F.transform(pairs, lambda p: _image(
         F.floor(p["i"] / 2), zip_fields(columns, p["old"]), zip_fields(columns, p["new"])))
-    return F.when(action == S.INSERT, inserted).when(action == S.DELETE, deleted).when(action == S.UPDATE, updated)
+    return F.when(action == S.INSERT, inserted).when(action == S.DELETE, deleted).when(action == S.UPDATE, updated).otherwise(
+        F.array(_image(F.lit(0), none, none)))
 
 
 def row_images(raw: DataFrame) -> DataFrame:

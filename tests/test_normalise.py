@@ -109,3 +109,9 @@ def test_events_with_several_rows(spark):
 def test_fewer_values_than_columns(spark):
     df = spark.createDataFrame([(["a", "b"], ["1"])], "c array<string>, v array<string>")
     assert df.select(N.zip_fields(F.col("c"), F.col("v")).alias("m")).first().m == {"a": "1"}
+
+
+def test_an_unknown_action_is_an_event_without_images(spark):
+    row = {**random_log(1, 1)[0], "event_kind": "row", "action": "truncate"}
+    [event] = N.normalise(raw_of(spark, [row])).collect()
+    assert (event.event_type, event.before, event.after, event.row_ordinal) == ("truncate", {}, {}, 0)
