@@ -313,7 +313,7 @@ def stretches(runs: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndar
     """Groups windows by their anchor: the leftmost of the ``width`` runs in a window with the smallest hash.
 
     ``starts`` are the windows in order. Returns the first and last window of each stretch, which is a row of windows with one anchor,
-    and the anchor's hash. Equal windows have equal anchors at equal places."""
+    and a hash of the anchor. Equal windows have equal anchors at equal places."""
     n = len(starts)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -336,7 +336,8 @@ def stretches(runs: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndar
     new = np.ones(n, bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
     at = np.flatnonzero(new)
-    return starts[at], starts[np.append(at[1:], n) - 1], runs[anchor[at]]
+    # The smallest of many hashes are small numbers; mixed again they spread evenly over the buckets.
+    return starts[at], starts[np.append(at[1:], n) - 1], mix(runs[anchor[at]] ^ _GOLDEN)
 
 
 # Exchange: what do other blocks know about my keys?
