@@ -20,6 +20,8 @@ BLOCK_BYTES = 2 << 20
 #: Bytes of text handled at once where nothing is kept: the arrays stay in the processor's caches.
 CHUNK_BYTES = 1 << 20
 MAX_BUCKETS = 8192
+#: Shards of text grow with the number of blocks; a block sends rows only to those it has stretches for.
+MAX_SHARDS = 1 << 20
 
 #: Stands for a null id inside the operators; results have null again.
 NULL_ID = -(1 << 63)
@@ -343,9 +345,9 @@ def stretches(runs: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndar
 # Exchange: what do other blocks know about my keys?
 
 
-def key_bits(count: int) -> int:
-    """Bits that number the buckets for ``count`` blocks: as many buckets as blocks, 64 to ``MAX_BUCKETS``."""
-    return int(np.clip(max(1, count - 1).bit_length(), 6, MAX_BUCKETS.bit_length() - 1))
+def key_bits(count: int, most: int = MAX_BUCKETS) -> int:
+    """Bits that number the buckets for ``count`` blocks: as many buckets as blocks, 64 to ``most``."""
+    return int(np.clip(max(1, count - 1).bit_length(), 6, most.bit_length() - 1))
 
 
 def replies(asked: DataFrame, answer: Callable[[list[dict]], list[bytes]], folder: str, name: str) -> DataFrame:

@@ -24,6 +24,8 @@ from changeflow.llm import common as C
 ANCHOR_BYTES = 16
 #: Bytes of text in a block; some two hundred times as many are in use while its windows are hashed.
 SUFFIX_BLOCK_BYTES = 1 << 20
+#: Numbers up to this one have a cube that fits 64 bits.
+MAX_CUBED = 1 << 21
 #: Anchors travel without these low bits: a false match only keeps a few suffixes more.
 _DROPPED = np.uint64(16)
 
@@ -42,7 +44,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     # A sampled place after the end keeps the two halves of the recursion apart.
     ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate([ones, twos])
-    _, names = np.unique((s[sample] * base + s[sample + 1]) * base + s[sample + 2], return_inverse=True)
+    names = _triple_names(s, sample, base)
     if depth > 3 and int(names.max()) + 1 < len(sample):
         order = suffix_order(names + 1, -(-depth // 3))
         names = np.empty(len(sample), np.int64)
@@ -56,6 +58,15 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     return _merged(s, rank, sampled, rest)
 
 
+def _triple_names(s: np.ndarray, at: np.ndarray, base: int) -> np.ndarray:
+    """Numbers of the triples of symbols (below ``base``) at some places, in the order of the triples."""
+    pairs = s[at] * base + s[at + 1]
+    if base > MAX_CUBED:
+        # Pairs are named first: a name is below the number of places, so no product leaves 64 bits.
+        pairs = np.unique(pairs, return_inverse=True)[1]
+    return np.unique(pairs * base + s[at + 2], return_inverse=True)[1]
+
+
 def _merged(s: np.ndarray, rank: np.ndarray, sampled: np.ndarray, rest: np.ndarray) -> np.ndarray:
     """Merges two sorted lists of suffixes: every remaining suffix finds its place among the sampled ones by bisection."""
     low, high = np.zeros(len(rest), np.int64), np.full(len(rest), len(sampled))
@@ -213,7 +224,8 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     take no part and stay whole. Other columns are not looked at. No rows give no rows."""
     folder = C.workdir(docs.sparkSession, "suffixes")
     packed = C.blocks(C.text_column(docs, id_col, text_col), folder, pa.schema([]), "", lambda texts: {}, block_bytes)
-    bits = C.key_bits(packed.select("block").count())
+    n_blocks = packed.select("block").count()
+    bits, shard_bits = C.key_bits(n_blocks), C.key_bits(n_blocks, C.MAX_SHARDS)
 
     def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("twice", pa.binary())])
@@ -235,7 +247,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield C.rows_batch([{"bucket": b, "block": row["block"], "text": codec.compress(texts.data[C.ranges(first[at:to], sizes[at:to])], asbytes=True),
                                  "sizes": sizes[at:to].astype("<u4").tobytes(), "docs": anchored.doc[some[at:to]].astype("<i8").tobytes(),
                                  "anchors": (anchored.keys[some[at:to]] >> _DROPPED).astype("<u4").tobytes()}
-                                for b, at, to in C.bucket_slices(anchored.keys[some], bits)], schema)
+                                for b, at, to in C.bucket_slices(anchored.keys[some], shard_bits)], schema)
 
     shards = C.with_replies(packed, repeated).where("replies is not null").mapInArrow(
         to_shards, "bucket int, block long, text binary, sizes binary, docs binary, anchors binary")
@@ -250,7 +262,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 some, place = anchored.chosen(row["replies"], bits)
                 n = anchored.last - anchored.first + 1
                 told = {r["bucket"]: r["reply"] for r in row["matches"] or []}
-                parts = [np.unpackbits(np.frombuffer(told[b], np.uint8), count=int(n[some[at:to]].sum())).astype(bool) for b, at, to in C.bucket_slices(anchored.keys[some], bits)]
+                parts = [np.unpackbits(np.frombuffer(told[b], np.uint8), count=int(n[some[at:to]].sum())).astype(bool) for b, at, to in C.bucket_slices(anchored.keys[some], shard_bits)]
                 flags = np.concatenate(parts) if parts else np.zeros(0, bool)
                 begin = np.cumsum(n[some]) - n[some]
                 mine = np.flatnonzero(place >= 0)

@@ -40,6 +40,23 @@ def test_suffix_order():
         assert sorted(order) == list(range(len(a))) and prefixes == sorted(prefixes)
 
 
+def test_suffix_order_of_many_symbols():
+    """Triples of names above 2^21 have no product in 64 bits."""
+    rnd = np.random.default_rng(8)
+    for high in (3_000_000, 5_000_000, 1 << 31):
+        pool = rnd.integers(1, high, 40)
+        a = rnd.choice(pool, 400)
+        order = suffixes.suffix_order(a, 50).tolist()
+        tails = [[*a[i:i + 50].tolist(), *[0] * 50][:50] for i in order]
+        assert sorted(order) == list(range(len(a))) and tails == sorted(tails)
+
+
+def test_shards_grow_with_blocks():
+    from changeflow.llm import common as C
+
+    assert C.key_bits(1 << 17) == 13 and C.key_bits(1 << 17, C.MAX_SHARDS) == 17 and C.key_bits(500, C.MAX_SHARDS) == C.key_bits(500)
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 21, 700])
 def test_suffixes(edge, edge_rows, none, block_bytes):
     length, starts = 20, collections.defaultdict(set)
