@@ -2,12 +2,13 @@
 
 Each tree splits the vectors again and again by their projection on a random direction, at a random place near the median, and
 sends what lies close to the split to both sides. Pairs are compared in the leaves of all trees, with exact cosines in
-double precision, and the links of all leaves are united.
+double precision, and the links of all leaves are united to components.
 
 The upper splits are fitted on a bounded sample and broadcast; every vector is routed by them. A group of vectors that
-arrives below one of them is split on, with all its vectors, inside its task. Equal vectors are one node. A leaf
-sends a node's neighbours as one value and a spanning forest of its links, so groups of near copies are not
-written out as pairs."""
+arrives below one of them is split on, with all its vectors, inside its task. Equal vectors are one node. A group
+sends a spanning forest of its links only. A leaf is too small for a dense group, so links are counted afterwards, each vector with
+all others of its component: in one task where the component is small, else in a grid of packs of its vectors. Packs whose bounding angles
+say that all their pairs are links, or none, are not compared."""
 
 from __future__ import annotations
 
@@ -25,6 +26,10 @@ TREES = 12
 SPILL = 0.08
 #: Vectors of the sample that fits the upper splits, vectors that a group below them should have, and vectors in a leaf.
 SAMPLE, GROUP, LEAF = 20_000, 4_000, 400
+#: Bytes of a pack of a component's vectors.
+PACK_BYTES = 1 << 20
+#: Angles closer than this to the threshold's are not decided by bounds.
+ANGLE_MARGIN = 1e-6
 #: Vectors of a sample below a split.
 LEAST_SAMPLE = 32
 
@@ -95,13 +100,48 @@ def _leaves(vectors: np.ndarray, rng) -> Iterator[np.ndarray]:
             todo += [rows[values <= high], rows[values >= low]]
 
 
-def _links(vectors: np.ndarray, rows: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, linked rows) in a leaf, by blocks of rows."""
+def _ties(vectors: np.ndarray, rows: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows) that tie the linked rows of a leaf together: each linked row is reached once."""
+    some = np.zeros(len(rows), bool)
     for at in range(0, len(rows), 512):
         near = vectors[rows[at:at + 512]] @ vectors[rows].T >= least
         near[np.arange(len(near)), np.arange(at, at + len(near))] = False
-        for i in np.flatnonzero(near.any(1)):
-            yield int(rows[at + i]), rows[near[i]]
+        some[at:at + len(near)] = near.any(1)
+    left = rows[some]
+    while len(left):
+        todo, left = [left[:1]], left[1:]
+        while todo and len(left):
+            here = todo.pop()
+            todo += [here[512:]] if len(here) > 512 else []
+            here = here[:512]
+            near = vectors[left] @ vectors[here].T >= least
+            hit = near.any(1)
+            by = here[near[hit].argmax(1)]
+            for x in np.unique(by):
+                yield int(x), left[hit][by == x]
+            if hit.any():
+                todo.append(left[hit])
+                left = left[~hit]
+
+
+def _linked_copies(a: np.ndarray, copies_a: np.ndarray, b: np.ndarray, copies_b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector of either side, the copies of the other side's vectors that link with it."""
+    to_a, to_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    for at in range(0, len(a), 512):
+        near = (a[at:at + 512] @ b.T >= least).astype(np.float64)
+        to_a[at:at + 512] = near @ copies_b
+        to_b += (copies_a[at:at + 512] @ near).astype(np.int64)
+    return to_a, to_b
+
+
+def _own_copies(a: np.ndarray, copies: np.ndarray, least: float) -> np.ndarray:
+    """For each vector, the copies of the others that link with it."""
+    out = np.zeros(len(a), np.int64)
+    for at in range(0, len(a), 512):
+        near = (a[at:at + 512] @ a.T >= least).astype(np.float64)
+        near[np.arange(len(near)), np.arange(at, at + len(near))] = 0
+        out[at:at + 512] = near @ copies
+    return out
 
 
 def _forest_edges(links: dict[int, set]) -> list[tuple[int, int]]:
@@ -121,10 +161,103 @@ def _forest_edges(links: dict[int, set]) -> list[tuple[int, int]]:
     return out
 
 
+def _degrees(nodes: DataFrame, parts: DataFrame, folder: str, least: float, size: int, buckets: int) -> DataFrame:
+    """(node, others): the copies of other nodes of its component that each node of ``parts`` links with."""
+    pack = max(16, PACK_BYTES // (8 * size))
+    large = parts.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > pack).select("component", F.ceil(F.col("n") / pack).cast("int").alias("salts"))
+    members = nodes.join(parts, "node").join(large, "component", "left")
+    members = members.withColumn("salts", F.coalesce("salts", F.lit(1))).withColumn("salt", F.pmod(F.xxhash64("node", F.lit(1)), F.col("salts")).cast("int"))
+    members = members.withColumn("bucket", F.pmod(F.xxhash64("component", "salt"), F.lit(buckets)))
+    schema = pa.schema([("component", pa.int64()), ("salt", pa.int32()), ("salts", pa.int32()), ("nodes", pa.binary()), ("copies", pa.binary()), ("others", pa.binary()),
+                        ("vectors", pa.binary()), ("center", pa.binary()), ("radius", pa.float64())])
+    columns = "component long, salt int, salts int, nodes binary, copies binary, others binary, vectors binary, center binary, radius double"
+
+    def packed(table: pa.Table) -> pa.Table:
+        component, salt, salts, node, copies = (table.column(c).to_numpy() for c in ("component", "salt", "salts", "node", "copies"))
+        blobs = table.column("vector").to_pylist()
+        order = np.lexsort((node, salt, component))
+        new = np.ones(len(order), bool)
+        new[1:] = (component[order[1:]] != component[order[:-1]]) | (salt[order[1:]] != salt[order[:-1]])
+        alone_nodes, alone_others, rows = [], [], []
+        for at in np.split(order, np.flatnonzero(new)[1:]):
+            matrix = np.frombuffer(b"".join(blobs[i] for i in at), np.float64).reshape(len(at), -1)
+            others = _own_copies(matrix, copies[at], least)
+            if salts[at[0]] == 1:
+                alone_nodes.append(node[at])
+                alone_others.append(others)
+                continue
+            center = matrix.mean(0)
+            center = center / np.sqrt((center * center).sum()) if center.any() else matrix[0]
+            radius = float(np.arccos(np.clip(matrix @ center, -1, 1)).max())
+            rows.append({"component": int(component[at[0]]), "salt": int(salt[at[0]]), "salts": int(salts[at[0]]), "nodes": node[at].tobytes(), "copies": copies[at].tobytes(),
+                         "others": others.tobytes(), "vectors": matrix.tobytes(), "center": center.tobytes(), "radius": radius})
+        if alone_nodes:
+            rows.append({"nodes": np.concatenate(alone_nodes).tobytes(), "others": np.concatenate(alone_others).tobytes()})
+        return pa.Table.from_pylist(rows, schema=schema)
+
+    packs = C.saved(members.groupBy("bucket").applyInArrow(packed, columns), folder, "packs")
+    grid = packs.where("salts > 1")
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        limit = np.arccos(least)
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.float64).reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1)) for c in ("center_a", "center_b"))
+            between = np.arccos(np.clip((x * y).sum(1), -1, 1))
+            around = batch.column("radius_a").to_numpy() + batch.column("radius_b").to_numpy()
+            every, none = between + around < limit - ANGLE_MARGIN, between - around > limit + ANGLE_MARGIN
+            part = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("component", "a", "b")), pa.array(every)], names=["component", "a", "b", "every"])
+            yield part.filter(pa.array(~none))
+
+    one = grid.where("salt + 1 < salts").select("component", F.col("salt").alias("a"), F.col("center").alias("center_a"), F.col("radius").alias("radius_a"),
+                                                F.explode(F.sequence(F.col("salt") + 1, F.col("salts") - 1)).alias("b"))
+    two = grid.select("component", F.col("salt").alias("b"), F.col("center").alias("center_b"), F.col("radius").alias("radius_b"))
+    cells = C.saved(one.join(two, ["component", "b"]).mapInArrow(_of_one_size(judged, "center_a"), "component long, a int, b int, every boolean"), folder, "cells")
+
+    side = lambda name: grid.select("component", F.col("salt").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("nodes", "copies", "vectors")))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in C.rows_of(batches):
+            copies = [np.frombuffer(row[f"copies_{c}"], np.int64) for c in "ab"]
+            if row["every"]:
+                told = [np.full(len(copies[0]), copies[1].sum()), np.full(len(copies[1]), copies[0].sum())]
+            else:
+                x, y = (np.frombuffer(row[f"vectors_{c}"], np.float64).reshape(len(n), -1) for c, n in zip("ab", copies))
+                told = _linked_copies(x, copies[0], y, copies[1], least)
+            yield _degree_rows(row["nodes_a"] + row["nodes_b"], np.concatenate(told).tobytes())
+
+    # Vectors are sent for the cells that need them only.
+    met = lambda cells, drop: cells.join(side("a").drop(*drop), ["component", "a"]).join(side("b").drop(*drop), ["component", "b"])
+    across = met(cells.where("not every"), ()).mapInArrow(counted, "node long, others long")
+    whole = met(cells.where("every"), ("vectors_a", "vectors_b")).mapInArrow(counted, "node long, others long")
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in C.rows_of(batches):
+            yield _degree_rows(row["nodes"], row["others"])
+
+    own = packs.select("nodes", "others").mapInArrow(within, "node long, others long")
+    return own.union(across).union(whole).groupBy("node").agg(F.sum("others").alias("others"))
+
+
+def _degree_rows(nodes: bytes, others: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.frombuffer(nodes, np.int64)), pa.array(np.frombuffer(others, np.int64))], names=["node", "others"])
+
+
+def _of_one_size(work, column: str):
+    """``work`` on parts of batches whose values of ``column`` have one length."""
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.array([len(v) for v in batch.column(column).to_pylist()], np.int64)
+            yield from work(batch.filter(pa.array(sizes == n)) for n in np.unique(sizes))
+
+    return parts
+
+
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, trees: int = TREES,
                  sample: int = SAMPLE, group: int = GROUP, seed: int = 11) -> DataFrame:
-    """(id, n_links, component_id, kept) for each row of ``rows``: rows whose vectors have a cosine of at least ``least`` are linked if
-    they meet in a leaf of some tree; a component is named by its smallest id, the one that is kept.
+    """(id, n_links, component_id, kept) for each row of ``rows``: rows whose vectors have a cosine of at least ``least`` are linked. Components
+    are made of the links that meet in a leaf of some tree, and named by their smallest id, the one that is kept; ``n_links`` are all links
+    of a row within its component.
 
     Vectors that are null, empty, zero, or hold null, NaN or infinite components link with nothing; vectors of different lengths
     do not link. Equal vectors link with each other. Rows that share an id are rows of their own; rows without id take no
@@ -162,7 +295,7 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = batch.column(2).to_pylist()
+            blobs = batch.column(1).to_pylist()
             matrix = np.zeros((len(blobs), size))
             sizes = np.array([len(b) // 8 for b in blobs], np.int32)
             for i, b in enumerate(blobs):
@@ -171,37 +304,27 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
                 for leaf, at in tree.route(matrix):
                     part = batch.take(pa.array(at))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(np.full(len(at), leaf, np.int32)), pa.array(sizes[at]), *part.columns],
-                                                     names=["tree", "leaf", "size", "node", "copies", "vector"])
+                                                     names=["tree", "leaf", "size", "node", "vector"])
 
     def compared(key: tuple, table: pa.Table) -> pa.Table:
         tree, leaf, n = (k.as_py() for k in key)
-        node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
+        node = table.column("node").to_numpy()
         matrix = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.float64).reshape(-1, n)
         order = np.argsort(node)  # so that the splits do not depend on the order of arrival
-        node, copies, matrix = node[order], copies[order], matrix[order]
+        node, matrix = node[order], matrix[order]
         near: dict[int, set] = {}
         for rows_ in _leaves(matrix, np.random.default_rng([seed, tree, leaf])):
-            for x, ys in _links(matrix, rows_, least):
+            for x, ys in _ties(matrix, rows_, least):
                 near.setdefault(x, set()).update(ys.tolist())
-        tied: dict[int, list] = {x: [] for x in near}
-        for x, y in _forest_edges(near):
-            tied[x].append(int(node[y]))
-        lists = [np.array(sorted(ys)) for ys in near.values()]
-        return pa.table({"node": pa.array([int(node[x]) for x in near], pa.int64()), "near": pa.array([node[y].tobytes() for y in lists], pa.binary()),
-                         "copies": pa.array([copies[y].tobytes() for y in lists], pa.binary()), "tied": pa.array([tied[x] for x in near], pa.list_(pa.int64()))})
-
-    met = nodes.select("node", "copies", "vector").mapInArrow(routed, "tree int, leaf int, size int, node long, copies long, vector binary")
-    found = C.saved(met.groupBy("tree", "leaf", "size").applyInArrow(compared, "node long, near binary, copies binary, tied array<long>"), folder, "links")
-
-    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in C.rows_of(batches):
-            near = np.frombuffer(b"".join(x["near"] for x in row["lists"]), np.int64)
-            copies = np.frombuffer(b"".join(x["copies"] for x in row["lists"]), np.int64)
-            _, first = np.unique(near, return_index=True)
-            yield pa.RecordBatch.from_pydict({"node": pa.array([row["node"]], pa.int64()), "others": pa.array([int(copies[first].sum())], pa.int64())})
+                for y in ys.tolist():
+                    near.setdefault(y, set()).add(x)
+        tied = [(int(node[x]), int(node[y])) for x, y in _forest_edges(near)]
+        return pa.table({"a": pa.array([a for a, _ in tied], pa.int64()), "b": pa.array([b for _, b in tied], pa.int64())})
 
-    degree = found.groupBy("node").agg(F.collect_list(F.struct("near", "copies")).alias("lists")).mapInArrow(united, "node long, others long")
-    parts = components(found.select(F.col("node").alias("a"), F.explode("tied").alias("b")), folder)
+    met = nodes.select("node", "vector").mapInArrow(routed, "tree int, leaf int, size int, node long, vector binary")
+    found = C.saved(met.groupBy("tree", "leaf", "size").applyInArrow(compared, "a long, b long"), folder, "links")
+    parts = components(found, folder)
+    degree = _degrees(nodes, parts, folder, least, size, max(1, known.n // group))
     placed = nodes.select("node", "copies").join(degree, "node", "left").join(parts, "node", "left").select(
         "node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component"))
     placed = C.saved(placed, folder, "placed")

@@ -90,6 +90,22 @@ def test_embeddings(spark):
     assert forest.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("noise, pack_bytes", [(0.15, 1 << 20), (0.15, 1 << 17), (0.32, 1 << 17)])
+def test_links_of_dense_groups(spark, monkeypatch, noise, pack_bytes):
+    """All links of near copies are counted, though a leaf holds a few of them; packs are decided by bounds at little noise and compared at more."""
+    monkeypatch.setattr(forest, "PACK_BYTES", pack_bytes)
+    rnd = np.random.default_rng(9)
+    center = rnd.standard_normal(64)
+    m = np.concatenate([center + noise * rnd.standard_normal((5000, 64)), rnd.standard_normal((300, 64))])
+    rows = [(i, v) for i, v in enumerate(m.tolist())] + [(6000 + i, m[i].tolist()) for i in range(3)]
+    m = np.concatenate([m, m[:3]])
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    want = (m @ m.T >= 0.9).sum(1) - 1
+    got = sorted(forest.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), sample=1000, group=2000).collect())
+    found = np.array([r.n_links for r in got])
+    assert (found <= want).all() and found.sum() >= 0.999 * want.sum() and (noise > 0.15 or (found == want).all())
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, 500 + i) for i in range(50)] + [(rnd.randint(1000, 1100), rnd.randint(1000, 1100)) for _ in range(80)] + [(3, 3)]
