@@ -1,8 +1,9 @@
-"""License scans: winnowed fingerprints of templates in an inverted index pick candidates, banded alignment reports them.
+"""License scans: selected fingerprints of templates in an inverted index pick candidates, banded alignment reports them.
 
-Templates are few and of bounded size (checked), so their index is broadcast. Each run of words of a document is looked up in it; hits
-with about the same offset between document and template are one candidate, and a banded alignment of the whole template
-against that place gives the share of template words matched and the span in the document. Rows never leave their task."""
+Templates are few and of bounded size (checked), so their index is broadcast. A template's fingerprints are single words, one more than
+a match may miss, so that every match has one of them; those in few templates and long ones are taken. Each word of a
+document is looked up. Hits with enough of the template's words around them are candidates, and a banded alignment of the template
+on both sides of the hit gives the share of template words matched and the span in the document. Rows never leave their task."""
 
 from __future__ import annotations
 
@@ -32,8 +33,8 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
 }
 
-#: Words of a fingerprint, fingerprints of a winnowing window, and how far an alignment may drift, in words.
-RUN, WINNOW, BAND = 3, 3, 6
+#: Words that a template has at least, and how far an alignment may drift on either side of a fingerprint, in words.
+LEAST_WORDS, BAND = 3, 6
 MAX_TEMPLATE_BYTES = 8 << 20
 
 _PLAIN = np.zeros(256, bool)
@@ -62,30 +63,29 @@ class PlainWords:
         self.bounds = np.concatenate([[0], np.cumsum(some)])[words.bounds]
         self.hashes = C.span_hashes(C.byte_values(C.lowered(texts.data)), self.starts, self.ends)
 
-    def runs(self, k: int) -> np.ndarray:
-        return C.ranges(self.bounds[:-1], np.maximum(np.diff(self.bounds) - k + 1, 0))
-
 
 class Index:
-    """Words of the templates, and their winnowed fingerprints with the templates and places they stand for."""
+    """Words of the templates, the words a match needs, and the fingerprints with the templates and places they stand for."""
 
-    def __init__(self, templates: dict[str, str], run: int = RUN, winnow: int = WINNOW):
+    def __init__(self, templates: dict[str, str], coverage: float = 0.8):
         if sum(len(t.encode()) for t in templates.values()) > MAX_TEMPLATE_BYTES:
             raise ValueError(f"templates are larger than {MAX_TEMPLATE_BYTES} bytes together; scan in several calls")
-        self.run = run
         self.names = sorted(templates)
         blobs = [templates[n].encode() for n in self.names]
         words = PlainWords(C.Texts(np.arange(len(blobs)), np.frombuffer(b"".join(blobs), np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in blobs])]).astype(np.int64)))
         self.words = [words.hashes[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
-        self.short = [n for n, w in zip(self.names, self.words) if len(w) < run]
+        self.short = [n for n, w in zip(self.names, self.words) if len(w) < LEAST_WORDS]
         if self.short:
-            raise ValueError(f"templates of fewer than {run} words: {self.short}")
-        keys, where = [], []
+            raise ValueError(f"templates of fewer than {LEAST_WORDS} words: {self.short}")
+        sizes = [(words.ends - words.starts)[a:b] for a, b in zip(words.bounds[:-1], words.bounds[1:])]
+        known, templates_of = np.unique(np.concatenate([np.unique(w) for w in self.words]), return_counts=True)
+        self.needed, keys, where = [], [], []
         for t, w in enumerate(self.words):
-            prints = C.window_hashes(w, run)
-            chosen = {i + int(np.argmin(prints[i:i + winnow])) for i in range(max(1, len(prints) - winnow + 1))}
-            for p in sorted(chosen):
-                keys.append(prints[p])
+            self.needed.append(next((k for k in range(1, len(w)) if k >= coverage * len(w)), len(w)))
+            # A match misses len(w) - needed words at most, so it has one of any set with one word more.
+            rare = np.lexsort((w, -sizes[t], templates_of[np.searchsorted(known, w)]))
+            for p in sorted(rare[:len(w) - self.needed[t] + 1].tolist()):
+                keys.append(w[p])
                 where.append((t, p))
         order = np.argsort(np.array(keys, np.uint64), kind="stable")
         self.keys = np.array(keys, np.uint64)[order]
@@ -127,14 +127,24 @@ def align(template: np.ndarray, words: np.ndarray, offset: int, band: int) -> tu
     return matched, first, last
 
 
+def around(template: np.ndarray, words: np.ndarray, at: int, place: int, band: int) -> tuple[int, int, int]:
+    """(matched template words, first, last matched word) of the best alignment that has word ``place`` for the template's word ``at``; of
+    several, the one that keeps closest to it."""
+    right = template[at + 1:]
+    left = template[:at][::-1]
+    after, _, last = align(right, words[place + 1:place + 1 + len(right) + band], 0, band)
+    before, _, first = align(left, words[max(0, place - len(left) - band):place][::-1], 0, band)
+    return before + 1 + after, place - 1 - first if before else place, place + 1 + last if after else place
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, coverage: float = 0.8,
          band: int = BAND) -> DataFrame:
     """(id, license, coverage, n_matched, start, end) for each place in a text of ``docs`` that matches ``coverage`` of a template's
     words; ``start`` and ``end`` are code points of the text.
 
-    Null and empty texts match nothing. Places of one template that overlap are one, the one that covers most (then the first).
+    Null and empty texts match nothing. Places of one template that overlap are one, the one that covers most (then the shortest, then the first).
     Repeated rows and null ids are reported as they stand. Other columns are not looked at. No rows give no rows."""
-    index = docs.sparkSession.sparkContext.broadcast(Index(templates or TEMPLATES))
+    index = docs.sparkSession.sparkContext.broadcast(Index(templates or TEMPLATES, coverage))
     schema = pa.schema([("id", pa.int64()), ("license", pa.string()), ("coverage", pa.float64()), ("n_matched", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,28 +158,28 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
 
 def found(texts: C.Texts, index: Index, coverage: float, band: int) -> Iterator[tuple]:
     words = PlainWords(texts)
-    starts = words.runs(index.run)
-    place, template, at = index.hits(C.span_hashes(words.hashes, starts, starts + index.run))
-    owner = np.searchsorted(words.bounds, starts[place], "right") - 1
-    offset = starts[place] - at
-    order = np.lexsort((offset, template, owner))
+    place, template, at = index.hits(words.hashes)
+    owner = np.searchsorted(words.bounds, place, "right") - 1
     best: dict[tuple[int, int], list] = {}
-    last = None
-    for k in order:
-        doc, t, o = int(owner[k]), int(template[k]), int(offset[k])
-        if last is not None and last[:2] == (doc, t) and o - last[2] <= band // 2:
-            continue
-        last = (doc, t, o)
-        low, high = words.bounds[doc], words.bounds[doc + 1]
-        matched, first, end = align(index.words[t], words.hashes[low:high], o - int(low), band)
-        if matched >= coverage * len(index.words[t]):
-            best.setdefault((doc, t), []).append((-matched, int(low) + first, int(low) + end, matched))
+    for t in np.unique(template).tolist():
+        own = index.words[t]
+        mine = np.flatnonzero(template == t)
+        # Of the words that an alignment can reach, as many as it needs must be words of the template.
+        among = np.concatenate([[0], np.cumsum(np.isin(words.hashes, own))])
+        begins = np.maximum(words.bounds[owner[mine]], place[mine] - at[mine] - band)
+        ends = np.minimum(words.bounds[owner[mine] + 1], place[mine] - at[mine] + len(own) + band)
+        for k in mine[among[ends] - among[begins] >= index.needed[t]].tolist():
+            doc = int(owner[k])
+            low, high = int(words.bounds[doc]), int(words.bounds[doc + 1])
+            matched, first, end = around(own, words.hashes[low:high], int(at[k]), int(place[k]) - low, band)
+            if matched >= coverage * len(own):
+                best.setdefault((doc, t), []).append((-matched, end - first, low + first, low + end, matched))
     for (doc, t), places in sorted(best.items()):
         chosen: list = []
         for p in sorted(places):
-            if all(p[1] > c[2] or p[2] < c[1] for c in chosen):
+            if all(p[2] > c[3] or p[3] < c[2] for c in chosen):
                 chosen.append(p)
         begin = texts.offsets[doc]
         points = lambda to: int(((texts.data[begin:to] & 0xC0) != 0x80).sum())
-        for _, a, b, matched in sorted(chosen, key=lambda p: p[1]):
+        for _, _, a, b, matched in sorted(chosen, key=lambda p: p[2]):
             yield (int(texts.ids[doc]), index.names[t], matched / len(index.words[t]), matched, points(words.starts[a]), points(words.ends[b]))

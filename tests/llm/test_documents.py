@@ -316,6 +316,30 @@ def test_licenses(edge, none, spark):
         licenses.Index({"short": "two words"})
 
 
+def test_licenses_with_edits_and_repeats(spark):
+    """A word left out, changed or added anywhere, as long as the coverage stays, and notices right after each other."""
+    rows, want = [], []
+    for name, text in licenses.TEMPLATES.items():
+        words = text.split()
+        texts = [words[:i] + new + words[i + old:] for i in range(len(words)) for new, old in (([], 1), (["xyzzy"], 1), (["xyzzy"], 0))]
+        for t in texts:
+            n = len(words) - (len(t) < len(words) or (len(t) == len(words) and "xyzzy" in t))
+            if n >= 0.8 * len(words):
+                want.append((len(rows), name, n, 1))
+                rows.append((len(rows), "one two " + " ".join(t) + " three four"))
+        want += [(len(rows), name, len(words), 2), (len(rows) + 1, name, len(words), 3)]
+        rows += [(len(rows), f"{text} {text}"), (len(rows) + 1, f"a {text} b {text} c d {text}")]
+    damaged = "Released under MIT License. Released under the MIT License."
+    rows.append((len(rows), damaged))
+    got = collections.defaultdict(list)
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.id, r.license].append(r)
+    for i, name, n, times in want:
+        assert [r.n_matched for r in got[i, name]] == [n] * times, (rows[i], name)
+    assert [(r.n_matched, damaged[r.start:r.end]) for r in sorted(got[len(rows) - 1, "MIT"], key=lambda r: r.start)] == [
+        (4, "Released under MIT License"), (5, "Released under the MIT License")]
+
+
 def test_alignment_is_a_common_subsequence():
     rnd = random.Random(1)
 
