@@ -5,7 +5,10 @@ content: each window of words belongs to its anchor, the smallest hash among the
 Equal windows have equal anchors, so a shard that gets all stretches of text around its anchors decides its windows for the whole
 corpus. Anchors that occur once are dropped first, by exchanging their hashes only. The shard's automaton is built from its
 distinct stretches, each counted as often as it occurs; every stretch is then streamed through it, and places whose matching
-statistic reaches the window length end a repeated window. The documents get those back and remove the spans."""
+statistic reaches the window length end a repeated window. The documents get those back and remove the spans.
+
+An anchor with very many stretches, such as the edge of a passage that stands in a third of all documents, would be one huge
+automaton. Its windows are told apart by their 64-bit hashes instead, exchanged like anchors: each block sends each hash once."""
 
 from __future__ import annotations
 
@@ -22,6 +25,8 @@ from changeflow.llm.automaton import SuffixAutomaton
 ANCHOR_WORDS = 8
 #: Shards for each bucket of anchors. An automaton takes some hundred times the bytes of its words, so shards are small.
 SHARDS = 4
+#: Stretches that an anchor may have in the corpus for an automaton; the windows of others meet by hash.
+HOT = 1_000
 
 
 class Anchored:
@@ -41,7 +46,31 @@ def _distinct_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values, counts > 1
 
 
-def _repeated_keys(rows: list[dict]) -> list[bytes]:
+def _many(keys: np.ndarray) -> bytes:
+    """(place, count) of the distinct keys that occur more than twice."""
+    counts = np.unique(keys, return_counts=True)[1]
+    at = np.flatnonzero(counts > 2)
+    return np.stack([at, counts[at]], 1).astype("<u4").tobytes()
+
+
+def _repeated_keys(hot: int):
+    """As ``_repeated_windows``, followed by a bit for each key that tells whether it occurs more than ``hot`` times, if one does."""
+
+    def answer(rows: list[dict]) -> list[bytes]:
+        keys = [C.unpacked_keys(r["keys"]) for r in rows]
+        times = [1 + np.unpackbits(np.frombuffer(r["twice"], np.uint8), count=len(k)).astype(np.int64) for r, k in zip(rows, keys)]
+        for r, n in zip(rows, times):
+            many = np.frombuffer(r["many"], "<u4").reshape(-1, 2)
+            n[many[:, 0]] = many[:, 1]
+        _, where = np.unique(np.concatenate(keys), return_inverse=True)
+        often = (np.bincount(where, weights=np.concatenate(times)) > hot)[where]
+        parts = np.split(often, np.cumsum([len(k) for k in keys])[:-1])
+        return [bits + (np.packbits(x).tobytes() if x.any() else b"") for bits, x in zip(_repeated_windows(rows), parts)]
+
+    return answer
+
+
+def _repeated_windows(rows: list[dict]) -> list[bytes]:
     """For each row's keys, a bit that tells whether the key occurs twice or more in the corpus."""
     keys = [C.unpacked_keys(r["keys"]) for r in rows]
     sizes = [len(k) for k in keys]
@@ -59,10 +88,19 @@ def _flags(found: list[dict] | None, counts: dict[int, int]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, bool)
 
 
+def _hot_flags(found: list[dict] | None, counts: dict[int, int]) -> np.ndarray:
+    """For each key, whether its anchor has too many stretches for an automaton."""
+    rest = [{"bucket": r["bucket"], "reply": r["reply"][(counts[r["bucket"]] + 7) // 8:] or bytes((counts[r["bucket"]] + 7) // 8)} for r in found or []]
+    return _flags(rest, counts)
+
+
 def _shard_matches(window: int):
-    """For each row's stretches, a bit per window that tells whether the window occurs elsewhere."""
+    """For each row's stretches, or for its hashes of windows in a bucket below 0, a bit per window that tells whether the window
+    occurs elsewhere."""
 
     def answer(rows: list[dict]) -> list[bytes]:
+        if rows[0]["bucket"] < 0:
+            return _repeated_windows([{"keys": r["words"], "twice": r["twice"]} for r in rows])
         stretches, times = {}, {}
         for r in rows:
             words, sizes = np.frombuffer(r["words"], "<u8"), np.frombuffer(r["sizes"], "<u4")
@@ -85,12 +123,13 @@ def _shard_matches(window: int):
     return answer
 
 
-def _candidates(anchored: Anchored, found: list[dict] | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of one stretch for each distinct content whose anchor is repeated, ordered by anchor and content, and for
-    every stretch the place in that order (or -1)."""
+def _candidates(anchored: Anchored, found: list[dict] | None, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of one stretch for each distinct content whose anchor is repeated but not hot, ordered by anchor and content, for
+    every stretch the place in that order (or -1), and the first words of the windows with hot anchors."""
     keys, _ = _distinct_keys(anchored.keys)
     counts = {b: to - at for b, at, to in C.bucket_slices(keys, bits)}
-    repeated = _flags(found, counts)
+    hot = _hot_flags(found, counts)
+    repeated = _flags(found, counts) & ~hot
     out = np.full(len(anchored.keys), -1)
     of_key = np.searchsorted(keys, anchored.keys)
     chosen = np.flatnonzero(repeated[of_key]) if len(keys) else np.zeros(0, np.int64)
@@ -100,11 +139,12 @@ def _candidates(anchored: Anchored, found: list[dict] | None, bits: int) -> tupl
     new = np.ones(len(order), bool)
     new[1:] = (ordered[1:] != ordered[:-1]) | (anchored.keys[chosen[order]][1:] != anchored.keys[chosen[order]][:-1])
     out[chosen[order]] = np.cumsum(new) - 1
-    return chosen[order[new]], out
+    apart = np.flatnonzero(hot[of_key]) if len(keys) else np.zeros(0, np.int64)
+    return chosen[order[new]], out, C.ranges(anchored.first[apart], anchored.last[apart] - anchored.first[apart] + 1)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35,
-                     block_bytes: int = C.BLOCK_BYTES) -> DataFrame:
+                     block_bytes: int = C.BLOCK_BYTES, hot: int = HOT) -> DataFrame:
     """All rows and columns of ``docs``, with the text's words joined by one space and without each word that is
     covered by a run of ``window`` words that also starts anywhere else, in the same document or another, and with the columns
     ``n_words`` and ``n_removed``. Runs are judged on the texts as they come in.
@@ -116,36 +156,43 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     texts = C.text_column(docs, id_col, text_col, keep=True)
 
     def digest(block: C.Texts) -> dict:
-        keys, twice = _distinct_keys(Anchored(C.Words(block), window).keys)
-        return {"keys": C.packed_keys(keys), "n_keys": len(keys), "twice": np.packbits(twice).tobytes()}
+        every = Anchored(C.Words(block), window).keys
+        keys, twice = _distinct_keys(every)
+        return {"keys": C.packed_keys(keys), "n_keys": len(keys), "twice": np.packbits(twice).tobytes(), "many": _many(every)}
 
-    packed = C.blocks(texts, folder, pa.schema([("keys", pa.binary()), ("n_keys", pa.int64()), ("twice", pa.binary())]),
-                      "keys binary, n_keys long, twice binary", digest, block_bytes)
+    packed = C.blocks(texts, folder, pa.schema([("keys", pa.binary()), ("n_keys", pa.int64()), ("twice", pa.binary()), ("many", pa.binary())]),
+                      "keys binary, n_keys long, twice binary, many binary", digest, block_bytes)
     bits = C.key_bits(packed.select("block").count())
     shard_bits = bits + SHARDS.bit_length() - 1
 
     def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("twice", pa.binary())])
+        schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("twice", pa.binary()), ("many", pa.binary())])
         for row in C.rows_of(batches):
             keys = C.unpacked_keys(row["keys"])
             twice = np.unpackbits(np.frombuffer(row["twice"], np.uint8), count=len(keys))
-            yield C.rows_batch([{"bucket": b, "block": row["block"], "keys": C.packed_keys(keys[at:to]), "twice": np.packbits(twice[at:to]).tobytes()}
+            many = np.frombuffer(row["many"], "<u4").reshape(-1, 2)
+            part = lambda at, to: many[slice(*np.searchsorted(many[:, 0], [at, to]))] - np.array([at, 0], np.uint32)
+            yield C.rows_batch([{"bucket": b, "block": row["block"], "keys": C.packed_keys(keys[at:to]), "twice": np.packbits(twice[at:to]).tobytes(), "many": part(at, to).astype("<u4").tobytes()}
                                 for b, at, to in C.bucket_slices(keys, bits)], schema)
 
-    asked = packed.where("n_keys > 0").select("block", "keys", "twice").mapInArrow(by_bucket, "bucket int, block long, keys binary, twice binary")
-    repeated = C.replies(asked, _repeated_keys, folder, "anchors")
+    asked = packed.where("n_keys > 0").select("block", "keys", "twice", "many").mapInArrow(by_bucket, "bucket int, block long, keys binary, twice binary, many binary")
+    repeated = C.replies(asked, _repeated_keys(hot), folder, "anchors")
 
     def to_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("sizes", pa.binary()), ("twice", pa.binary())])
         for row in C.rows_of(batches):
             anchored = Anchored(C.Words(C.unpack(row)), window)
-            chosen, places = _candidates(anchored, row["replies"], bits)
+            chosen, places, apart = _candidates(anchored, row["replies"], bits)
             twice = np.bincount(places[places >= 0], minlength=len(chosen)) > 1
             sizes = anchored.last[chosen] + window - anchored.first[chosen]
             yield C.rows_batch([
                 {"bucket": b, "block": row["block"], "words": anchored.words.hashes[C.ranges(anchored.first[chosen[at:to]], sizes[at:to])].astype("<u8").tobytes(),
                  "sizes": sizes[at:to].astype("<u4").tobytes(), "twice": np.packbits(twice[at:to]).tobytes()}
                 for b, at, to in C.bucket_slices(anchored.keys[chosen], shard_bits)], schema)
+            if len(apart):
+                keys, twice = _distinct_keys(C.span_hashes(anchored.words.hashes, apart, apart + window))
+                yield C.rows_batch([{"bucket": -1 - b, "block": row["block"], "words": C.packed_keys(keys[at:to]), "sizes": b"", "twice": np.packbits(twice[at:to]).tobytes()}
+                                    for b, at, to in C.bucket_slices(keys, bits)], schema)
 
     needed = packed.select("block", "ids", "offsets", "data", F.lit(None).cast("binary").alias("rest"))
     shards = C.with_replies(needed, repeated).where("replies is not null").mapInArrow(
@@ -157,7 +204,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     n_removed = C.free_name(docs, "n_removed")
     schema = T.StructType([T.StructField("kept", T.StringType()), T.StructField("total", T.LongType()), T.StructField("gone", T.LongType()),
                            T.StructField("rest", T.BooleanType()), *(T.StructField(name, kind) for name, kind, _ in fields)])
-    told = C.with_replies(packed.drop("keys", "n_keys", "twice"), repeated).join(
+    told = C.with_replies(packed.drop("keys", "n_keys", "twice", "many"), repeated).join(
         matched.withColumnRenamed("replies", "matches").hint("merge"), "block", "left")
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,11 +213,20 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             words = C.Words(texts)
             anchored = Anchored(words, window)
             gone = np.zeros(len(words) + 1, np.int64)
-            chosen, places = _candidates(anchored, row["replies"], bits)
+            chosen, places, apart = _candidates(anchored, row["replies"], bits)
+            matches = row["matches"] or []
+            if len(apart):
+                hashes = C.span_hashes(words.hashes, apart, apart + window)
+                keys, _ = _distinct_keys(hashes)
+                counts = {b: to - at for b, at, to in C.bucket_slices(keys, bits)}
+                flags = _flags([{"bucket": -1 - r["bucket"], "reply": r["reply"]} for r in matches if r["bucket"] < 0], counts)
+                starts = apart[flags[np.searchsorted(keys, hashes)]]
+                np.add.at(gone, starts, 1)
+                np.add.at(gone, starts + window, -1)
             if len(chosen):
                 n = anchored.last - anchored.first + 1
                 counts = {b: int(n[chosen[at:to]].sum()) for b, at, to in C.bucket_slices(anchored.keys[chosen], shard_bits)}
-                flags = _flags(row["matches"], counts)
+                flags = _flags([r for r in matches if r["bucket"] >= 0], counts)
                 begin = np.cumsum(n[chosen]) - n[chosen]
                 some = np.flatnonzero(places >= 0)
                 bit = C.ranges(begin[places[some]], n[some])

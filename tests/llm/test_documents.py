@@ -9,10 +9,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from changeflow.llm import bpe, licenses, lm, minhash, mixing, quality, substrings, suffixes
+from changeflow.llm import bpe, common as C, licenses, lm, minhash, mixing, quality, substrings, suffixes
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -52,8 +53,6 @@ def test_suffix_order_of_many_symbols():
 
 
 def test_shards_grow_with_blocks():
-    from changeflow.llm import common as C
-
     assert C.key_bits(1 << 17) == 13 and C.key_bits(1 << 17, C.MAX_SHARDS) == 17 and C.key_bits(500, C.MAX_SHARDS) == C.key_bits(500)
 
 
@@ -101,6 +100,31 @@ def test_substrings(edge, edge_rows, none, block_bytes):
     assert clash.columns[-2:] == ["n_words_", "n_removed"]
 
 
+@pytest.mark.parametrize("hot, block_bytes", [(2, 700), (6, 700), (6, 1 << 21)])
+def test_substrings_around_hot_anchors(spark, edge, edge_rows, hot, block_bytes):
+    """Anchors with many stretches go by hashes of windows, with the same results, and no automaton gets their stretches."""
+    whole, split_ = (sorted(map(str, substrings.dedup_substrings(edge, window=12, block_bytes=block_bytes, hot=h).collect())) for h in (10**9, hot))
+    assert whole == split_
+    keys = np.array([5, 9, 1 << 40], np.uint64)
+    row = lambda n: {"keys": C.packed_keys(keys), "twice": np.packbits([0, 1, 1]).tobytes(), "many": np.array([[2, n]], "<u4").tobytes()}
+    for reply in substrings._repeated_keys(6)([row(4), row(3)]):
+        assert [np.unpackbits(np.array([x], np.uint8))[:3].tolist() for x in reply] == [[1, 1, 1], [0, 0, 1]]
+    # The stretches of the passage in all of 40 texts are left to the exchange of windows.
+    rnd = random.Random(6)
+    text = lambda n: " ".join(str(rnd.random()) for _ in range(n))
+    passage = text(30)
+    anchored = substrings.Anchored(C.Words(next(C.texts_of([pa.record_batch({"id": list(range(40)), "text": [f"{text(9)} {passage} {text(9)}" for _ in range(40)]})]))), 12)
+    keys, twice = substrings._distinct_keys(anchored.keys)
+    asked = [{"bucket": b, "keys": C.packed_keys(keys[at:to]), "twice": np.packbits(twice[at:to]).tobytes(),
+              "many": substrings._many(anchored.keys[np.isin(anchored.keys, keys[at:to])])} for b, at, to in C.bucket_slices(keys, 6)]
+    found = [{"bucket": r["bucket"], "reply": substrings._repeated_keys(hot)([r])[0]} for r in asked]
+    chosen, places, apart = substrings._candidates(anchored, found, 6)
+    _, of_key, counts = np.unique(anchored.keys, return_inverse=True, return_counts=True)
+    windows = anchored.last - anchored.first + 1
+    assert counts.max() >= 40 and len(apart) == windows[counts[of_key] > hot].sum()
+    assert (counts[of_key][chosen] <= hot).all() and (places[counts[of_key] > hot] == -1).all()
+
+
 def shingles(text, k):
     w = split(lower(text))
     return frozenset(tuple(w[j:j + k]) for j in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
