@@ -272,9 +272,9 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 class Words:
-    """Words of a block's texts: byte spans, hashes, and the range of words of each text."""
+    """Words of a block's texts: byte spans, hashes if wanted, and the range of words of each text."""
 
-    def __init__(self, texts: Texts, lower: bool = False):
+    def __init__(self, texts: Texts, lower: bool = False, hashes: bool = True):
         data = _LOWER[texts.data] if lower else texts.data
         n = len(data)
         inside = np.zeros(n + 2, bool)
@@ -287,7 +287,8 @@ class Words:
         ends = inside[:-1] & ~inside[1:]
         ends[texts.offsets] |= inside[:-1][texts.offsets]
         self.starts, self.ends = np.flatnonzero(begins[:n]), np.flatnonzero(ends)
-        self.hashes = span_hashes(byte_values(data), self.starts, self.ends) if n else np.zeros(0, np.uint64)
+        if hashes:
+            self.hashes = span_hashes(byte_values(data), self.starts, self.ends) if n else np.zeros(0, np.uint64)
         self.bounds = np.searchsorted(self.starts, texts.offsets)
 
     def __len__(self) -> int:
@@ -302,6 +303,15 @@ class Words:
         return ranges(self.bounds[:-1], counts)
 
 
+def word_codes(texts: Texts, words: Words, lower: bool = False) -> tuple[np.ndarray, pa.Array]:
+    """A number for each word, equal for equal words only, and the distinct words that the numbers stand for."""
+    data = _LOWER[texts.data] if lower else texts.data
+    ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)]).astype(np.int64)
+    flat = data[~_IS_SPACE[data]]
+    told = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(flat)]).dictionary_encode()
+    return told.indices.to_numpy(zero_copy_only=False).astype(np.int64), told.dictionary
+
+
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """start, start + 1, ... (count numbers) for each start, end to end."""
     total = int(counts.sum())

@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changeflow.llm import bpe, chat, forest, licenses, lm, minhash, mixing, quality, substrings, suffixes
+from changeflow.llm import bpe, chat, common, forest, licenses, lm, minhash, mixing, quality, runs, substrings, suffixes
 from changeflow.llm.oracles import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,29 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in all documents, with coverage and span."""
     return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in all documents. Each document whose crc32 ends in 0 is made periodic from a word on."""
+    h, g = F.crc32(F.col("doc_id").cast("string")), F.floor(F.col("h") / 10)
+    words = common.word_array(F.coalesce("text", F.lit("")))
+    docs = (table(spark, sf_dir, "documents").select("doc_id", "text", h.alias("h"))
+            .withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words").cast("long"))
+            .withColumn("a", F.when(F.col("n") > 0, g % F.col("n"))).withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8)))
+            .select("doc_id", F.when(F.col("n") > 0, _periodic("words", "n", "a", "p")).otherwise(F.col("text")).alias("text")))
+    done = runs.periodic_runs(docs)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return done.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), (-best["start"]).alias("start"), best["length"].alias("length"),
+        (-best["period"]).alias("period"), F.floor(1000 * best["length"] / -best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def _periodic(words: str, n: str, a: str, p: str) -> Column:
+    """The text of the first ``a`` words and the ``p`` words after them again and again, ``n`` words in all."""
+    n, a, p = (F.col(c).cast("int") for c in (n, a, p))
+    times = F.ceil((n - a) / p).cast("int")
+    again = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+    return F.array_join(F.concat(F.slice(words, F.lit(1), a), again), " ")
