@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changeflow.llm import bpe, chat, common, forest, licenses, lm, minhash, mixing, quality, runs, substrings, suffixes
+from changeflow.llm import bpe, chat, common, forest, licenses, lm, minhash, mixing, quality, runs, spelling, substrings, suffixes
 from changeflow.llm.oracles import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,14 @@ def _periodic(words: str, n: str, a: str, p: str) -> Column:
     times = F.ceil((n - a) / p).cast("int")
     again = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
     return F.array_join(F.concat(F.slice(words, F.lit(1), a), again), " ")
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms and roots of all words. A letter is left out of each run of a document whose crc32 199 divides."""
+    found = spelling.letter_runs(table(spark, sf_dir, "documents"))
+    h = F.crc32(F.concat(F.col("id").cast("string"), F.lit(":"), "word"))
+    at = (F.col("h") % F.char_length("word")).cast("int")
+    cut = F.concat(F.substr("word", F.lit(1), at), F.substr("word", at + 2))
+    words = found.withColumn("h", h).select(F.when(F.col("h") % 199 == 0, cut).otherwise(F.col("word")).alias("word"))
+    return spelling.spelling_variants(words)
