@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from changeflow.llm import bpe, chat, common, forest, licenses, lm, minhash, mixing, quality, runs, spelling, substrings, suffixes
+from changeflow.llm import bpe, chat, common, forest, licenses, lm, minhash, mixing, quality, runs, spelling, substrings, suffixes, toxicity
 from changeflow.llm.oracles import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,6 +98,14 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from a bounded sample of the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(F.col("id").alias("doc_id"), toxicity.held_out_by_crc(F.col("id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of repeated words in all documents. Each document whose crc32 ends in 0 is made periodic from a word on."""
