@@ -12,7 +12,7 @@ from changeflow.operators.bulk import DEFAULT_BULK_SIZE, DEFAULT_FLUSH_SECONDS,
 from changeflow.operators.docs import latest_requests
 from changeflow.operators.mapping import Rule, check_rules, rules_frame, to_requests
 from changeflow.operators.sqllog import sql_log
-from changeflow.sources.bulk import send_settled, write_bulk
+from changeflow.sources.bulk import send_settled, write_bulk, write_bulk_stream
 from changeflow.sources.files import write_sql_log
 from changeflow.sources.kafka import read_changes_kafka, write_changes_kafka
 from changeflow.streaming.health import run_alerts
@@ -64,11 +64,7 @@ def search_files(changes: DataFrame, rules: Iterable[Rule], path: str, bulk_size
         return None
     if checkpoint is None:
         raise ValueError("a stream to files needs a checkpoint")
-
-    def flush(batch: DataFrame, batch_id: int) -> None:
-        write_bulk(batch, f"{path}/batch_id={batch_id}", bulk_size, mode="overwrite")
-
-    return run(requests, flush, checkpoint, seconds)
+    return write_bulk_stream(requests, path, checkpoint, bulk_size, seconds=seconds)
 
 
 def search_sync(changes: DataFrame, rules: Iterable[Rule], transport: Callable[[str], tuple[int, str]], checkpoint: str,

@@ -6,24 +6,36 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.operators.bulk import DEFAULT_BULK_SIZE, batch_requests, bulk_bodies, bulk_size_or_default
+from changeflow.operators.bulk import DEFAULT_BULK_SIZE, DEFAULT_FLUSH_SECONDS, bulk_size_or_default
 from changeflow.operators.mapping import bulk_line
+from changeflow.sources import bulk_files
 
 
 def write_bulk(requests: DataFrame, path: str, bulk_size: int = DEFAULT_BULK_SIZE, bodies_per_file: int = 0,
                mode: str = "error") -> None:
-    """Newline-delimited JSON files through Spark's committer to any file system it knows.
+    """Newline-delimited JSON files (see :mod:`changeflow.sources.bulk_files`): one per shard and part of the log, or for every
+    ``bodies_per_file`` bodies of at most ``bulk_size`` requests. Sorted by name and posted so, a document gets its requests in log
+    order; any file is a valid body again. The requests are computed once and shuffled once.
 
-    Bodies stand in the order of their batches (shard, span, no), within files and from file to file by name: posted so, a
-    document gets its requests in log order. A file is a valid body again; it holds what a task writes, or
-    ``bodies_per_file`` bodies, which makes millions of small files of a large log if it is small.
+    ``mode`` is ``error`` (if there are files), ``overwrite`` or ``append``.
     """
-    bodies = bulk_bodies(batch_requests(requests, bulk_size))
-    order = [F.col(f"batch.{f.name}") for f in bodies.schema["batch"].dataType]
-    # A body ends with a newline, and the text writer adds one.
-    lines = bodies.repartitionByRange(*order).sortWithinPartitions(*order).select(F.rtrim("body", F.lit("\n")).alias("value"))
-    lines.write.mode(mode).option("maxRecordsPerFile", bodies_per_file).text(path)
+    if mode == "error" and bulk_files.Folder(path).files():
+        raise FileExistsError(f"there are files in {path}")
+    bulk_files.register(requests.sparkSession)
+    (bulk_files.bulk_rows(requests).write.format("bulk").mode("overwrite" if mode == "overwrite" else "append")
+     .option("bulkSize", bulk_size).option("bodiesPerFile", bodies_per_file).save(path))
+
+
+def write_bulk_stream(requests: DataFrame, path: str, checkpoint: str, bulk_size: int = DEFAULT_BULK_SIZE, bodies_per_file: int = 0,
+                      seconds: float = DEFAULT_FLUSH_SECONDS, available_now: bool = False) -> StreamingQuery:
+    """As :func:`write_bulk`, a folder per micro-batch. A micro-batch that is repeated leaves no file twice."""
+    bulk_files.register(requests.sparkSession)
+    writer = (bulk_files.bulk_rows(requests).writeStream.format("bulk").option("bulkSize", bulk_size).option("bodiesPerFile", bodies_per_file)
+              .option("checkpointLocation", checkpoint).option("path", path))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{int(seconds * 1000)} milliseconds")
+    return writer.start()
 
 
 def send_settled(requests: DataFrame, transport: Callable[[str], tuple[int, str]], bulk_size: int = DEFAULT_BULK_SIZE) -> DataFrame:
