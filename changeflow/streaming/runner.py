@@ -13,10 +13,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from changeflow.operators.normalise import carried_ends, carry_position, changes_of_carried
 from changeflow.operators.offsets import latest_offsets, order_changes
 from changeflow.operators.progress import drop_unchanged, save_points
-from changeflow.streaming.state import KeyedTable
+from changeflow.streaming.state import Newest
 
 OnBatch = Callable[[DataFrame, int], None]
 
@@ -108,9 +107,9 @@ def notify_close(spark: SparkSession, start: Callable[[], StreamingQuery | list[
 OFFSET_SCHEMA = "topic string, partition int, offset bigint"
 
 
-def stored_offsets(spark: SparkSession, path: str) -> KeyedTable:
+def stored_offsets(spark: SparkSession, path: str) -> Newest:
     """Offsets of the last handled messages: ``read()`` is what ``starting_offsets`` and ``resume_messages`` take."""
-    return KeyedTable(spark, path, OFFSET_SCHEMA, ["topic", "partition"], order="offset")
+    return Newest(spark, path, OFFSET_SCHEMA, ["topic", "partition"], order="offset")
 
 
 def handle_messages(messages: DataFrame, on_batch: OnBatch, offsets: str, checkpoint: str, **how) -> StreamingQuery:
@@ -125,41 +124,30 @@ def handle_messages(messages: DataFrame, on_batch: OnBatch, offsets: str, checkp
     return run(messages, handle, checkpoint, **how)
 
 
-CARRY_SCHEMA = "server_id bigint, log_name string, log_pos bigint, gtid_set string"
-
-
-def normalise_stream(raw: DataFrame, on_batch: OnBatch, state: str, checkpoint: str, **how) -> StreamingQuery:
-    """Raw events to change events, batch by batch: each starts where the servers' logs stood before it.
-    ``how`` goes to :func:`run`."""
-    ends = KeyedTable(raw.sparkSession, state, CARRY_SCHEMA, ["server_id"])
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        carried = carry_position(batch, ends.read(before=batch_id)).persist()
-        try:
-            on_batch(changes_of_carried(carried), batch_id)
-            ends.put(carried_ends(carried), batch_id)
-        finally:
-            carried.unpersist()
-
-    return run(raw, handle, checkpoint, **how)
-
-
 SAVED_SCHEMA = "server_id bigint, saved_at bigint, log_name string, log_pos bigint"
 
 
 def save_progress(changes: DataFrame, path: str, checkpoint: str, save_seconds: float = 3, **how) -> StreamingQuery:
-    """Keeps the saved positions of a stream in a :class:`KeyedTable` at ``path``: ``history()`` has every save,
-    ``read()`` the newest of each server."""
-    saved = saved_positions(changes.sparkSession, path)
+    """Keeps the saved positions of a stream at ``path``: :func:`saved_history` has every save, :func:`saved_positions` the newest of each
+    server."""
+    newest = saved_positions(changes.sparkSession, path)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         points = save_points(batch, save_seconds).select("server_id", "saved_at", "log_name", "log_pos")
-        before = saved.read(before=batch_id)
-        marked = points.selectExpr("*", "true as fresh").unionByName(before.selectExpr("*", "false as fresh"))
-        saved.put(drop_unchanged(marked).where("fresh"), batch_id)
+        marked = points.selectExpr("*", "true as fresh").unionByName(newest.before(batch_id).selectExpr("*", "false as fresh"))
+        saves = drop_unchanged(marked).where("fresh").drop("fresh").persist()
+        try:
+            saves.write.mode("overwrite").parquet(f"{path}/history/batch_id={batch_id}")
+            newest.put(saves, batch_id)
+        finally:
+            saves.unpersist()
 
     return run(changes, handle, checkpoint, **how)
 
 
-def saved_positions(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, SAVED_SCHEMA, ["server_id"], order="saved_at")
+def saved_positions(spark: SparkSession, path: str) -> Newest:
+    return Newest(spark, f"{path}/newest", SAVED_SCHEMA, ["server_id"], order="saved_at")
+
+
+def saved_history(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SAVED_SCHEMA).parquet(f"{path}/history").select("server_id", "saved_at", "log_name", "log_pos")

@@ -1,4 +1,4 @@
-"""Small keyed tables that a stream writes batch by batch."""
+"""Small tables that a stream keeps for readers other than its checkpoint, such as the last offset of each topic partition."""
 
 from __future__ import annotations
 
@@ -9,67 +9,39 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
-class KeyedTable:
-    """The newest row of each key, kept as Parquet with one folder per micro-batch.
+class Newest:
+    """The newest row of each key, by ``order``, in two folders that take turns: a micro-batch reads what the one before it wrote and
+    overwrites the other. A repeat does the same again, and a failure in between leaves the state before the micro-batch.
 
-    A batch adds only its own rows; which row of a key is the newest is settled when the table is read, by
-    ``order`` (default: the batch). A batch that is run again overwrites its folder, so repeats are harmless.
-    Every ``snapshot_every`` batches the newest rows are also written as one snapshot beside the table; what a batch reads is the last
-    snapshot before it and the batches after that, however long the stream has run.
-    ``path`` must be shared storage that all executors reach.
-    """
+    For tables with a row per server or topic partition, as each micro-batch writes all of it. ``path`` must be shared storage."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str | StructType, keys: Sequence[str],
-                 order: str = "batch_id", snapshot_every: int = 50):
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], order: str):
         self.spark, self.path, self.keys, self.order = spark, path, list(keys), order
-        self.snapshot_every = snapshot_every
-        self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.schema = StructType.fromDDL(schema)
 
-    def put(self, rows: DataFrame, batch_id: int) -> None:
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-        if batch_id and batch_id % self.snapshot_every == 0:
-            self.read(before=batch_id + 1).write.mode("overwrite").parquet(self._snapshot(batch_id))
-
-    def _snapshot(self, batch_id: int) -> str:
-        return f"{self.path}-snapshots/{batch_id}"
-
-    def _written(self, folder: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
-    def _recent(self, before: int) -> DataFrame:
-        """Rows of the last snapshot before a batch and of the batches between."""
-        last = (before - 1) // self.snapshot_every * self.snapshot_every
-        while last > 0 and not self._written(self._snapshot(last)):
-            last -= self.snapshot_every
-        folders = [(i, f"{self.path}/batch_id={i}") for i in range(last + 1 if last > 0 else 0, before)]
-        folders = [(last, self._snapshot(last))] * (last > 0) + [(i, f) for i, f in folders if self._written(f)]
-        rows = self.spark.createDataFrame([], self.schema).withColumn("batch_id", F.lit(-1).cast("bigint"))
-        for i, folder in folders:
-            rows = rows.unionByName(self.spark.read.schema(self.schema).parquet(folder).withColumn("batch_id", F.lit(i).cast("bigint")))
-        return rows
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.path}/{('even', 'odd')[batch_id % 2]}"
 
-    def history(self, before: int | None = None) -> DataFrame:
-        """All rows of all batches, or of those before a batch: what a repeat of that batch must see."""
+    def _of(self, batch_id: int) -> DataFrame:
         try:
-            rows = self.spark.read.schema(self.schema).option("basePath", self.path).parquet(self.path)
+            return self.spark.read.schema(self.schema).parquet(self._folder(batch_id))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            rows = self.spark.createDataFrame([], self.schema)
-        if "batch_id" not in rows.columns:
-            rows = rows.withColumn("batch_id", F.lit(-1).cast("bigint"))
-        return rows if before is None else rows.where(F.col("batch_id") < before)
+            return self.spark.createDataFrame([], self.schema)
 
-    def read(self, before: int | None = None) -> DataFrame:
+    def _newest(self, rows: DataFrame) -> DataFrame:
         rest = [c for c in self.schema.names if c not in self.keys]
-        rows = self.history() if before is None else self._recent(before)
-        return (rows.groupBy(*self.keys)
-                .agg(F.max_by(F.struct(*rest), F.col(self.order)).alias("_r"))
-                .select(*self.keys, *(F.col(f"_r.{c}").alias(c) for c in rest)))
+        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), F.col(self.order)).alias("_r"))
+        return newest.select(*self.keys, *(F.col(f"_r.{c}").alias(c) for c in rest))
+
+    def before(self, batch_id: int) -> DataFrame:
+        """What a micro-batch, or a repeat of it, starts from."""
+        return self._of(batch_id - 1)
+
+    def put(self, rows: DataFrame, batch_id: int) -> None:
+        both = self.before(batch_id).unionByName(rows.select(*self.schema.names))
+        self._newest(both).coalesce(1).write.mode("overwrite").parquet(self._folder(batch_id))
 
-    def compact_to(self, path: str, batch_id: int) -> KeyedTable:
-        """A copy of the table up to ``batch_id`` in a single batch, for a stream to go on with."""
-        copy = KeyedTable(self.spark, path, self.schema, self.keys, self.order, self.snapshot_every)
-        copy.put(self.read(before=batch_id + 1), batch_id)
-        return copy
+    def read(self) -> DataFrame:
+        return self._newest(self._of(0).unionByName(self._of(1)))

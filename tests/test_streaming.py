@@ -18,9 +18,8 @@ from changeflow.sources.codec import decode_changes, encode_changes
 from changeflow.sources.tables import table_as_inserts
 from changeflow.operators.bulk import batch_requests, bulk_bodies, bulk_errors
 from changeflow.streaming import runner
-from changeflow.streaming.docs import doc_table, follow_requests, read_docs
 from changeflow.streaming.health import Recheck, health_stream, run_alerts
-from changeflow.streaming.state import KeyedTable
+from changeflow.streaming.state import Newest
 from tests.helpers import changes_of
 
 KEYS = ["event_type", "server_id", "log_name", "log_pos", "row_ordinal"]
@@ -124,23 +123,6 @@ def test_repeats_on_a_stream(spark, log, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(both)
 
 
-def test_documents_follow_a_stream(spark, log, tmp_path):
-    rules = M.rules_frame(spark, V.RULES)
-    path = str(tmp_path / "docs")
-    finish(follow_requests(M.to_requests(stream(spark, log), rules), path, str(tmp_path / "cp"), available_now=True))
-    table = doc_table(spark, path)
-    want = D.current_docs(M.to_requests(read_changes_files(spark, log), rules))
-    docs = lambda df: sorted((r.id, sorted(r.data.items(), key=str), tuple(r.version)) for r in df.collect())
-    assert docs(read_docs(table)) == docs(want)
-    # A batch that runs again, and an older event that comes late, change nothing.
-    late = M.to_requests(read_changes_files(spark, log).where("event_type = 'insert'"), rules)
-    for _ in range(2):
-        table.put(D.latest_requests(late), 1000)
-    assert docs(read_docs(table)) == docs(want)
-    small = table.compact_to(str(tmp_path / "compact"), 1000)
-    assert docs(read_docs(small)) == docs(want) and small.history().select("batch_id").distinct().count() == 1
-
-
 def test_progress_of_a_stream(spark, log, tmp_path):
     path = str(tmp_path / "saved")
     finish(runner.save_progress(stream(spark, log), path, str(tmp_path / "cp"), available_now=True))
@@ -153,23 +135,6 @@ def test_progress_of_a_stream(spark, log, tmp_path):
     assert changes_since(read_changes_files(spark, log), saved.read()).where(S.is_row_event()).count() == 0
 
 
-def test_raw_events_of_a_stream(spark, sf_dir, tmp_path):
-    raw = V.orders_raw(spark, sf_dir)
-    path = str(tmp_path / "raw")
-    for part in range(3):  # files of the log arrive one after the other
-        raw.where(F.col("file_no") == part).coalesce(1).write.mode("append").parquet(f"{path}/{part}")
-    rest = raw.where(F.col("file_no") >= 3).coalesce(1)
-    rest.write.parquet(f"{path}/3")
-    source = (spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
-              .parquet(path))
-    out = str(tmp_path / "out")
-    finish(runner.normalise_stream(source, lambda b, i: b.write.mode("overwrite").parquet(f"{out}/b={i}"),
-                                   str(tmp_path / "state"), str(tmp_path / "cp"), available_now=True))
-    assert len(os.listdir(out)) == 4
-    columns = [*KEYS, "gtid_set", "sql"]
-    assert rows(spark.read.parquet(out), columns) == rows(N.normalise(raw), columns)
-
-
 def test_offsets_move_only_with_the_handler(spark, sf_dir, tmp_path):
     path, offsets, cp = str(tmp_path / "topic"), str(tmp_path / "offsets"), str(tmp_path / "cp")
     messages = V.messages(spark, sf_dir)
@@ -197,16 +162,20 @@ def test_offsets_move_only_with_the_handler(spark, sf_dir, tmp_path):
     assert rows(stored.read(), columns) == rows(O.latest_offsets(messages), columns)
 
 
-def test_keyed_table(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "t"), "k long, v string", ["k"])
-    assert table.read().count() == 0
-    put = lambda rows, n: table.put(spark.createDataFrame(rows, "k long, v string"), n)
+def test_newest_rows_of_two_turns(spark, tmp_path):
+    table = Newest(spark, str(tmp_path / "t"), "k long, v string, n long", ["k"], "n")
+    assert table.read().count() == 0 and table.before(0).count() == 0
+    put = lambda rows, n: table.put(spark.createDataFrame([(*r, n) for r in rows], "k long, v string, n long"), n)
     put([(1, "a"), (2, "a")], 0)
     put([(1, "b")], 1)
     put([(1, "c")], 2)
-    put([(1, "c"), (3, "c")], 2)
+    put([(1, "c"), (3, "c")], 2)  # a repeat
     assert rows(table.read(), ["k", "v"]) == [(1, "c"), (2, "a"), (3, "c")]
-    assert rows(table.read(before=2), ["k", "v"]) == [(1, "b"), (2, "a")]
+    assert rows(table.before(2), ["k", "v"]) == [(1, "b"), (2, "a")]
+    for n in range(3, 30):
+        put([(n % 5, str(n))], n)
+    assert len(table.read().inputFiles()) == 2
+    assert rows(table.read(), ["k", "v"]) == [(k, str(25 + k)) for k in range(5)]
 
 
 # ------------------------------------------------------------------------ bulk
@@ -464,16 +433,3 @@ def test_a_file_that_moves_in_the_grace_period_is_green(spark):
     saved = spark.createDataFrame(saves, "server_id long, saved_at long, log_name string, log_pos long")
     judged = H.health(H.position_samples(saved, db), saved=saved).orderBy("ts").collect()
     assert [r.status for r in judged] == ["red", "green", "green", "red"]
-
-
-def test_a_state_table_reads_no_more_as_it_grows(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "state"), "k long, v long", ["k"], snapshot_every=8)
-    for batch_id in range(34):
-        rows_ = spark.createDataFrame([(batch_id % 5, batch_id)], "k long, v long")
-        table.put(rows_, batch_id)
-        if batch_id % 8 == 0:
-            table.put(rows_, batch_id)  # a repeat
-    before = table.read(before=34)
-    assert len(before.inputFiles()) <= 10
-    assert sorted(map(tuple, before.collect())) == sorted((k, max(b for b in range(34) if b % 5 == k)) for k in range(5))
-    assert rows(table.read(before=20), ["k", "v"]) == sorted((k, max(b for b in range(20) if b % 5 == k)) for k in range(5))
