@@ -44,12 +44,13 @@ def settled_requests(requests: DataFrame) -> DataFrame:
 
 
 def send_requests(requests: DataFrame, transport: Callable[[str], tuple[int, str]],
-                  bulk_size: int = DEFAULT_BULK_SIZE) -> None:
-    """Sends settled requests in bodies of at most ``bulk_size``; raises if any was refused.
+                  bulk_size: int = DEFAULT_BULK_SIZE, **retry) -> None:
+    """Sends settled requests in bodies of at most ``bulk_size``; raises if any was refused to the end. ``retry`` (``attempts``,
+    ``backoff_seconds``) is how refused requests are sent again, by themselves.
 
     A document is in one body only, so bodies go out side by side, each packed in the task that has its requests.
     """
-    refused = bulk_errors(send_settled(settled_requests(requests), transport, bulk_size), body="response").agg(
+    refused = bulk_errors(send_settled(settled_requests(requests), transport, bulk_size, **retry), body="response").agg(
         F.count("*").alias("n"), F.min("message").alias("first")).first()
     if refused["n"]:
         raise BulkFailed(f"{refused['n']} requests refused, such as: {refused['first']}")

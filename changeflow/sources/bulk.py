@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,6 +14,10 @@ from changeflow.operators.bulk import DEFAULT_BULK_SIZE, DEFAULT_FLUSH_SECONDS,
 from changeflow.operators.mapping import bulk_line
 from changeflow.sources import bulk_files
 
+#: How often a refused request is sent at most, and the first pause before it is sent again.
+DEFAULT_ATTEMPTS = 3
+DEFAULT_BACKOFF_SECONDS = 0.5
+
 
 def write_bulk(requests: DataFrame, path: str, bulk_size: int = DEFAULT_BULK_SIZE, bodies_per_file: int = 0,
                mode: str = "error") -> None:
@@ -38,9 +44,46 @@ def write_bulk_stream(requests: DataFrame, path: str, checkpoint: str, bulk_size
     return writer.start()
 
 
-def send_settled(requests: DataFrame, transport: Callable[[str], tuple[int, str]], bulk_size: int = DEFAULT_BULK_SIZE) -> DataFrame:
-    """``requests, code, response`` for each body sent. For one request per document (``latest_requests``): as
-    their order does not matter, each task packs what it has into full bodies, without a window or a shuffle."""
+def refused_places(code: int, response: str, requests: int) -> tuple[list[int], list[dict]] | None:
+    """Places of the refused requests in a body, and the items of its answer. None if the answer does not tell of each request: then
+    nothing is known of any, and sending the body again would be a guess."""
+    try:
+        items = json.loads(response).get("items")
+    except (ValueError, AttributeError):
+        return None
+    if not isinstance(items, list) or len(items) != requests or not all(isinstance(x, dict) and x for x in items):
+        return None
+    return [i for i, item in enumerate(items) if any(isinstance(told, dict) and told.get("error") for told in item.values())], items
+
+
+def post_lines(lines: list[str], transport: Callable[[str], tuple[int, str]], attempts: int = DEFAULT_ATTEMPTS,
+               backoff_seconds: float = DEFAULT_BACKOFF_SECONDS) -> tuple[int, str, int]:
+    """(code, answer, bodies sent) of a body of request lines. Requests that the answer names as refused, and only these, are sent again, up
+    to ``attempts`` times with twice the pause each time; the answer is that of the whole body, with each request's last item."""
+    code, response = transport("\n".join(lines) + "\n")
+    told = refused_places(code, response, len(lines))
+    sent = 1
+    if told is None or not told[0]:
+        return code, response, sent
+    left, items = told
+    while left and sent < attempts:
+        time.sleep(backoff_seconds * 2 ** (sent - 1))
+        again, text = transport("\n".join(lines[i] for i in left) + "\n")
+        sent += 1
+        told = refused_places(again, text, len(left))
+        if told is None:
+            break
+        for i, item in zip(left, told[1]):
+            items[i] = item
+        left = [left[k] for k in told[0]]
+    return (200 if not left else code), json.dumps({"took": 0, "errors": bool(left), "items": items}), sent
+
+
+def send_settled(requests: DataFrame, transport: Callable[[str], tuple[int, str]], bulk_size: int = DEFAULT_BULK_SIZE,
+                 attempts: int = DEFAULT_ATTEMPTS, backoff_seconds: float = DEFAULT_BACKOFF_SECONDS) -> DataFrame:
+    """``requests, code, response, sent`` for each body. For one request per document (``latest_requests``): as
+    their order does not matter, each task packs what it has into full bodies, without a window or a shuffle, and refused
+    requests can be sent again after others (:func:`post_lines`)."""
     size = bulk_size_or_default(bulk_size)
     line = bulk_line(*(F.col(c) for c in ("action", "index", "id", "parent", "pipeline", "data")))
 
@@ -48,8 +91,8 @@ def send_settled(requests: DataFrame, transport: Callable[[str], tuple[int, str]
         held: list[str] = []
 
         def post(lines: list[str]) -> pd.DataFrame:
-            code, response = transport("\n".join(lines) + "\n")
-            return pd.DataFrame({"requests": [len(lines)], "code": [code], "response": [response]})
+            code, response, sent = post_lines(lines, transport, attempts, backoff_seconds)
+            return pd.DataFrame({"requests": [len(lines)], "code": [code], "response": [response], "sent": [sent]})
 
         for frame in frames:
             held += frame["line"].tolist()
@@ -59,7 +102,7 @@ def send_settled(requests: DataFrame, transport: Callable[[str], tuple[int, str]
         if held:
             yield post(held)
 
-    return requests.select(line.alias("line")).mapInPandas(send, "requests bigint, code int, response string")
+    return requests.select(line.alias("line")).mapInPandas(send, "requests bigint, code int, response string, sent int")
 
 
 def send_bulk(bodies: DataFrame, transport: Callable[[str], tuple[int, str]]) -> DataFrame:
