@@ -646,6 +646,15 @@ def order_changes(spark, sf_dir):
     return O.order_changes(both).select(*ID, "event_type", "table", C.cells_json(F.col("before")).alias("before_json"),
                                         C.cells_json(F.col("after")).alias("after_json"))
 
+
+@register("order_breaks", with_views(["orders_log", "lineitem_log"], """
+select server_id, tbl "table", count(*) events, 0 breaks from orders_log group by all
+union all select server_id, tbl, count(*), 0 from lineitem_log group by all"""))
+def order_breaks(spark, sf_dir):
+    both = V.orders(spark, sf_dir).unionByName(V.lineitem(spark, sf_dir))
+    return O.order_breaks(O.order_changes(both, 8))
+
+
 # ------------------------------------------------------------ progress and health
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changeflow import schema as S
 from changeflow.functions.cells import cell_text
@@ -105,3 +105,25 @@ def order_changes(changes: DataFrame, partitions: int | None = None, whole_rows:
     dealt = order[:4] if whole_rows else order
     ranged = keyed.repartitionByRange(partitions, *dealt) if partitions else keyed.repartitionByRange(*dealt)
     return ranged.sortWithinPartitions(*order).drop("_key", "_seq")
+
+
+def order_breaks(ordered: DataFrame) -> DataFrame:
+    """``server_id, table, events, breaks``: how often an event of the DataFrame, taken as it lies, comes before the one it lies behind, in the
+    order of :func:`order_changes`. No breaks prove the order of the whole, from partition to partition.
+
+    Each partition is compared within itself, in one pass; what is left is a row per partition and table with its first and last event, and
+    the borders are compared on these."""
+    key = F.struct("server_id", "db", "table", row_key().alias("key"), log_seq(F.col("log_name")).alias("seq"), "log_pos", "row_ordinal")
+    lying = ordered.select("server_id", "table", key.alias("_key"), F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place"))
+    inside = Window.partitionBy("_part").orderBy("_place")
+    behind = (F.lag("_key").over(inside) > F.col("_key")).cast("bigint")
+    parts = lying.withColumn("_break", F.coalesce(behind, F.lit(0))).groupBy("_part", "server_id", "table").agg(
+        F.count("*").alias("events"), F.sum("_break").alias("breaks"), F.min("_place").alias("at"),
+        F.min_by("_key", "_place").alias("first"), F.max_by("_key", "_place").alias("last"), F.max("_place").alias("to"))
+    before = Window.orderBy("at")
+    # The event before a partition's first one is the last that lies in any partition before it.
+    edge = F.max(F.struct("to", "last")).over(before.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.lag("_part").over(before) != F.col("_part"), F.lit(False))
+    border = (opens & (edge["last"] > F.col("first"))).cast("bigint")
+    return (parts.withColumn("_border", F.coalesce(border, F.lit(0))).groupBy("server_id", "table")
+            .agg(F.sum("events").alias("events"), (F.sum("breaks") + F.sum("_border")).alias("breaks")))

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import views as V
 from changeflow.operators import offsets as O
 from changeflow.sources import kafka
 from tests.helpers import changes_of
@@ -70,3 +71,15 @@ def test_a_stream_to_kafka_needs_a_checkpoint(spark):
     stream = spark.readStream.format("rate").load().selectExpr("cast(value as string) value")
     with pytest.raises(ValueError, match="checkpoint"):
         kafka.write_changes_kafka(stream, ["a:1"], "t", encoder=lambda df: df)
+
+
+def test_order_is_proved_from_border_to_border(spark, sf_dir):
+    events = V.orders(spark, sf_dir).limit(400).persist()
+    total = lambda df: {c: sum(r[c] for r in O.order_breaks(df).collect()) for c in ("events", "breaks")}
+    ordered = O.order_changes(events, 5)
+    assert ordered.rdd.getNumPartitions() > 1 and total(ordered) == {"events": 400, "breaks": 0}
+    # The borders alone are wrong: each partition is in order, but they do not follow each other.
+    dealt = O.order_changes(events, 5).repartition(3, "log_pos").sortWithinPartitions("server_id", "db", "table", O.row_key(), "log_name", "log_pos", "row_ordinal")
+    assert 1 <= total(dealt)["breaks"] <= 2 * 3
+    assert total(events.orderBy(F.rand(7)))["breaks"] > 50
+    assert total(events.where("false")) == {"events": 0, "breaks": 0}
