@@ -6,7 +6,7 @@ import random
 import time
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from catalog import views as V
 from changeflow.operators import docs as D, mapping as M, normalise as N
@@ -136,7 +136,7 @@ def test_raw_events_of_a_stream(spark, sf_dir, tmp_path):
     raw = V.orders_raw(spark, sf_dir).persist()
     path, cp, out = str(tmp_path / "raw"), str(tmp_path / "cp"), str(tmp_path / "out")
     # Parts of the log one after the other: cut by file and place.
-    place = F.percent_rank().over(__import__("pyspark").sql.Window.partitionBy("server_id").orderBy("file_no", "event_seq"))
+    place = F.percent_rank().over(Window.partitionBy("server_id").orderBy("file_no", "event_seq"))
     parts = raw.withColumn("part", F.floor(place * 19.999)).repartition(1, "part").persist()
     handle = lambda b, i: b.write.mode("overwrite").parquet(f"{out}/b={i}")
     for first, last in ((0, 7), (8, 19)):

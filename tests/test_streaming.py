@@ -1,5 +1,6 @@
 import json
 import os
+import random
 import time
 
 import pytest
@@ -283,10 +284,10 @@ def test_live_health_is_linear(spark):
         listTimers = lambda self: []
         registerTimer = lambda self, ms: None
 
-    recheck.handle, recheck.last, recheck.held = Handle(), Held(), Held()
-    sample = Row("us", "file_seq", "file_pos", "db_seq", "db_pos", "db_error")
+    recheck.handle, recheck.last, recheck.held, recheck.waiting = Handle(), Held(), Held(), Held()
+    sample = Row("us", "file_seq", "file_pos", "db_seq", "db_pos", "db_error", "arrived")
     start = time.time()
-    out = list(recheck.handleInputRows((1,), [sample(i * 1_000_000, 1, i // 50, 1, i, "") for i in range(100_000)], None))
+    out = list(recheck.handleInputRows((1,), [sample(i * 1_000_000, 1, i // 50, 1, i, "", 0) for i in range(100_000)], None))
     assert time.time() - start < 30 and len(out) > 99_980
 
 
@@ -384,6 +385,39 @@ def test_health_of_a_stream(spark, samples, tmp_path):
     assert all((last[w[0]][1] - w[1]).total_seconds() <= H.GRACE_SECONDS for w in missing)
 
 
+def test_late_samples_come_out(spark, tmp_path):
+    """Samples in any order over many micro-batches: each comes out once. What waited long enough has the verdict of the batch, what came
+    after a newer one was judged is marked."""
+    from tests.test_health import random_samples, samples_of
+    rnd = random.Random(5)
+    every = sorted(random_samples(17, 160), key=lambda r: r[1])
+    near = sorted(range(len(every)), key=lambda i: i + rnd.randint(0, 12))  # each is moved by some places
+    far = [near.pop(0) for _ in range(3)]
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    order = near + far
+    for k in range(5):
+        samples_of(spark, [every[i] for i in order[k * len(order) // 5:(k + 1) * len(order) // 5]]).coalesce(1).write.parquet(f"{path}/{k}")
+    judged = health_stream(sample_stream(spark, path), delay="1 second", wait_seconds=(every[-1][1] - every[0][1]) / 5)
+    query = judged.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).start(out)
+    query.processAllAvailable()
+    time.sleep(2.5)
+    # Another server's sample, later by the clock, lets nothing wait any longer.
+    other = samples_of(spark, [(99, *every[-1][1:])])
+    for k in (5, 6):
+        other.coalesce(1).write.parquet(f"{path}/{k}")
+        query.processAllAvailable()
+        time.sleep(2.5)
+    query.stop()
+    got = spark.read.parquet(out).where("server_id <> 99")
+    key = ["server_id", "ts", "file_seq", "file_pos", "db_seq", "db_pos"]
+    assert rows(got, key) == rows(samples_of(spark, every), key)
+    late = got.where("late")
+    assert 0 < late.count() <= 10 and late.where("level is not null").count() == 0
+    in_time = got.where("not late")
+    kept = in_time.select(*key, "db_error")
+    assert rows(in_time, [*key, "status", "reasons"]) == rows(H.health(kept), [*key, "status", "reasons"])
+
+
 def test_alerts_of_a_stream(spark, samples, tmp_path):
     out = str(tmp_path / "out")
 
