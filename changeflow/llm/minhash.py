@@ -272,19 +272,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps: one document of each component.
 
-    Of rows that share an id, which are one document, one stays (the first by length and text). Rows without id all stay."""
+    Rows that share an id and a text (null is empty) are one document, of which one row stays. Rows that share an id only are documents of their
+    own: each is compared, and stays unless its own text is in a component of another that stays. Rows without id all stay."""
     folder = C.workdir(docs.sparkSession, "minhash-kept")
-    found = C.saved(near_duplicates(docs, id_col, text_col, k, percent), folder, "kept")
+    units = _units(docs, id_col, text_col, folder)
+    found = C.saved(near_duplicates(units, "unit", "text", k, percent), folder, "kept")
     kept = found.where("kept and id is not null").groupBy("id").agg(F.count("*").alias("rows"))
     kept = kept.select(F.col("id").alias("kept_id"), "rows").hint("merge")
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    held = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    met = held.join(kept, F.col("id") == F.col("kept_id"))
+    met = units.join(kept, F.col("unit") == F.col("kept_id"))
     once = met.where("rows = 1").select("row.*")
-    several = met.where("rows > 1").groupBy("id").agg(F.min_by("row", F.struct(F.length("text"), "text")).alias("row")).select("row.*")
+    several = met.where("rows > 1").groupBy("unit").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
     return once.union(several).union(docs.where(F.col(id_col).isNull()))
 
 
+def _units(docs: DataFrame, id_col: str, text_col: str, folder: str) -> DataFrame:
+    """(row, unit, text): the id, or where rows with different texts share one, a number made of id and text. These numbers are below
+    -2^62, out of the way of ids."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    held = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    shared = C.saved(held.where("id is not null").groupBy("id").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
+                     .where("low != high").select(F.col("id").alias("shared_id")), folder, "shared-ids")
+    if shared.isEmpty():
+        return held.withColumnRenamed("id", "unit")
+    apart = -F.lit(1 << 62) - 1 - F.shiftrightunsigned(F.xxhash64("id", F.coalesce("text", F.lit(""))), 3)
+    return held.join(shared.hint("merge"), F.col("id") == F.col("shared_id"), "left").select(
+        "row", F.when(F.col("shared_id").isNull(), F.col("id")).otherwise(apart).alias("unit"), "text")
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 

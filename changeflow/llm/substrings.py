@@ -144,13 +144,14 @@ def _candidates(anchored: Anchored, found: list[dict] | None, bits: int) -> tupl
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35,
-                     block_bytes: int = C.BLOCK_BYTES, hot: int = HOT) -> DataFrame:
+                     block_bytes: int = C.BLOCK_BYTES, hot: int = HOT, layout: bool = False) -> DataFrame:
     """All rows and columns of ``docs``, with the text's words joined by one space and without each word that is
     covered by a run of ``window`` words that also starts anywhere else, in the same document or another, and with the columns
     ``n_words`` and ``n_removed``. Runs are judged on the texts as they come in.
 
     Null texts stay null and have no words; texts without words become empty. Repeated rows are documents of their own, so each
-    loses what the other has. Ids are not used and may be null or repeated. New columns that clash get underscores.
+    loses what the other has. With ``layout`` the words are cut out of the text, each with the white space up to the next one, and all else
+    stays as it is: line breaks, indentation, and every byte of a text that loses nothing. Ids are not used and may be null or repeated. New columns that clash get underscores.
     No rows give no rows."""
     folder = C.workdir(docs.sparkSession, "substrings")
     texts = C.text_column(docs, id_col, text_col, keep=True)
@@ -234,7 +235,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 np.add.at(gone, starts, 1)
                 np.add.at(gone, starts + window, -1)
             kept = np.cumsum(gone[:-1]) == 0
-            yield from kept_rows(texts, words, kept, fields)
+            yield from kept_rows(texts, words, kept, fields, layout)
 
     out = told.mapInArrow(removed, schema)
     by_name = {old: new for new, _, old in fields}
@@ -242,10 +243,17 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       F.col("total").alias(n_words), F.col("gone").alias(n_removed))
 
 
-def kept_rows(texts: C.Texts, words: C.Words, kept: np.ndarray, fields: list) -> Iterator[pa.RecordBatch]:
-    """Rows of a block with the kept words joined by one space."""
-    before = np.concatenate([[0], np.cumsum(kept)])
-    bounds = before[words.bounds]
+def kept_rows(texts: C.Texts, words: C.Words, kept: np.ndarray, fields: list, layout: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows of a block with the kept words joined by one space, or with the others cut out of the text."""
+    bounds = np.concatenate([[0], np.cumsum(kept)])[words.bounds]
+    out = _cut_out(texts, words, kept, np.diff(bounds) > 0) if layout else _joined(texts, words, kept, bounds)
+    total = words.counts()
+    yield from pa.Table.from_arrays(
+        [pa.array(out, pa.binary()).cast(pa.string()), pa.array(total), pa.array(total - np.diff(bounds)),
+         *texts.rest.columns], names=["kept", "total", "gone", "rest", *(f[0] for f in fields)]).combine_chunks().to_batches()
+
+
+def _joined(texts: C.Texts, words: C.Words, kept: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     starts, lengths = words.starts[kept], (words.ends - words.starts)[kept]
     # Each word is written with a space after it; the last space of a text is left out.
     data = np.full(int(lengths.sum()) + len(lengths), 32, np.uint8)
@@ -253,8 +261,22 @@ def kept_rows(texts: C.Texts, words: C.Words, kept: np.ndarray, fields: list) ->
     data[C.ranges(to, lengths)] = texts.data[C.ranges(starts, lengths)]
     ends = np.append(to, len(data))[bounds]
     blob = data.tobytes()
-    out = [blob[a:b - 1] if b > a else b"" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-    total = words.counts()
-    yield from pa.Table.from_arrays(
-        [pa.array(out, pa.binary()).cast(pa.string()), pa.array(total), pa.array(total - np.diff(bounds)),
-         *texts.rest.columns], names=["kept", "total", "gone", "rest", *(f[0] for f in fields)]).combine_chunks().to_batches()
+    return [blob[a:b - 1] if b > a else b"" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+def _cut_out(texts: C.Texts, words: C.Words, kept: np.ndarray, some: np.ndarray) -> list[bytes]:
+    """The texts without the bytes from each word that goes to the next one; the last word of a text goes alone. ``some``: texts that keep a word."""
+    until = words.ends.copy()
+    if len(until):
+        until[:-1] = words.starts[1:]
+        last = words.bounds[1:][words.counts() > 0] - 1
+        until[last] = words.ends[last]
+    cut = np.zeros(len(texts.data) + 1, np.int64)
+    np.add.at(cut, words.starts[~kept], 1)
+    np.add.at(cut, until[~kept], -1)
+    stays = np.cumsum(cut[:-1]) == 0
+    at = np.concatenate([[0], np.cumsum(stays)])[texts.offsets].tolist()
+    blob = texts.data[stays].tobytes()
+    # A text that loses all its words has none of its white space either.
+    lost = (words.counts() > 0) & ~some
+    return [b"" if gone else blob[a:b] for a, b, gone in zip(at[:-1], at[1:], lost.tolist())]
