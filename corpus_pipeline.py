@@ -38,8 +38,9 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without runs of 50 words that also stand elsewhere; ``n_chars`` follows the text."""
-    kept = substrings.dedup_substrings(docs, window=50).select(*docs.columns)
+    """Documents without runs of 50 words that also stand elsewhere; the rest of a text stays as it is laid out, and ``n_chars``
+    follows it."""
+    kept = substrings.dedup_substrings(docs, window=50, layout=True).select(*docs.columns)
     return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
