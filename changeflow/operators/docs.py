@@ -53,28 +53,34 @@ def current_docs(requests: DataFrame) -> DataFrame:
 def merge_docs(requests: DataFrame) -> DataFrame:
     """As :func:`current_docs` for partial images: an update changes just its fields of the document.
 
-    First the last value of each field (partial aggregation shrinks a hot document to a row per field and
-    task), then the fields of each document; a document has no more entries there than fields.
+    Two layers: the last whole put or delete of a document, kept in one piece, and over it the last value of each field that later updates
+    changed. Only updates are unfolded. Partial aggregation shrinks a hot document to a row per changed field and task; a
+    document has no more entries in the second step than fields.
     """
     at = event_order()
-    # Sorts before every field name; its value is the action, so creates and deletes get a row of their own.
+    text_map = "map<string,string>"
+    # Sorts before every field name; its value is the action. The last one of a whole put carries the image.
     marker = F.struct(F.lit(None).cast("string").alias("field"), F.col("action").alias("value"))
     fields = F.transform(F.map_entries("data"), lambda e: F.struct(e["key"].alias("field"), e["value"].alias("value")))
+    update = F.col("action") == S.UPDATE
+    image = F.when(update | (F.col("action") == S.DELETE), F.lit(None).cast(text_map)).otherwise(F.col("data"))
     rows = (requests
-            .select(*KEY, "action", at.alias("at"), F.inline(F.concat(
-                F.array(marker), F.when(F.col("action") == S.DELETE, F.array()).otherwise(fields)))))
+            .select(*KEY, "action", at.alias("at"), image.alias("image"), F.inline(F.when(update, F.concat(F.array(marker), fields)).otherwise(F.array(marker)))))
     is_marker = F.col("field").isNull()
     last = rows.groupBy(*BY_ID, "field").agg(
         F.max(F.struct("at", "value")).alias("last"),
-        F.max(F.when(is_marker & (F.col("action") != S.UPDATE), F.col("at"))).alias("reset"))
-    entries = F.collect_list(F.when(~F.col("field").isNull(), F.struct("field", "last")))
+        F.max_by(F.struct("at", "image"), F.when(F.col("action") != S.UPDATE, F.col("at"))).alias("whole"))
+    entries = F.collect_list(F.when(~is_marker, F.struct("field", "last")))
     docs = last.groupBy(*BY_ID).agg(
-        entries.alias("entries"), F.max("reset").alias("reset"),
+        entries.alias("entries"), F.first("whole", True).alias("whole"),
         F.max(F.when(is_marker, F.col("last"))).alias("end"), _addressed())
-    alive = F.filter("entries", lambda e: F.col("reset").isNull() | (e["last"]["at"] >= F.col("reset")))
-    data = F.map_from_entries(F.transform(F.sort_array(alive), lambda e: F.struct(e["field"], e["last"]["value"])))
-    return (docs.where(F.col("_addressed") & (F.col("end.value") != S.DELETE))
-            .select(*KEY, data.alias("data"), F.col("end.at").alias("version")))
+    later = F.filter("entries", lambda e: F.col("whole").isNull() | (e["last"]["at"] >= F.col("whole.at")))
+    over = F.transform(later, lambda e: F.struct(e["field"].alias("key"), e["last"]["value"].alias("value")))
+    layered = docs.where(F.col("_addressed") & (F.col("end.value") != S.DELETE)).withColumn("over", over)
+    names = F.transform("over", lambda e: e["key"])
+    under = F.filter(F.map_entries(F.coalesce("whole.image", S.empty_cells())), lambda e: ~F.array_contains(names, e["key"]))
+    data = F.map_from_entries(F.sort_array(F.concat(under, F.col("over"))))
+    return layered.select(*KEY, data.alias("data"), F.col("end.at").alias("version"))
 
 
 def get_docs(docs: DataFrame, ids: DataFrame) -> DataFrame:
