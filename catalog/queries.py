@@ -599,10 +599,13 @@ def delete_docs(spark, sf_dir):
     return docs.delete_docs(_docs(spark, sf_dir), _ids(spark, sf_dir, "o_orderkey % 5 = 0")).select(*_doc_columns())
 
 
-@register("doc_fields", """
-with d as (select count(*) n from orders where o_orderkey % 7 <> 0)
-select 'orders_idx' idx, field, n as docs, type from d, (values ('o_custkey', 'number'), ('o_note', 'string'), ('o_orderkey', 'number'),
-  ('o_totalprice', 'number'), ('status', 'string')) t(field, type)""")
+@register("doc_fields", f"""
+with d as (select cast({DOC_SQL} as json) j from orders where o_orderkey % 7 <> 0),
+f as (select j, unnest(json_keys(j)) field from d),
+k as (select field, case json_type(j, concat('$."', field, '"')) when 'NULL' then 0 when 'BOOLEAN' then 1 when 'VARCHAR' then 3 when 'OBJECT' then 4 when 'ARRAY' then 4 else 2 end kind from f),
+g as (select field, count(*) docs, coalesce(min(kind) filter (where kind > 0), 0) low, max(kind) high from k group by field),
+n as (select *, ['null', 'boolean', 'number', 'string', 'object'] names from g)
+select 'orders_idx' idx, field, docs, case when low = high then names[low + 1] else concat(names[low + 1], '|', names[high + 1]) end "type" from n""")
 def doc_fields(spark, sf_dir):
     return docs.doc_fields(_docs(spark, sf_dir)).select(F.col("index").alias("idx"), "field", "docs", "type")
 
