@@ -6,9 +6,9 @@ a suffix matter, so the suffix sort stops at that depth.
 The suffixes are distributed so that those with equal prefixes meet: by their anchor, the smallest hash among the short runs of bytes
 inside the prefix, which equal prefixes share. Anchors of one document only cannot take part and are dropped first, by exchanging
 hashes. A shard gets the stretches of text around its anchors, each once per block with its smallest document, and sorts
-their suffixes with the difference cover of 3: it sorts and names the triples at sampled places (1 and 2 modulo 3), recurses on the
+their suffixes with the difference cover of 3: it sorts and names the runs at sampled places (1 and 2 modulo 3), recurses on triples of
 names until they cover the depth, sorts the remaining suffixes by a symbol and a sampled rank, and merges. Then it compares
-the prefixes of adjacent suffixes, byte by byte, and finds the smallest document of every class of equal prefixes."""
+the prefixes of adjacent suffixes, by all their bytes, and finds the smallest document of every class of equal prefixes."""
 
 from __future__ import annotations
 
@@ -26,6 +26,8 @@ ANCHOR_BYTES = 16
 SUFFIX_BLOCK_BYTES = 1 << 20
 #: Numbers up to this one have a cube that fits 64 bits.
 MAX_CUBED = 1 << 21
+#: Symbols of a run that is packed into one number, and the largest base for it.
+RUN, MAX_IN_RUN = 7, 500
 #: Anchors travel without these low bits: a false match only keeps a few suffixes more.
 _DROPPED = np.uint64(16)
 
@@ -33,56 +35,65 @@ _DROPPED = np.uint64(16)
 # The difference-cover suffix sort
 
 
+def _packed(symbols: np.ndarray, base: int, count: int) -> np.ndarray:
+    """A number for each run of ``count`` symbols (below ``base``), in the order of the runs; zeros follow the end."""
+    out = symbols.copy()
+    for k in range(1, count):
+        out *= base
+        out[:-k] += symbols[k:]
+    return out
+
+
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Places of ``symbols`` (positive integers) in the order of their suffixes; suffixes that agree in ``depth`` symbols stand together,
     in any order. A suffix that ends counts as going on with zeros."""
     n = len(symbols)
     if n < 3 or depth <= 1:
         return np.lexsort((np.append(symbols[1:], 0)[:n], symbols))
-    s = np.concatenate([symbols.astype(np.int64), np.zeros(3, np.int64)])
     base = int(symbols.max()) + 1
-    # A sampled place after the end keeps the two halves of the recursion apart.
-    ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
-    sample = np.concatenate([ones, twos])
-    names = _triple_names(s, sample, base)
-    if depth > 3 and int(names.max()) + 1 < len(sample):
-        order = suffix_order(names + 1, -(-depth // 3))
-        names = np.empty(len(sample), np.int64)
-        names[order] = np.arange(len(sample))
+    s = np.concatenate([symbols.astype(np.int64), np.zeros(3, np.int64)])
+    sample = np.flatnonzero(np.arange(n) % 3 != 0)
+    # Small symbols go into the first names by seven, as many as 63 bits hold.
+    reach = RUN if base <= MAX_IN_RUN else 3
+    names = np.unique(_packed(s, base, RUN)[sample], return_inverse=True)[1] if reach == RUN else _triple_names(s, base, sample, 1)
+    # Names of runs follow each other in steps of 3, which stay in the sample; triples of names get names until these reach the depth.
+    while reach < depth and int(names.max()) + 1 < len(sample):
+        step = reach // 3 * 3
+        rank = np.zeros(n + 2 * step, np.int64)
+        rank[sample] = names + 1
+        names = _triple_names(rank, len(sample) + 1, sample, step)
+        reach += 2 * step
     rank = np.zeros(n + 3, np.int64)
     rank[sample] = names + 1
     sampled = sample[np.argsort(names, kind="stable")]
-    sampled = sampled[sampled < n]
     rest = np.arange(0, n, 3)
-    rest = rest[np.lexsort((rank[rest + 1], s[rest]))]
-    return _merged(s, rank, sampled, rest)
+    rest = rest[np.argsort(s[rest] * len(rank) + rank[rest + 1], kind="stable")]
+    return _merged(s, base, rank, sampled, rest)
 
 
-def _triple_names(s: np.ndarray, at: np.ndarray, base: int) -> np.ndarray:
-    """Numbers of the triples of symbols (below ``base``) at some places, in the order of the triples."""
-    pairs = s[at] * base + s[at + 1]
+def _triple_names(s: np.ndarray, base: int, at: np.ndarray, step: int) -> np.ndarray:
+    """Numbers of the triples of symbols (below ``base``), ``step`` apart, at some places, in the order of the triples."""
+    pairs = s[at] * base + s[at + step]
     if base > MAX_CUBED:
         # Pairs are named first: a name is below the number of places, so no product leaves 64 bits.
         pairs = np.unique(pairs, return_inverse=True)[1]
-    return np.unique(pairs * base + s[at + 2], return_inverse=True)[1]
-
-
-def _merged(s: np.ndarray, rank: np.ndarray, sampled: np.ndarray, rest: np.ndarray) -> np.ndarray:
-    """Merges two sorted lists of suffixes: every remaining suffix finds its place among the sampled ones by bisection."""
-    low, high = np.zeros(len(rest), np.int64), np.full(len(rest), len(sampled))
-    is_one = sampled % 3 == 1
-    going = np.flatnonzero(low < high)
-    while len(going):
-        i, mid = rest[going], (low[going] + high[going]) // 2
-        j = sampled[mid]
-        # A place 1 modulo 3 is followed by a sampled one, a place 2 modulo 3 by a remaining and then a sampled one.
-        shift = np.where(is_one[mid], 1, 2)
-        first_less, first_same = s[j] < s[i], s[j] == s[i]
-        second_less, second_same = s[j + 1] < s[i + 1], (s[j + 1] == s[i + 1]) | (shift == 1)
-        less = first_less | (first_same & (((shift == 2) & second_less) | (second_same & (rank[j + shift] < rank[i + shift]))))
-        low[going[less]] = mid[less] + 1
-        high[going[~less]] = mid[~less]
-        going = going[low[going] < high[going]]
+    return np.unique(pairs * base + s[at + 2 * step], return_inverse=True)[1]
+
+
+def _merged(s: np.ndarray, base: int, rank: np.ndarray, sampled: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Merges two sorted lists of suffixes: every remaining suffix is placed among the sampled ones.
+
+    Sampled places 1 modulo 3 are followed by a sampled one, so a symbol and a rank tell the order; places 2 modulo 3 are by a remaining
+    and then a sampled one, so two symbols and a rank do. Both lists are in the order of these keys."""
+    size = len(rank)
+    ones, twos = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
+    pairs = lambda at: s[at] * base + s[at + 1]
+    two_pairs, rest_pairs = pairs(twos), pairs(rest)
+    if base * base * size >= 1 << 63:
+        named = np.unique(np.concatenate([two_pairs, rest_pairs]), return_inverse=True)[1]
+        two_pairs, rest_pairs = named[:len(twos)], named[len(twos):]
+    low = np.searchsorted(s[ones] * size + rank[ones + 1], s[rest] * size + rank[rest + 1])
+    low += np.searchsorted(two_pairs * size + rank[twos + 2], rest_pairs * size + rank[rest + 2])
     out = np.empty(len(sampled) + len(rest), np.int64)
     # Among suffixes that agree to the depth, places may come out of order; they stay among each other.
     to = np.maximum.accumulate(low) + np.arange(len(rest))
@@ -97,13 +108,17 @@ def prefix_classes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndar
     """A number for each start; the same for equal runs of ``length`` bytes. ``data`` may hold -1 as a separator."""
     is_start = np.zeros(len(data), bool)
     is_start[starts] = True
-    order = suffix_order(data.astype(np.int64) + 2, length)
+    symbols = data.astype(np.int64) + 2
+    order = suffix_order(symbols, length)
     order = order[is_start[order]]
+    # Adjacent prefixes are compared in runs of seven bytes, each a number; the last run may overlap the one before.
+    count = min(RUN, length)
+    runs = _packed(symbols, MAX_IN_RUN, count)
     new = np.ones(len(order), bool)
-    for at in range(1, len(order), 1 << 16):
-        here = order[at - 1:at + (1 << 16)]
-        runs = data[here[:, None] + np.arange(length)]
-        new[at:at + len(here) - 1] = (runs[1:] != runs[:-1]).any(1)
+    new[1:] = False
+    for at in [*range(0, length - count, count), length - count]:
+        here = runs[order + at]
+        new[1:] |= here[1:] != here[:-1]
     out = np.empty(len(data), np.int64)
     out[order] = np.cumsum(new) - 1
     return out[starts]
