@@ -29,6 +29,7 @@ NULL_ID = -(1 << 63)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _ODD = 0x5851F42D4C957F2D
+_HALF = np.uint64(32)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -322,29 +323,18 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def stretches(runs: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Groups windows by their anchor: the leftmost of the ``width`` runs in a window with the smallest hash.
+    """Groups windows by their anchor: the leftmost of the ``width`` runs in a window with the smallest hash (of 32 bits).
 
     ``starts`` are the windows in order. Returns the first and last window of each stretch, which is a row of windows with one anchor,
     and a hash of the anchor. Equal windows have equal anchors at equal places."""
     n = len(starts)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    low = sliding_min(runs, width)[starts]
-    # Where a window begins with its anchor, that is the place; the windows before it, of one text and one anchor hash, share it.
-    here = runs[starts] == low
-    tail = np.ones(n, bool)
-    tail[:-1] = (low[1:] != low[:-1]) | (starts[1:] != starts[:-1] + 1)
-    rest = np.flatnonzero(tail & ~here)
-    anchor = np.full(n, -1)
-    anchor[here] = starts[here]
-    step = 1
-    while len(rest):
-        hit = runs[starts[rest] + step] == low[rest]
-        anchor[rest[hit]] = starts[rest[hit]] + step
-        rest = rest[~hit]
-        step += 1
-    known = np.where(anchor >= 0, np.arange(n), n)
-    anchor = anchor[np.minimum.accumulate(known[::-1])[::-1]]
+    # The place stands in the low half of a number whose high half is the hash, so the smallest number tells both.
+    placed = runs >> _HALF
+    placed <<= _HALF
+    placed |= np.arange(len(runs), dtype=np.uint64)
+    anchor = sliding_min(placed, width).astype(np.uint32)[starts]
     new = np.ones(n, bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
     at = np.flatnonzero(new)
