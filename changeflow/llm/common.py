@@ -106,7 +106,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of ``values[start:end]`` (64-bit symbols) for each span, by prefix sums of a polynomial."""
+    """A 64-bit hash of ``values[start:end]`` (64-bit symbols) for each span, by prefix sums of a polynomial.
+
+    For spans of up to some hundred symbols, which may overlap; modulo 2^64, longer ones can be built that agree (see ``word_hashes``)."""
     power, inverse = _powers(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * power[:len(values)], out=sums[1:])
@@ -115,6 +117,31 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix(h ^ ((ends - starts).astype(np.uint64) * _GOLDEN))
 
 
+def _placed_value(byte: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mix(_BYTE_VALUE[byte] + place.astype(np.uint64) * _GOLDEN)
+
+
+#: Bytes at the first places of a word, mixed beforehand.
+_NEAR = 64
+_PLACED = _placed_value(np.tile(np.arange(256), _NEAR), np.repeat(np.arange(_NEAR), 256))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes ``data[start:end]`` for each of the spans, which follow each other and do not overlap.
+
+    Every byte is mixed with its place in the span before the sum, so no two words agree by their structure, however long."""
+    lengths = ends - starts
+    place = ranges(np.zeros(len(starts), np.int64), lengths)
+    inside = data[ranges(starts, lengths)]
+    values = _PLACED[(np.minimum(place, _NEAR - 1) << 8) | inside]
+    far = np.flatnonzero(place >= _NEAR)
+    values[far] = _placed_value(inside[far], place[far])
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=sums[1:])
+    to = np.cumsum(lengths)
+    return mix((sums[to] - sums[to - lengths]) ^ (lengths.astype(np.uint64) * _GOLDEN))
+
+
 def window_hashes(values: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all windows of ``k`` symbols, in order; the window at i starts at i."""
     n = max(0, len(values) - k + 1)
@@ -289,7 +316,7 @@ class Words:
         ends[texts.offsets] |= inside[:-1][texts.offsets]
         self.starts, self.ends = np.flatnonzero(begins[:n]), np.flatnonzero(ends)
         if hashes:
-            self.hashes = span_hashes(byte_values(data), self.starts, self.ends) if n else np.zeros(0, np.uint64)
+            self.hashes = word_hashes(data, self.starts, self.ends)
         self.bounds = np.searchsorted(self.starts, texts.offsets)
 
     def __len__(self) -> int:

@@ -3,8 +3,9 @@
 Every document gets a few counts in one pass over its text. In place of fixed cutoffs, each language and source gets thresholds
 from quantile sketches of the corpus itself: logarithmic histograms with a bounded relative error, kept as rows
 (group, metric, bucket, count). Sketches merge by adding counts, in any order and with the same result: a hot source is a few
-hundred rows per task before the shuffle, and a group too small to speak for itself takes the merged sketch of
-its language, or of all. A document is rejected where it lies far outside the middle half of its group."""
+hundred rows per task before the shuffle. The sketch of a language is merged into that of each of its sources with a fixed weight, and
+that of all into that of each language, so a small group follows its language and a large one itself, without a switch between
+them. A document is rejected where it lies far outside the middle half of its group."""
 
 from __future__ import annotations
 
@@ -18,8 +19,8 @@ SYMBOLS = "[^#*$%&|<>]+"
 ERROR = 0.01
 #: Values below it count as zero.
 LEAST = 1e-4
-#: Documents that a group needs for thresholds of its own.
-MIN_DOCS = 300
+#: Documents that the sketch of a language counts for in that of its sources, and the sketch of all in that of a language.
+PRIOR_DOCS = 100
 #: Distance from the nearer quartile, in spreads, beyond which a document is an outlier.
 FENCE = 4.0
 
@@ -101,7 +102,7 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, docs, fences per metric) of merged sketches; a window sees the buckets of one group and metric."""
     merged = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
     w = Window.partitionBy(*keys, "metric")
-    ranked = merged.withColumn("upto", F.sum("n").over(w.orderBy("bucket"))).withColumn("docs", F.sum("n").over(w))
+    ranked = merged.withColumn("upto", F.sum("n").over(w.orderBy("bucket"))).withColumn("docs", F.max("upto").over(w))
     value = F.when(F.col("bucket") == -10_000, 0.0).otherwise(F.pow(F.lit(_STEP), F.col("bucket")) * 2 / (1 + _STEP))
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("docs"), value))  # noqa: E731  values grow with the buckets
     per = ranked.groupBy(*keys, "metric").agg(F.max("docs").alias("docs"), at(0.25).alias("q1"), at(0.75).alias("q3"))
@@ -112,34 +113,44 @@ def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
         F.max(F.when(F.col("metric") == m, F.struct("low", "high"))).alias(m) for m in METRICS))
 
 
-def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, source, fences per metric): a row for each group, from the first sketch of source, language and all that holds
-    ``min_docs`` documents, or from all."""
-    own, lang = _quartiles(sketch, ["lang", "source"]), _quartiles(sketch, ["lang"])
-    # One row of a dozen numbers.
-    every = _quartiles(sketch, []).select(*METRICS).first()
-    fences = lambda level: F.struct(*(F.col(f"{level}.{m}") for m in METRICS))
-    of_all = F.struct(*(F.struct(F.lit(every[m]["low"] if every[m] else None).cast("double").alias("low"),
-                                 F.lit(every[m]["high"] if every[m] else None).cast("double").alias("high")).alias(m) for m in METRICS))
-    wide = lambda df, level: df.select(*(c for c in df.columns if c in ("lang", "source")), F.struct("docs", *METRICS).alias(level))
-    lang = wide(lang, "by_lang").withColumnRenamed("lang", "of_lang")
-    got = wide(own, "own").join(lang, F.col("lang").eqNullSafe(F.col("of_lang")))
-    pick = F.when(F.col("own.docs") >= min_docs, fences("own")).when(F.col("by_lang.docs") >= min_docs, fences("by_lang")).otherwise(of_all)
-    return got.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), pick.alias("t"))
-
-
-def judged(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def _blended(sketch: DataFrame, keys: list[str], parent: DataFrame, prior_docs: int) -> DataFrame:
+    """(keys, metric, bucket, n, share): sketches of the groups ``keys`` with ``parent`` merged in, which then weighs ``prior_docs`` documents.
+    ``parent`` has the keys but the last, and ``share``, the part of its documents in a bucket. A sum has one whole number and one
+    part of the parent, so it is the same in any order."""
+    above = parent.select(*(F.col(k).alias(f"of_{k}") for k in keys[:-1]), F.col("metric").alias("of_metric"), "bucket", "share")
+    groups = sketch.select(*keys, "metric").distinct()
+    met = F.col("metric") == F.col("of_metric")
+    for k in keys[:-1]:
+        met &= F.col(k).eqNullSafe(F.col(f"of_{k}"))
+    given = groups.join(above, met).select(*keys, "metric", "bucket", F.lit(0).cast("long").alias("n"), "share")
+    both = sketch.select(*keys, "metric", "bucket", "n", F.lit(0.0).alias("share")).unionByName(given)
+    merged = both.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"), F.max("share").alias("share"))
+    docs = F.sum("n").over(Window.partitionBy(*keys, "metric"))
+    weight = F.col("n") + prior_docs * F.col("share")
+    return merged.select(*keys, "metric", "bucket", weight.alias("n"), (weight / (docs + prior_docs)).alias("share"))
+
+
+def thresholds(sketch: DataFrame, prior_docs: int = PRIOR_DOCS) -> DataFrame:
+    """(lang, source, fences per metric): a row for each group, from its sketch with those of its language and of all merged in."""
+    of_all = sketch.groupBy("metric", "bucket").agg(F.sum("n").alias("n"))
+    of_all = of_all.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("metric")))
+    of_lang = _blended(sketch.groupBy("lang", "metric", "bucket").agg(F.sum("n").alias("n")), ["lang"], of_all, prior_docs)
+    got = _quartiles(_blended(sketch, ["lang", "source"], of_lang, prior_docs), ["lang", "source"])
+    return got.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), F.struct(*METRICS).alias("t"))
+
+
+def judged(rows: DataFrame, prior_docs: int = PRIOR_DOCS) -> DataFrame:
     """``rows`` of ``measured`` (with lang and source) and base_failed, kept."""
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     outside = lambda m: (_metric(m) > F.col(f"t.{m}.high")) | (F.lit(METRICS[m][1]) & (_metric(m) < F.col(f"t.{m}.low")))
     odd = F.greatest(*(F.coalesce(outside(m), F.lit(False)) for m in METRICS))
-    limits = thresholds(sketches(rows), min_docs)
+    limits = thresholds(sketches(rows), prior_docs)
     met = rows.join(limits, rows.lang.eqNullSafe(limits.t_lang) & rows.source.eqNullSafe(limits.t_source), "left")
     return met.withColumn("base_failed", base).withColumn("kept", ~base & ~odd).drop("t_lang", "t_source", "t")
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-            min_docs: int = MIN_DOCS) -> DataFrame:
+            prior_docs: int = PRIOR_DOCS) -> DataFrame:
     """(id, lang, source, mark, counts, base_failed, kept) for each row of ``docs``. ``mark`` is a hash of the text.
 
     ``base_failed``: fewer than 50 words, or more than half of the words in repeated runs of three. ``kept``: not
@@ -149,7 +160,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     folder = C.workdir(docs.sparkSession, "quality")
     keys = [F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"),
             text_mark(F.col(text_col)).alias("mark")]
-    return judged(C.saved(measured(docs, text_col, keys), folder, "counts"), min_docs)
+    return judged(C.saved(measured(docs, text_col, keys), folder, "counts"), prior_docs)
 
 
 def text_mark(text: Column) -> Column:

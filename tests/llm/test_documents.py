@@ -267,7 +267,7 @@ def test_quality_thresholds_follow_the_group(spark):
     rows = [(i, body(), "en", "plain") for i in range(400)] + [(1000 + i, body() + " |" * rnd.randint(40, 60), "en", "tables") for i in range(400)]
     rows += [(5000, body() + " |" * 50, "en", "plain"), (5001, body() + " |" * 50, "en", "tables"), (5002, body(), "xx", "tiny")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = {r.id: r.kept for r in quality.quality(docs, min_docs=300).collect()}
+    got = {r.id: r.kept for r in quality.quality(docs, prior_docs=100).collect()}
     assert not got[5000] and got[5001] and got[5002] and sum(got.values()) == len(rows) - 1
     measured = quality.measured(docs, "text", [F.col("lang"), F.col("source")])
     limits = {(r.lang, r.source): r for r in quality._quartiles(quality.sketches(measured), ["lang", "source"]).collect()}
@@ -277,6 +277,37 @@ def test_quality_thresholds_follow_the_group(spark):
     assert abs(limits[("en", "tables")].symbols_per_word.high - (q3 + quality.FENCE * spread)) < 0.08
 
 
+def test_quality_thresholds_grow_out_of_the_parent(spark):
+    """Fences of a source come near those of its own sketch as it grows, step by step; one document more changes little."""
+    high = {}
+    for n in (1, 299, 300, 100_000):
+        rows = [("en", s, m, 0, k) for s, k in (("big", 3000), ("own", 0)) for m in quality.METRICS if k]
+        rows += [("en", "own", m, b, n) for m in quality.METRICS for b in (20, 60)]
+        sketch = spark.createDataFrame(rows, "lang string, source string, metric string, bucket int, n long")
+        high[n] = {r.t_source: r.t.chars_per_word.high for r in quality.thresholds(sketch).collect()}
+        again = quality.thresholds(sketch.repartition(7, "bucket", "metric")).collect()
+        assert high[n] == {r.t_source: r.t.chars_per_word.high for r in again}
+    alone = quality._quartiles(sketch.where("source = 'own'"), ["source"]).first().chars_per_word.high
+    assert abs(high[1]["own"] - high[1]["big"]) < 1e-9 and abs(high[100_000]["own"] - alone) < 1e-9 and high[1]["own"] < alone
+    assert abs(high[300]["own"] - high[299]["own"]) < 0.05 * alone
+
+
+def test_words_built_alike_are_told_apart(spark):
+    """Words whose polynomial hashes modulo 2^64 agree (Thue-Morse) are different words to all operators that compare hashes."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, f"{rest} {one}"), (2, f"x {other} y"), (4, f"x {one} z"), (5, other), (6, one)], "doc_id long, text string")
+    words = C.Words(C.Texts(np.array([1]), np.frombuffer(f"{one} {other} {one}".encode(), np.uint8), np.array([0, 3 * 4096 + 2])))
+    assert len(set(words.hashes.tolist())) == 2
+    assert {r.n_removed for r in substrings.dedup_substrings(docs, window=2).collect()} == {0}
+    assert {r.component_id for r in minhash.near_duplicates(docs, k=1, percent=90).collect()} == {1, 2, 4, 5, 6}
+    known = {r.id: (r.n_tokens, r.n_known) for r in lm.score(docs, held_out=lambda ids: ids == 5).collect()}
+    assert known[5] == (2, 2)
+    known = {r.id: r.n_known for r in lm.score(docs.where("doc_id in (1, 4, 5)"), held_out=lambda ids: ids == 5).collect()}
+    assert known[5] == 1
+
+
 def test_quality_on_labels(spark, sf_dir):
     judged = quality.quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
