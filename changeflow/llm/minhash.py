@@ -257,7 +257,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_rows = C.saved(placed.join(mixed, "key"), folder, "open")
     more = across_parts(open_rows, texts, classes.select("rep", "sketch"), folder, k, percent, bands * rows)
     if not more.isEmpty():
-        found = components(links.union(more), folder, "second-components")
+        # What the first round has joined goes on as one edge per document.
+        joined = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        found = components(joined.union(more), folder, "second-components")
 
     # Only documents with copies or links need a name; the others are their own component.
     named = classes.join(found, classes.rep == found.node, "left").where("copies > 1 or component is not null").select(

@@ -125,6 +125,20 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), C.workdir(spark, "test")).count() == 0
 
 
+def test_components_join_fewer_edges_each_round(spark, tmp_path):
+    # A dense group, a long path, and nodes in turn small and large, of which the large ones hook first.
+    dense = [(a, b) for a in range(40) for b in range(a + 1, 40)]
+    path = [(100 + k, 101 + k) for k in range(60)]
+    turns = [(x, y) for k in range(30) for x, y in ((200 + k, 300 + k), (201 + k, 300 + k))]
+    edges = dense + path + turns + [(39, 160)]
+    folder = f"file://{tmp_path}/parts"
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges * 2, "a long, b long"), folder).collect()}
+    assert got == {n: 200 if n >= 200 else 0 for e in edges for n in e}
+    rounds = len(list((tmp_path / "parts").glob("components-edges-*")))
+    counts = [spark.read.parquet(f"{folder}/components-edges-{k}").count() for k in range(rounds)]
+    assert counts[0] == len(edges) and counts[-1] == 0 and sum(counts[1:]) < len(edges) / 4
+
+
 def test_pipeline(spark, sf_dir):
     """Each stage keeps the columns and works on what is left; tokens decode to their texts."""
     pipeline = pytest.importorskip("corpus_pipeline")
