@@ -655,7 +655,7 @@ select server_id, tbl "table", count(*) events, 0 breaks from orders_log group b
 union all select server_id, tbl, count(*), 0 from lineitem_log group by all"""))
 def order_breaks(spark, sf_dir):
     both = V.orders(spark, sf_dir).unionByName(V.lineitem(spark, sf_dir))
-    return O.order_breaks(O.order_changes(both, 8))
+    return O.order_breaks(O.order_changes(both, O.partitions_for(both, 8)))
 
 
 # ------------------------------------------------------------ progress and health

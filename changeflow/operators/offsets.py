@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from changeflow import schema as S
-from changeflow.functions.cells import cell_text
+from changeflow.functions.cells import cell_text, sorted_entries
 from changeflow.functions.positions import log_seq
 
 PARTITION = ["topic", "partition"]
@@ -83,11 +85,16 @@ def dedup_stream(changes: DataFrame, delay: str) -> DataFrame:
     return timed.withWatermark("arrived_at", delay).dropDuplicatesWithinWatermark([*EVENT_KEY, "_alone"]).drop("_alone")
 
 
+#: Events that a task sorts at once where the number of partitions follows the input: some 200 MB.
+EVENTS_IN_PARTITION = 400_000
+
+
 def row_key() -> Column:
     """Key values of the changed row, as text; the whole image where a table has no key."""
     image = F.when(F.size("after") > 0, F.col("after")).otherwise(F.col("before"))
-    names = F.when(F.size("primary") > 0, F.col("primary")).otherwise(F.sort_array(F.map_keys(image)))
-    return F.array_join(F.transform(names, lambda n: cell_text(F.element_at(image, n))), ":", "")
+    keyed = F.transform("primary", lambda n: F.element_at(image, n))
+    cells = F.when(F.size("primary") > 0, keyed).otherwise(F.transform(sorted_entries(image), lambda e: e["value"]))
+    return F.array_join(F.transform(cells, cell_text), ":", "")
 
 
 def order_changes(changes: DataFrame, partitions: int | None = None, whole_rows: bool = False) -> DataFrame:
@@ -107,19 +114,59 @@ def order_changes(changes: DataFrame, partitions: int | None = None, whole_rows:
     return ranged.sortWithinPartitions(*order).drop("_key", "_seq")
 
 
+def partitions_for(changes: DataFrame, least: int = 1, events: int = EVENTS_IN_PARTITION) -> int:
+    """How many partitions keep a partition at a bounded number of events, however many changes there are. Counts them, in a pass that reads no images."""
+    return max(least, -(-changes.count() // events))
+
+
+def _comparable(column: pa.Array) -> list:
+    """Values that compare as Spark does, nulls first."""
+    return [(x is not None, x) for x in column.to_pylist()] if column.null_count else [(True, x) for x in column.to_pylist()]
+
+
+def _breaks_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per server and table of a partition: events, those that come before the one they lie behind, first and last event with their places."""
+    found: dict[tuple, list] = {}
+    last, part, schema = None, None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        schema, part = batch.schema, batch.column("_part")[0].as_py()
+        fields = batch.column("_key").flatten()
+        keys = list(zip(*map(_comparable, fields)))
+        breaks = [last is not None and last > keys[0], *(a > b for a, b in zip(keys, keys[1:]))]
+        last = keys[-1]
+        for of, key, broken, place in zip(zip(*(batch.column(c).to_pylist() for c in ("server_id", "table"))), keys, breaks, batch.column("_place").to_pylist()):
+            if (row := found.get(of)) is None:
+                row = found[of] = [0, 0, place, key, key, place]
+            row[0] += 1
+            row[1] += broken
+            row[4], row[5] = key, place
+    if found:
+        rows = list(found.items())
+        held = {c: schema.field(c).type for c in schema.names}
+        names = [f.name for f in held["_key"]]
+        event = lambda at: pa.array([dict(zip(names, (x for _, x in r[at]))) for _, r in rows], held["_key"])
+        count = lambda at: pa.array([r[at] for _, r in rows], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part] * len(rows), held["_part"]), pa.array([of[0] for of, _ in rows], held["server_id"]), pa.array([of[1] for of, _ in rows], held["table"]),
+             count(0), count(1), count(2), event(3), event(4), count(5)],
+            names=["_part", "server_id", "table", "events", "breaks", "at", "first", "last", "to"])
+
+
 def order_breaks(ordered: DataFrame) -> DataFrame:
     """``server_id, table, events, breaks``: how often an event of the DataFrame, taken as it lies, comes before the one it lies behind, in the
     order of :func:`order_changes`. No breaks prove the order of the whole, from partition to partition.
 
-    Each partition is compared within itself, in one pass; what is left is a row per partition and table with its first and last event, and
-    the borders are compared on these."""
+    Each partition is compared within itself, in one pass that keeps a batch of events and moves none; what is left is a row per
+    partition and table with its first and last event, and the borders are compared on these."""
     key = F.struct("server_id", "db", "table", row_key().alias("key"), log_seq(F.col("log_name")).alias("seq"), "log_pos", "row_ordinal")
     lying = ordered.select("server_id", "table", key.alias("_key"), F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place"))
-    inside = Window.partitionBy("_part").orderBy("_place")
-    behind = (F.lag("_key").over(inside) > F.col("_key")).cast("bigint")
-    parts = lying.withColumn("_break", F.coalesce(behind, F.lit(0))).groupBy("_part", "server_id", "table").agg(
-        F.count("*").alias("events"), F.sum("_break").alias("breaks"), F.min("_place").alias("at"),
-        F.min_by("_key", "_place").alias("first"), F.max_by("_key", "_place").alias("last"), F.max("_place").alias("to"))
+    types = {f.name: f.dataType for f in lying.schema}
+    schema = T.StructType([T.StructField(name, types[of]) for name, of in (
+        ("_part", "_part"), ("server_id", "server_id"), ("table", "table"), ("events", "_place"), ("breaks", "_place"), ("at", "_place"),
+        ("first", "_key"), ("last", "_key"), ("to", "_place"))])
+    parts = lying.mapInArrow(_breaks_inside, schema)
     before = Window.orderBy("at")
     # The event before a partition's first one is the last that lies in any partition before it.
     edge = F.max(F.struct("to", "last")).over(before.rowsBetween(Window.unboundedPreceding, -1))

@@ -83,3 +83,20 @@ def test_order_is_proved_from_border_to_border(spark, sf_dir):
     assert 1 <= total(dealt)["breaks"] <= 2 * 3
     assert total(events.orderBy(F.rand(7)))["breaks"] > 50
     assert total(events.where("false")) == {"events": 0, "breaks": 0}
+
+
+def test_breaks_are_found_without_a_task_that_holds_a_partition(spark):
+    places = [(9, 5, "a"), (9, 5, None), (10, 1, "a"), (10, 0, None), (9, 7, "b")]
+    rows = [{"log_name": f"b.{f}", "log_pos": p, "db": db, "after": {"id": "1"}} for f, p, db in places] * 5000
+    lying = changes_of(spark, rows).repartition(3, "log_pos").coalesce(1)
+    want = [(r["db"] is not None, r["db"] or "", int(r["log_name"][2:]), r["log_pos"]) for r in lying.select("db", "log_name", "log_pos").collect()]
+    result = O.order_breaks(lying)
+    (got,) = result.collect()
+    assert (got.events, got.breaks) == (25_000, sum(a > b for a, b in zip(want, want[1:]))) and got.breaks > 1000
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1, "only the borders are compared in a window"
+
+
+def test_partitions_follow_the_input(spark):
+    events = changes_of(spark, [{"log_pos": p} for p in range(90)])
+    assert [O.partitions_for(events, 8), O.partitions_for(events, 8, events=10), O.partitions_for(events.where("false"))] == [8, 9, 1]
