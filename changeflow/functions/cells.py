@@ -9,6 +9,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from changeflow import schema as S
+
 _NEEDS_ESCAPE = r'["\\\x00-\x1f]'
 
 
@@ -50,7 +52,7 @@ def cells_of_variants(values: Column) -> Column:
 
 def parse_cells(text: Column) -> Column:
     """JSON object text -> cell map; null or malformed text gives null."""
-    return cells_of_variants(F.from_json(text, "map<string,variant>"))
+    return F.when(text == "{}", S.empty_cells()).otherwise(cells_of_variants(F.from_json(text, "map<string,variant>")))
 
 
 def sorted_entries(cells: Column) -> Column:
@@ -63,9 +65,12 @@ def sorted_cells(cells: Column) -> Column:
 
 def cells_json(cells: Column) -> Column:
     """Cell map -> JSON object text with its keys sorted."""
-    pairs = F.transform(sorted_entries(cells), lambda e: F.concat(
-        quote(e["key"]), F.lit(":"), F.coalesce(e["value"], F.lit("null"))))
-    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+    pairs = lambda name: F.array_join(F.transform(sorted_entries(cells), lambda e: F.concat(
+        name(e["key"]), F.lit(":"), F.coalesce(e["value"], F.lit("null")))), ",")
+    # One look at all names tells whether any needs an escape; most do not.
+    plain = pairs(lambda key: F.concat(F.lit('"'), key, F.lit('"')))
+    return F.concat(F.lit("{"), F.when(F.size(cells) == 0, "").when(
+        F.array_join(F.map_keys(cells), "").rlike(_NEEDS_ESCAPE), pairs(quote)).otherwise(plain), F.lit("}"))
 
 
 def _trim_zeros(text: Column) -> Column:

@@ -64,3 +64,12 @@ def test_decode_of_encode(spark, pairs):
         assert row.malformed is None
         for image, cells in ((before, row.before), (after, row.after)):
             assert {k: None if v is None else json.loads(v) for k, v in cells.items()} == image
+
+
+def test_names_with_escapes_and_empty_images(spark):
+    rows = spark.sql("""select * from values (0, map('a', '1', 'b"x', null)), (1, map('b', '"\\\\n"', 'a', null)), (2, cast(map() as map<string,string>)),
+        (3, cast(null as map<string,string>)) as t(k, cells)""")
+    got = {r.k: r.j for r in rows.select("k", C.cells_json(F.col("cells")).alias("j")).collect()}
+    assert got == {0: '{"a":1,"b\\"x":null}', 1: '{"a":null,"b":"\\n"}', 2: "{}", 3: None}
+    texts = spark.createDataFrame([("{}",), (" {}",), ("{x",), (None,)], "t string")
+    assert [r.c for r in texts.select(C.parse_cells(F.col("t")).alias("c")).collect()] == [{}, {}, None, None]
