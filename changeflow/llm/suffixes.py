@@ -65,9 +65,9 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
         reach += 2 * step
     rank = np.zeros(n + 3, np.int64)
     rank[sample] = names + 1
-    sampled = sample[np.argsort(names, kind="stable")]
+    sampled = sample[np.argsort(names)]
     rest = np.arange(0, n, 3)
-    rest = rest[np.argsort(s[rest] * len(rank) + rank[rest + 1], kind="stable")]
+    rest = rest[np.argsort(s[rest] * len(rank) + rank[rest + 1])]
     return _merged(s, base, rank, sampled, rest)
 
 
@@ -301,11 +301,12 @@ def _rows(texts: C.Texts, kept: np.ndarray) -> pa.RecordBatch:
     bounds = before[offsets]
     blob = texts.data[kept].tobytes()
     # Removed runs, cut where texts begin.
-    begins, ends = np.zeros(len(kept) + 1, bool), np.zeros(len(kept) + 1, bool)
+    begins, ends, first = (np.zeros(len(kept) + 1, bool) for _ in range(3))
+    first[offsets] = True
     begins[:-1] = ~kept
-    begins[1:-1] &= kept[:-1] | np.isin(np.arange(1, len(kept)), offsets) if len(kept) else True
+    begins[1:-1] &= kept[:-1] | first[1:-1] if len(kept) else True
     ends[1:] = ~kept
-    ends[1:-1] &= kept[1:] | np.isin(np.arange(1, len(kept)), offsets) if len(kept) else True
+    ends[1:-1] &= kept[1:] | first[1:-1] if len(kept) else True
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends)
     owner = np.searchsorted(offsets, starts, "right") - 1
     counts = np.bincount(owner, minlength=len(texts)).astype(np.int64)
