@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from changeflow import schema as S
@@ -119,39 +121,45 @@ def partitions_for(changes: DataFrame, least: int = 1, events: int = EVENTS_IN_P
     return max(least, -(-changes.count() // events))
 
 
-def _comparable(column: pa.Array) -> list:
-    """Values that compare as Spark does, nulls first."""
-    return [(x is not None, x) for x in column.to_pylist()] if column.null_count else [(True, x) for x in column.to_pylist()]
+def _neighbours(columns: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+    """For each row but the first: whether it comes before the row it lies behind, and whether it is equal to that, as Spark compares, nulls first."""
+    n = len(columns[0]) - 1
+    falls, same = np.zeros(n, bool), np.ones(n, bool)
+    for column in columns:
+        filled = pc.fill_null(column, 0 if pa.types.is_integer(column.type) else "")
+        for x in (pc.cast(column.is_valid(), pa.int8()), filled) if column.null_count else (column,):
+            falls |= same & pc.greater(x[:-1], x[1:]).to_numpy(zero_copy_only=False)
+            same &= pc.equal(x[:-1], x[1:]).to_numpy(zero_copy_only=False)
+    return falls, same
 
 
 def _breaks_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per server and table of a partition: events, those that come before the one they lie behind, first and last event with their places."""
     found: dict[tuple, list] = {}
-    last, part, schema = None, None, None
+    before, part, schema = None, None, None
     for batch in batches:
         if not batch.num_rows:
             continue
         schema, part = batch.schema, batch.column("_part")[0].as_py()
-        fields = batch.column("_key").flatten()
-        keys = list(zip(*map(_comparable, fields)))
-        breaks = [last is not None and last > keys[0], *(a > b for a, b in zip(keys, keys[1:]))]
-        last = keys[-1]
-        for of, key, broken, place in zip(zip(*(batch.column(c).to_pylist() for c in ("server_id", "table"))), keys, breaks, batch.column("_place").to_pylist()):
+        key, server, table, place = (batch.column(c) for c in ("_key", "server_id", "table", "_place"))
+        behind = key if before is None else pa.concat_arrays([before, key])
+        falls = _neighbours(behind.flatten())[0]
+        falls = np.append(False, falls) if before is None else falls
+        before = key[-1:]
+        starts = np.append(0, np.flatnonzero(~_neighbours([server, table])[1]) + 1)
+        ends = np.append(starts[1:], batch.num_rows)
+        for at, to, breaks in zip(starts.tolist(), ends.tolist(), np.add.reduceat(falls.astype(np.int64), starts).tolist()):
+            of = server[at].as_py(), table[at].as_py()
             if (row := found.get(of)) is None:
-                row = found[of] = [0, 0, place, key, key, place]
-            row[0] += 1
-            row[1] += broken
-            row[4], row[5] = key, place
+                row = found[of] = [0, 0, place[at].as_py(), key[at].as_py(), None, None]
+            row[0] += to - at
+            row[1] += breaks
+            row[4], row[5] = key[to - 1].as_py(), place[to - 1].as_py()
     if found:
-        rows = list(found.items())
-        held = {c: schema.field(c).type for c in schema.names}
-        names = [f.name for f in held["_key"]]
-        event = lambda at: pa.array([dict(zip(names, (x for _, x in r[at]))) for _, r in rows], held["_key"])
-        count = lambda at: pa.array([r[at] for _, r in rows], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([part] * len(rows), held["_part"]), pa.array([of[0] for of, _ in rows], held["server_id"]), pa.array([of[1] for of, _ in rows], held["table"]),
-             count(0), count(1), count(2), event(3), event(4), count(5)],
-            names=["_part", "server_id", "table", "events", "breaks", "at", "first", "last", "to"])
+        names = ["_part", "server_id", "table", "events", "breaks", "at", "first", "last", "to"]
+        types = [*(schema.field(c).type for c in names[:3]), *[pa.int64()] * 3, *[schema.field("_key").type] * 2, pa.int64()]
+        rows = [(part, *of, *row) for of, row in found.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(column, t) for column, t in zip(zip(*rows), types)], names=names)
 
 
 def order_breaks(ordered: DataFrame) -> DataFrame:
