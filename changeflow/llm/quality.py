@@ -83,8 +83,10 @@ def measured(docs: DataFrame, text_col: str, keys: list[Column]) -> DataFrame:
 
 
 def _metric(name: str) -> Column:
-    return {"symbols_per_word": F.col("n_symbols") / F.col("n_words"), "chars_per_word": F.col("word_chars") / F.col("n_words"),
-            "dup_line_share": F.col("n_dup_lines") / F.col("n_lines"), "repeat_word_share": F.col("n_repeat_words") / F.col("n_words")}[name]
+    """The metric ``name`` of a document; null for one without words or lines, in ANSI mode too. Spark may compute it for rows that fail without it."""
+    part, whole = {"symbols_per_word": ("n_symbols", "n_words"), "chars_per_word": ("word_chars", "n_words"),
+                   "dup_line_share": ("n_dup_lines", "n_lines"), "repeat_word_share": ("n_repeat_words", "n_words")}[name]
+    return F.try_divide(F.col(part), F.col(whole))
 
 
 _STEP = (1 + ERROR) / (1 - ERROR)

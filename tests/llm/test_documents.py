@@ -260,6 +260,16 @@ def test_quality_counts(edge, edge_rows, none):
     assert kept.columns == edge.columns and kept.count() == got.where("kept").count()
 
 
+def test_quality_judges_texts_without_words(spark):
+    rnd = random.Random(7)
+    texts = [None, "", " ", "\n \n", "\t\x0b", "a b c", *(" ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(2, 5))) for _ in range(80)) for _ in range(20))]
+    docs = spark.createDataFrame([(i, t, lang, "s1") for i, t in enumerate(texts) for lang in ("en", None)], "doc_id long, text string, lang string, source string")
+    got = {(r.id, r.lang): (r.n_words, r.base_failed, r.kept) for r in quality.quality(docs).collect()}
+    want = {(i, lang): (len(split(t)), i < 6, i >= 6) for i, t in enumerate(texts) for lang in ("en", None)}
+    assert got == want
+    assert sorted(r.doc_id for r in quality.filter_quality(docs).collect()) == sorted(i for i, _ in want if i >= 6)
+
+
 def test_quality_thresholds_follow_the_group(spark):
     """The same text is an outlier in one source and ordinary in another; quantiles stay within the sketch's error."""
     rnd = random.Random(1)
