@@ -118,7 +118,8 @@ def spelling_variants(words: DataFrame, word_col: str = "word", min_count: int =
 
         return known.mapInArrow(keys, "key string, word string, n long")
 
-    a, b = keyed(True).alias("a"), keyed(False).alias("b")
+    # All joins by shuffle: Spark takes keys for as small as the words they are made of, and files for as small as they are compressed.
+    a, b = keyed(True).alias("a"), keyed(False).hint("merge").alias("b")
     met = a.join(b, F.col("a.key") == F.col("b.key")).where(F.levenshtein("a.word", "b.word", 1) == 1)
     swap = F.col("a.word") > F.col("b.word")
     mine, other = F.struct("a.word", "a.n"), F.struct("b.word", "b.n")
@@ -128,7 +129,7 @@ def spelling_variants(words: DataFrame, word_col: str = "word", min_count: int =
     near = C.saved(both.groupBy("x").agg(F.count("*").alias("n_near"), best.alias("best"))
                    .select("x.word", "n_near", F.col("best.form").alias("form"), (-F.col("best.n")).alias("form_n")), folder, "near")
     roots = _roots(near.where("form is not null").select("word", F.col("form").alias("root")), folder)
-    return (known.join(near, "word", "left").join(roots, "word", "left")
+    return (known.join(near.hint("merge"), "word", "left").join(roots.hint("merge"), "word", "left")
             .select("word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n"))
 
 
@@ -138,7 +139,7 @@ def _roots(forms: DataFrame, folder: str) -> DataFrame:
     step = 0
     while True:
         onward = forms.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        further = C.saved(forms.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")),
+        further = C.saved(forms.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")),
                           folder, f"roots-{step}")
         forms, step = further.select("word", "root"), step + 1
         if further.where("moved").isEmpty():

@@ -86,3 +86,16 @@ def test_letter_runs(edge, none, spark):
     assert sorted(r.word for r in spelling.letter_runs(docs, min_letters=5).where("id = 1").collect()) == ["abcdefÀ", "naïve", "straße", "Ärger"]
     assert spelling.letter_runs(none).count() == 0
     assert spelling.spelling_variants(spelling.letter_runs(edge)).columns == ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def test_no_join_is_broadcast(spark, monkeypatch):
+    """Spark would take some words in a small file, whose keys are a hundred times as large, for a small table."""
+    plans, saved = [], spelling.C.saved
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(spelling.C, "saved", lambda df, *at: plans.append(plan(df)) or saved(df, *at))
+    counts = {"letters": 500, "lettres": 90, "lettters": 9, "letter": 7, "unrelated": 5}
+    words = spark.createDataFrame([(w,) for w, n in counts.items() for _ in range(n)], "word string")
+    done = spelling.spelling_variants(words)
+    assert sorted(map(tuple, done.collect())) == sorted(brute(counts, 6, 5, 5))
+    plans.append(plan(done))
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
