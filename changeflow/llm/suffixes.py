@@ -20,10 +20,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from changeflow.llm import common as C
 
-#: Bytes of a run that can be an anchor.
-ANCHOR_BYTES = 16
-#: Bytes of text in a block; some two hundred times as many are in use while its windows are hashed.
-SUFFIX_BLOCK_BYTES = 1 << 20
+#: Bytes of a run that can be an anchor: so many that a run seldom repeats by chance, however large the corpus.
+ANCHOR_BYTES = 24
+#: Bytes of text in a block. A block has a row for each bucket, and there are as many buckets as blocks: rows grow with the square of their
+#: number, so blocks are large.
+SUFFIX_BLOCK_BYTES = 8 << 20
+#: Bytes whose windows are hashed at once: the arrays, some two hundred times as large, stay in the processor's caches.
+PART_BYTES = 1 << 17
+#: Bytes of stretches whose suffixes are sorted at once, or those of one anchor.
+SORT_BYTES = 1 << 19
 #: Numbers up to this one have a cube that fits 64 bits.
 MAX_CUBED = 1 << 21
 #: Symbols of a run that is packed into one number, and the largest base for it.
@@ -128,37 +133,58 @@ def prefix_classes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndar
 
 
 class Anchored:
-    """Windows of ``length`` bytes of a block's texts in stretches with one anchor, without texts that have no id."""
-
-    def __init__(self, texts: C.Texts, length: int):
-        self.texts, self.length = texts, length
-        k = min(ANCHOR_BYTES, length)
-        sizes = np.diff(texts.offsets)
-        counts = np.where(texts.ids == C.NULL_ID, 0, np.maximum(sizes - length + 1, 0))
-        runs = C.rolling_hashes(C.byte_values(texts.data), k)
-        self.first, self.last, keys = C.stretches(runs, C.ranges(texts.offsets[:-1], counts), length - k + 1)
+    """Windows of ``length`` bytes of a block's texts in stretches with one anchor, without texts that have no id. Stretches end where a part
+    of the block does."""
+
+    def __init__(self, texts: C.Texts, length: int, part_bytes: int = PART_BYTES):
+        self.texts, self.length, self.part_bytes = texts, length, part_bytes
+        found = [self._part(at, min(at + part_bytes, len(texts.data))) for at in range(0, max(1, len(texts.data)), part_bytes)]
+        self.first, self.last, keys = map(np.concatenate, zip(*found))
         self.keys = keys >> _DROPPED << _DROPPED
         self.doc = texts.ids[np.searchsorted(texts.offsets, self.first, "right") - 1] if len(self.first) else np.zeros(0, np.int64)
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct anchors, and whether one is in several documents."""
-        order = np.lexsort((self.doc, self.keys))
+    def _part(self, at: int, to: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The stretches of the windows that start at ``at`` or later and before ``to``."""
+        offsets, k = self.texts.offsets, min(ANCHOR_BYTES, self.length)
+        a, b = max(0, int(np.searchsorted(offsets, at, "right")) - 1), int(np.searchsorted(offsets[:-1], to))
+        begin = np.maximum(offsets[a:b], at)
+        end = np.minimum(offsets[a + 1:b + 1] - self.length + 1, to)
+        counts = np.where(self.texts.ids[a:b] == C.NULL_ID, 0, np.maximum(end - begin, 0))
+        runs = C.rolling_hashes(C.byte_values(self.texts.data[at:to + self.length - 1]), k)
+        first, last, keys = C.stretches(runs, C.ranges(begin - at, counts), self.length - k + 1)
+        return first + at, last + at, keys
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct anchors, whether one is in several documents, and the place of each stretch's anchor among them."""
+        order = np.argsort(self.keys)
         keys, docs = self.keys[order], self.doc[order]
         new = np.ones(len(keys), bool)
         new[1:] = keys[1:] != keys[:-1]
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.cumsum(new) - 1
         at = np.flatnonzero(new)
-        last = np.append(at[1:], len(keys)) - 1 if len(at) else at
-        return keys[at], docs[at] != docs[last]
+        several = np.minimum.reduceat(docs, at) != np.maximum.reduceat(docs, at) if len(at) else np.zeros(0, bool)
+        return keys[at], several, place
+
+    def _contents(self, some: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes of some stretches, which come in order."""
+        first, ends = self.first[some], self.last[some] + self.length
+        cuts = np.unique(np.searchsorted(first, np.arange(0, len(self.texts.data) + self.part_bytes, self.part_bytes)))
+        out = [np.zeros(0, np.uint64)]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            at, to = int(first[a]), int(ends[b - 1])
+            out.append(C.span_hashes(C.byte_values(self.texts.data[at:to]), first[a:b] - at, ends[a:b] - at))
+        return np.concatenate(out)
 
     def chosen(self, found: list[dict] | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """One stretch for each distinct content whose anchor is in several documents, the one of the smallest document, in the order of
         anchors; and for every stretch the place of its content in that order (or -1)."""
-        keys, _ = self.distinct()
+        keys, _, at = self.distinct()
         told = {r["bucket"]: r["reply"] for r in found or []}
         parts = [np.unpackbits(np.frombuffer(told[b], np.uint8), count=to - at).astype(bool) for b, at, to in C.bucket_slices(keys, bits)]
         repeated = np.concatenate(parts) if parts else np.zeros(0, bool)
-        some = np.flatnonzero(repeated[np.searchsorted(keys, self.keys)]) if len(keys) else np.zeros(0, np.int64)
-        content = C.span_hashes(C.byte_values(self.texts.data), self.first[some], self.last[some] + self.length)
+        some = np.flatnonzero(repeated[at])
+        content = self._contents(some)
         order = np.lexsort((self.doc[some], content, self.keys[some]))
         some, content = some[order], content[order]
         new = np.ones(len(some), bool)
@@ -179,7 +205,16 @@ def _repeated(rows: list[dict]) -> list[bytes]:
     return [np.packbits(x).tobytes() for x in np.split(often[where], np.cumsum(sizes)[:-1])]
 
 
-def _smaller(length: int):
+def _slices(order: np.ndarray, group: np.ndarray, sizes: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """Cuts ``order`` between groups, which are sorted, in slices of about ``limit`` bytes; a larger group is a slice of its own."""
+    if not len(order):
+        return
+    at = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    part = (np.cumsum(np.add.reduceat(sizes, at)) - 1) // limit
+    yield from np.split(order, at[np.flatnonzero(part[1:] != part[:-1]) + 1])
+
+
+def _smaller(length: int, sort_bytes: int = SORT_BYTES):
     """For each row's stretches, a bit per window that tells whether the window also starts in a smaller document."""
 
     def answer(rows: list[dict]) -> list[bytes]:
@@ -204,8 +239,11 @@ def _smaller(length: int):
         own = np.array([len(t) for t in texts], np.int64)
         windows = own - length + 1
         low = np.repeat(least, windows)
-        low[np.repeat(several, windows)] = _least_by_class([t for t, x in zip(texts, several.tolist()) if x], least[several], length)
         before = np.cumsum(windows) - windows
+        order = np.flatnonzero(several)
+        order = order[np.argsort(group[order], kind="stable")]
+        for some in _slices(order, group[order], own[order], sort_bytes):
+            low[C.ranges(before[some], windows[some])] = _least_by_class([texts[i] for i in some.tolist()], least[some], length)
         counts = windows[number]
         bits = low[C.ranges(before[number], counts)] < np.repeat(docs, counts)
         row_of = np.repeat(np.arange(len(rows)), [len(x) for x in sizes])
@@ -240,12 +278,12 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     folder = C.workdir(docs.sparkSession, "suffixes")
     packed = C.blocks(C.text_column(docs, id_col, text_col), folder, pa.schema([]), "", lambda texts: {}, block_bytes)
     n_blocks = packed.select("block").count()
-    bits, shard_bits = C.key_bits(n_blocks), C.key_bits(n_blocks, C.MAX_SHARDS)
+    bits, shard_bits = C.key_bits(n_blocks // 2), C.key_bits(n_blocks, C.MAX_SHARDS)
 
     def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("twice", pa.binary())])
         for row in C.rows_of(batches):
-            keys, twice = Anchored(C.unpack(row), length).distinct()
+            keys, twice, _ = Anchored(C.unpack(row), length).distinct()
             yield C.rows_batch([{"bucket": b, "block": row["block"], "keys": C.packed_keys(keys[at:to] >> _DROPPED), "twice": np.packbits(twice[at:to]).tobytes()}
                                 for b, at, to in C.bucket_slices(keys, bits)], schema)
 
@@ -271,7 +309,8 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in C.rows_of(batches):
             texts = C.unpack(row)
-            gone = np.zeros(len(texts.data) + 1, np.int32)
+            # The flagged windows that begin at a byte, less those that ended before it: one of each at most.
+            gone = np.zeros(len(texts.data) + 1, np.int8)
             if row["replies"] is not None:
                 anchored = Anchored(texts, length)
                 some, place = anchored.chosen(row["replies"], bits)
@@ -280,14 +319,15 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 parts = [np.unpackbits(np.frombuffer(told[b], np.uint8), count=int(n[some[at:to]].sum())).astype(bool) for b, at, to in C.bucket_slices(anchored.keys[some], shard_bits)]
                 flags = np.concatenate(parts) if parts else np.zeros(0, bool)
                 begin = np.cumsum(n[some]) - n[some]
-                mine = np.flatnonzero(place >= 0)
-                flagged = flags[C.ranges(begin[place[mine]], n[mine])]
                 # Of one content in a block, the replies are about the smallest document; larger ones have that before them.
-                flagged |= np.repeat(anchored.doc[mine] > anchored.doc[some][place[mine]], n[mine])
-                starts = C.ranges(anchored.first[mine], n[mine])[flagged]
-                np.add.at(gone, starts, 1)
-                np.add.at(gone, starts + length, -1)
-            kept = np.cumsum(gone[:-1]) == 0
+                every = np.flatnonzero(place >= 0)
+                for mine in np.split(every, range(PART_BYTES, len(every), PART_BYTES)):
+                    flagged = flags[C.ranges(begin[place[mine]], n[mine])]
+                    flagged |= np.repeat(anchored.doc[mine] > anchored.doc[some][place[mine]], n[mine])
+                    starts = C.ranges(anchored.first[mine], n[mine])[flagged]
+                    gone[starts] += 1
+                    gone[starts + length] -= 1
+            kept = np.cumsum(gone[:-1], dtype=np.int32) == 0
             yield _rows(texts, kept)
 
     told = C.with_replies(packed, repeated).join(smaller.withColumnRenamed("replies", "matches").hint("merge"), "block", "left")
@@ -297,8 +337,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _rows(texts: C.Texts, kept: np.ndarray) -> pa.RecordBatch:
     offsets = texts.offsets
-    before = np.concatenate([[0], np.cumsum(kept)])
-    bounds = before[offsets]
+    bounds = np.append(0, np.cumsum(kept, dtype=np.int32))[offsets].astype(np.int64)
     blob = texts.data[kept].tobytes()
     # Removed runs, cut where texts begin.
     begins, ends, first = (np.zeros(len(kept) + 1, bool) for _ in range(3))

@@ -56,6 +56,57 @@ def test_shards_grow_with_blocks():
     assert C.key_bits(1 << 17) == 13 and C.key_bits(1 << 17, C.MAX_SHARDS) == 17 and C.key_bits(500, C.MAX_SHARDS) == C.key_bits(500)
 
 
+@pytest.mark.parametrize("part_bytes", [7, 64, 1000, 1 << 17])
+@pytest.mark.parametrize("length", [1, 20, 50])
+def test_stretches_of_parts(length, part_bytes):
+    """Every window of a text with an id is in one stretch, whatever the parts; equal windows have one anchor."""
+    rnd = random.Random(length)
+    texts = ["".join(rnd.choices("ab", k=rnd.choice([0, 0, 1, 19, 49, 50, 51, 90, 400]))).encode() for _ in range(60)] + [b"", b"ab" * 700, b""]
+    ids = np.array([C.NULL_ID if i % 9 == 4 else i // 2 for i in range(len(texts))])
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    block = C.Texts(ids, np.frombuffer(b"".join(texts), np.uint8), offsets)
+    got = suffixes.Anchored(block, length, part_bytes)
+    windows = [(int(w), int(d), int(k)) for f, t, d, k in zip(got.first, got.last, got.doc, got.keys) for w in range(f, t + 1)]
+    want = [(int(o) + j, int(i)) for o, t, i in zip(offsets, texts, ids) if i != C.NULL_ID for j in range(len(t) - length + 1)]
+    assert [w[:2] for w in windows] == want
+    anchor = collections.defaultdict(set)
+    for w, _, k in windows:
+        anchor[bytes(block.data[w:w + length])].add(k)
+    assert all(len(x) == 1 for x in anchor.values())
+    keys, several, place = got.distinct()
+    docs = {k: set(got.doc[got.keys == k].tolist()) for k in keys}
+    assert (keys[place] == got.keys).all() and several.tolist() == [len(docs[k]) > 1 for k in keys] and (np.diff(keys.astype(object)) > 0).all()
+
+
+@pytest.mark.parametrize("sort_bytes", [1, 300, 1 << 19])
+def test_stretches_are_sorted_in_slices(sort_bytes):
+    rnd = random.Random(9)
+    length, rows, want = 10, [], []
+    stretches = [(k % 7, rnd.randrange(20), bytes([97 + k % 7]) * 4 + bytes(rnd.choices(b"xy", k=rnd.randint(6, 9)))) for k in range(150)]
+    smallest = {}
+    for _, doc, t in stretches:
+        for j in range(len(t) - length + 1):
+            smallest[t[j:j + length]] = min(doc, smallest.get(t[j:j + length], doc))
+    for part in (sorted(stretches[:90]), sorted(stretches[90:])):
+        anchors, docs, texts = zip(*part)
+        rows.append({"text": pa.Codec("zstd").compress(b"".join(texts), asbytes=True), "sizes": np.array([len(t) for t in texts], "<u4").tobytes(),
+                     "docs": np.array(docs, "<i8").tobytes(), "anchors": np.array(anchors, "<u4").tobytes()})
+        want.append(np.packbits([smallest[t[j:j + length]] < d for _, d, t in part for j in range(len(t) - length + 1)]).tobytes())
+    assert suffixes._smaller(length, sort_bytes)(rows) == want
+
+
+def test_rows_of_suffixes_grow_with_the_text(spark, monkeypatch):
+    """A block has a row for each bucket: blocks are large, so that rows do not grow with the square of the text."""
+    asked, replies = {}, C.replies
+    monkeypatch.setattr(C, "replies", lambda df, answer, folder, name: asked.update({name: df.count()}) or replies(df, answer, folder, name))
+    rnd = np.random.default_rng(3)
+    texts = [bytes(rnd.integers(97, 123, 1 << 20, np.uint8)).decode() for _ in range(5)]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[0]])), "doc_id long, text string").coalesce(1)
+    got = {r.id: r.n_removed for r in suffixes.dedup_bytes(docs).collect()}
+    assert got == {i: 0 for i in range(5)} | {5: 1 << 20}
+    assert max(asked.values()) <= 64
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 21, 700])
 def test_suffixes(edge, edge_rows, none, block_bytes):
     length, starts = 20, collections.defaultdict(set)
